@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.decode import replace_matches
 from ..functions.fixed import MONTH_NAMES, SPACES
+from ..sources.files import spread
 
 WORD_SQL = r"[\p{L}\p{N}_]"
 SPACE_SQL = (
@@ -21,8 +23,13 @@ def strip_sql(expr: str) -> str:
     return f"trim({expr}, '{SPACES}')"
 
 
+ROW_IDS = {"documents": "doc_id", "orders": "o_orderkey", "customer": "c_custkey", "embeddings": "vec_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, dealt out to all cores where its one file would be one task."""
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan, ROW_IDS[name]) if name in ROW_IDS else scan
 
 
 # --- hex fragments ------------------------------------------------------------------
@@ -58,15 +65,13 @@ NULL_FRAGMENTS = """
 def rtf_reports(spark: SparkSession, d: str) -> DataFrame:
     """Documents as RTF: ``\\par`` for line breaks, ``\\uN`` for other than ASCII characters."""
     plain = F.translate("text", "\\{}\r", "")
-    coded = F.transform(
-        F.split(plain, ""),
-        lambda c: F.when(c == "\n", "\\par ")
-        .when((F.ascii(c) > 127) & (F.ascii(c) < 32768), F.concat(F.lit("\\u"), F.ascii(c), F.lit("?")))
-        .otherwise(c),
+    coded = replace_matches(
+        plain, r"[\x{80}-\x{7fff}]", lambda c: F.concat(F.lit("\\u"), F.ascii(c), F.lit("?"))
     )
+    coded = F.replace(coded, F.lit("\n"), F.lit("\\par "))
     head = "{\\rtf1\\ansi\\deff0{\\fonttbl{\\f0 Arial;}{\\f1 Times;}}{\\colortbl;\\red0;}\\pard\\b0 "
     return table(spark, d, "documents").select(
-        "doc_id", F.concat(F.lit(head), F.array_join(coded, ""), F.lit("}")).alias("text")
+        "doc_id", F.concat(F.lit(head), coded, F.lit("}")).alias("text")
     )
 
 

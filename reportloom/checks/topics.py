@@ -65,10 +65,10 @@ QUERIES = {
         ),
         _DOCS,
     ),
-    "term_stats": (lambda s, d: T.term_stats(documents(s, d), "doc_id"), STATS),
+    "term_stats": (lambda s, d: T.term_stats(documents(s, d)), STATS),
     "topic_vocabulary": (
         lambda s, d: T.vocabulary(documents(s, d)),
-        f"SELECT term, tf FROM ({STATS}) ORDER BY tf DESC, term LIMIT {VOCABULARY_SIZE}",
+        f"SELECT term, tf, df FROM ({STATS}) ORDER BY tf DESC, term LIMIT {VOCABULARY_SIZE}",
     ),
     "tfidf_weights": (
         lambda s, d: T.tfidf_weights(labelled_docs(s, d), "idx_global").select(

@@ -17,14 +17,19 @@ def decode_hex(text: Column, min_hex_len: int = 0) -> Column:
     Blanks between digits are ignored. Digit text of even length such as ``2024``
     counts as hex; ``min_hex_len`` leaves shorter runs alone.
     """
-    digits = F.translate(text, "".join(HEX_BLANKS), "")
-    is_hex = digits.rlike(r"\A[0-9a-fA-F]*\z") & (F.length(digits) % 2 == 0)
-    if min_hex_len:
-        is_hex = is_hex & (F.length(digits) >= min_hex_len)
-    raw = F.unhex(digits)
-    as_utf8 = raw.cast("string")
-    decoded = F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(F.decode(raw, "ISO-8859-1"))
-    return F.when(is_hex, decoded).otherwise(text)
+    digits_only = text.rlike(rf"\A[0-9a-fA-F{''.join(HEX_BLANKS)}]*+\z")
+
+    def from_bytes(raw: Column) -> Column:
+        as_utf8 = raw.cast("string")
+        return F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(F.decode(raw, "ISO-8859-1"))
+
+    def from_digits(digits: Column) -> Column:
+        even = (F.length(digits) % 2 == 0) & (F.length(digits) >= min_hex_len)
+        return F.when(even, let(F.unhex(digits), from_bytes)).otherwise(text)
+
+    # Plain text fails the pattern at its first other character and costs nothing more.
+    decoded = let(F.translate(text, "".join(HEX_BLANKS), ""), from_digits)
+    return F.when(digits_only, decoded).otherwise(text)
 
 
 def is_rtf(text: Column) -> Column:
@@ -46,7 +51,7 @@ _HIDDEN = (
 _BACKSLASH, _OPEN, _CLOSE = "\ue000", "\ue001", "\ue002"
 
 
-def _decode_parts(text: Column, pattern: str, decode: Callable[[Column], Column]) -> Column:
+def replace_matches(text: Column, pattern: str, decode: Callable[[Column], Column]) -> Column:
     """Replace each match of ``pattern`` by ``decode(match)``, in one pass over the text."""
 
     def rebuild(t: Column) -> Column:
@@ -94,10 +99,10 @@ def strip_rtf(text: Column) -> Column:
     t = F.translate(t, "\r\n", "")
     t = F.regexp_replace(t, _HIDDEN, "")
     # A stand-in character for old readers follows each \uN.
-    t = _decode_parts(t, r"(?:\\u-?[0-9]{1,5} ?(?:\\'[0-9a-fA-F]{2}|[^\\{}])?)+", _unicode_run)
-    t = _decode_parts(t, r"(?:\\'[0-9a-fA-F]{2})+", _byte_run)
+    t = replace_matches(t, r"(?:\\u-?[0-9]{1,5} ?(?:\\'[0-9a-fA-F]{2}|[^\\{}])?)+", _unicode_run)
+    t = replace_matches(t, r"(?:\\'[0-9a-fA-F]{2})+", _byte_run)
     names = "|".join(RTF_CHARACTERS)
-    t = _decode_parts(t, rf"\\(?:{names})(?![a-zA-Z])(?:-?[0-9]+)? ?", _named_character)
+    t = replace_matches(t, rf"\\(?:{names})(?![a-zA-Z])(?:-?[0-9]+)? ?", _named_character)
     t = F.replace(t, F.lit("\\~"), F.lit("\u00a0"))
     t = F.replace(t, F.lit("\\_"), F.lit("\u2011"))
     t = F.replace(t, F.lit("\\-"), F.lit("\u00ad"))

@@ -35,9 +35,9 @@ def embed(text: Column, factory: Factory, batch_size: int = EMBED_BATCH) -> Colu
 
         return predict
 
-    return predict_batch_udf(
-        make, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
-    )(text)
+    call = predict_batch_udf(make, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    # Otherwise the optimizer may copy the call into a filter and run the model twice.
+    return call.asNondeterministic()(text)
 
 
 def _batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:

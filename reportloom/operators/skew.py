@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
@@ -12,19 +12,23 @@ NULL_SPREAD = 1024
 def planned_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where the session does not expose it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
 
+def size_setting(spark: SparkSession, name: str, default: str) -> int:
+    """A size setting such as ``64MB`` in bytes."""
+    value = spark.conf.get(name, default).lower().removesuffix("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(value[-1:], 1)
+    return int(value.rstrip("kmg")) * unit
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark would broadcast ``df`` by its own size limit."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     size = planned_bytes(df)
-    digits = limit.lower().rstrip("b")
-    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(digits[-1:], 1)
-    bytes_limit = int(digits.rstrip("kmg")) * unit
-    return size is not None and 0 < size <= bytes_limit
+    limit = size_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold", "10MB")
+    return size is not None and 0 < size <= limit
 
 
 def join_to_unique(

@@ -7,41 +7,62 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.fixed import TOPIC_TERMS, VOCABULARY_SIZE
+from ..functions.scan import let
 from ..functions.text import ngrams
 
 SCORE_DIGITS = 12
 
 
-def document_terms(docs: DataFrame, doc: str, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc, keep…, term, tf)``: each document's n-grams with their counts.
+def count_terms(terms: Column) -> Column:
+    """``array<struct<term,tf>>`` of an array of terms: sorted, runs counted, in the row."""
+
+    def runs(sorted_terms: Column) -> Column:
+        all_but_last = F.slice(sorted_terms, F.lit(1), F.greatest(F.size(sorted_terms) - 1, F.lit(0)))
+        before = F.concat(F.array(F.lit(None).cast("string")), all_but_last)
+        numbered = F.transform(sorted_terms, lambda t, i: F.struct(t.alias("term"), i.alias("at")))
+        marked = F.zip_with(
+            numbered,
+            before,
+            lambda here, last: F.struct(
+                here["term"].alias("term"),
+                here["at"].alias("at"),
+                (~here["term"].eqNullSafe(last)).alias("first"),
+            ),
+        )
+
+        def lengths(starts: Column) -> Column:
+            following = F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0)))
+            ends = F.concat(F.transform(following, lambda s: s["at"]), F.array(F.size(sorted_terms)))
+            return F.zip_with(
+                starts,
+                ends,
+                lambda s, end: F.struct(
+                    s["term"].alias("term"), (end - s["at"]).cast("long").alias("tf")
+                ),
+            )
+
+        return let(F.filter(marked, lambda m: m["first"]), lengths)
+
+    return F.when(F.size(terms) > 0, let(F.sort_array(terms), runs))
 
-    ``doc`` must identify a row, so all repeats of a term meet before the shuffle.
-    """
-    return (
-        docs.select(doc, *keep, F.explode(ngrams(F.col(text))).alias("term"))
-        .groupBy(doc, *keep, "term")
-        .agg(F.count("*").alias("tf"))
-    )
 
+def document_terms(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame:
+    """``(keep…, term, tf)``: each document's n-grams with their counts, without a shuffle."""
+    return docs.select(*keep, F.inline(let(ngrams(F.col(text)), count_terms)))
 
-def term_stats(docs: DataFrame, doc: str, text: str = "text") -> DataFrame:
-    """``(term, tf, df)`` over the corpus."""
+
+def term_stats(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(term, tf, df)`` over the corpus; one row of ``docs`` is one document."""
     return (
-        document_terms(docs, doc, text)
+        document_terms(docs, text)
         .groupBy("term")
         .agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
     )
 
 
 def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY_SIZE) -> DataFrame:
-    """``(term, tf)`` of the most frequent terms, ties by term."""
-    return (
-        docs.select(F.explode(ngrams(F.col(text))).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("tf"))
-        .orderBy(F.desc("tf"), "term")
-        .limit(size)
-    )
+    """``(term, tf, df)`` of the most frequent terms, ties by term."""
+    return term_stats(docs, text).orderBy(F.desc("tf"), "term").limit(size)
 
 
 def tfidf_weights(
@@ -50,27 +71,22 @@ def tfidf_weights(
     text: str = "text",
     keep: tuple[str, ...] = (),
     size: int = VOCABULARY_SIZE,
-    n_docs: Column | None = None,
 ) -> DataFrame:
     """``(doc, keep…, term, weight)``: tf times smoothed idf, unit length per document.
 
-    Terms are cut to the vocabulary by a broadcast of its ``size`` rows before anything is
-    shuffled. A document is one row of the corpus, also one with an empty text.
+    The texts are read twice: once for the vocabulary with its document frequencies, once
+    for the weights. Only the ``size`` vocabulary rows are broadcast, and only terms in it
+    are shuffled, for the length of each document. A document is one row of the corpus,
+    also one with an empty text; ``doc`` identifies it.
     """
-    if n_docs is None:
-        n_docs = docs.agg(F.count("*")).scalar()
-    terms = F.broadcast(vocabulary(docs, text, size).select("term"))
-    counted = (
-        docs.select(doc, *keep, F.explode(ngrams(F.col(text))).alias("term"))
-        .join(terms, "term")
-        .groupBy(doc, *keep, "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    # Naming tf keeps this branch's columns equal to the other's, so both read one shuffle.
-    frequencies = counted.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    n_docs = docs.agg(F.count("*").alias("n")).scalar()
     idf = F.log((F.lit(1) + F.col("_n")) / (F.lit(1) + F.col("df"))) + 1
-    idfs = F.broadcast(frequencies.withColumn("_n", n_docs).select("term", idf.alias("idf")))
-    raw = counted.join(idfs, "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    idfs = vocabulary(docs, text, size).withColumn("_n", n_docs).select("term", idf.alias("idf"))
+    raw = (
+        document_terms(docs, text, doc, *keep)
+        .join(F.broadcast(idfs), "term")
+        .select(doc, *keep, "term", (F.col("tf") * F.col("idf")).alias("_w"))
+    )
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(doc)))
     return raw.select(doc, *keep, "term", (F.col("_w") / norm).alias("weight"))
 

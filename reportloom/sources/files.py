@@ -1,8 +1,10 @@
-"""Path checks shared by the scans."""
+"""Path checks and task layout shared by the scans."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.skew import planned_bytes, size_setting
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
@@ -21,3 +23,18 @@ def require_match(spark: SparkSession, path: str, glob: str) -> None:
     found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
     if found is None or len(found) == 0:
         raise ValueError(f"no {glob} files in {path}")
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a small scan out to all cores, by ``keys`` if given.
+
+    Columnar files split at row groups only, so a small file is often read by one task,
+    which then does all the regular-expression work. A scan with at least one full split
+    per core is left alone.
+    """
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = planned_bytes(scan)
+    if size is None or size >= cores * size_setting(spark, "spark.sql.files.maxPartitionBytes", "128MB"):
+        return scan
+    return scan.repartition(cores, *keys)
