@@ -92,7 +92,8 @@ def csv_back(spark, d):
     path = scratch_path(spark, "csv")
     X.export_csv(reports(spark, d), path)
     reader = spark.read.schema(REPORT).option("header", "true").option("escape", '"')
-    return reader.option("multiLine", "true").csv(path)
+    # With a null mark that no text holds, quoted empty text does not become null.
+    return reader.option("multiLine", "true").option("nullValue", "\0").csv(path)
 
 
 def bucketed_back(spark, d):

@@ -16,11 +16,13 @@ def glossary_translations(
 
     Lookup is in lower case; other words and all characters between words stay.
     """
-    pieces = F.regexp_extract_all(
-        F.col("chunk"), F.lit(f"{WORD_CLASS}+|[^{WORD_CLASS[1:]}+"), F.lit(0)
-    )
-    exploded = chunks.select("chunk_id", F.posexplode_outer(pieces).alias("pos", "piece")).withColumn(
-        "word", F.lower("piece")
+    word = WORD_CLASS + "+"
+    # Each word with the characters before it; a last empty word takes the text's end.
+    gaps = F.split("chunk", word, -1)
+    words = F.concat(F.regexp_extract_all("chunk", F.lit(word), F.lit(0)), F.array(F.lit("")))
+    pairs = F.zip_with(gaps, words, lambda g, w: F.struct(g.alias("gap"), w.alias("piece")))
+    exploded = chunks.select("chunk_id", F.posexplode(pairs).alias("pos", "pair")).select(
+        "chunk_id", "pos", "pair.gap", "pair.piece", F.lower("pair.piece").alias("word")
     )
     looked_up = join_to_unique(
         exploded,
@@ -30,13 +32,10 @@ def glossary_translations(
         ["chunk_id", "pos"],
         hot_rows=hot_rows,
     )
-    piece = F.when(
-        F.col("pos").isNotNull(),
-        F.struct("pos", F.coalesce("target", "piece").alias("piece")),
-    )
+    piece = F.struct("pos", F.concat("gap", F.coalesce("target", "piece")).alias("text"))
     ordered = F.array_sort(F.collect_list(piece))
     return looked_up.groupBy("chunk_id").agg(
-        F.array_join(F.transform(ordered, lambda p: p["piece"]), "").alias("translated")
+        F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("translated")
     )
 
 

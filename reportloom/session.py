@@ -30,18 +30,18 @@ def build_session(app: str = "reportloom", master: str | None = None, **conf: st
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for intermediate tables.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a temporary folder, once per session.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
+    without that setting gets a temporary folder, once per session.
     """
-    shared = spark.conf.get(CHECKPOINT_CONF, None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="reportloom-")
-        spark.conf.set(CHECKPOINT_CONF, shared)
-    return shared
+    shared = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reportloom-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -18,7 +18,10 @@ def export_jsonl(df: DataFrame, path: str, source: str | None = None) -> None:
 
 
 def export_csv(df: DataFrame, path: str, source: str | None = None) -> None:
-    """CSV with a header and doubled quotes; one folder per ``source`` if given."""
+    """CSV with a header and doubled quotes; one folder per ``source`` if given.
+
+    Null is written as nothing and empty text as ``""``.
+    """
     writer = _by_source(df, source) if source else df.write
     writer.option("header", "true").option("escape", '"').csv(path)
 
