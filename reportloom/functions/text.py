@@ -19,19 +19,23 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_CLASS + "{2,}"), F.lit(0))
 
 
+def _neighbours(tokens: Column) -> Column:
+    inner = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.zip_with(
+        F.slice(tokens, F.lit(1), inner),
+        F.slice(tokens, F.lit(2), inner),
+        lambda a, b: F.concat(a, F.lit(" "), b),
+    )
+
+
+def pairs_of(tokens: Column) -> Column:
+    """Each pair of neighbours joined by a space."""
+    return let(tokens, _neighbours)
+
+
 def with_bigrams(tokens: Column) -> Column:
-    """The tokens followed by each pair of neighbours joined by a space."""
-
-    def both(ts: Column) -> Column:
-        inner = F.greatest(F.size(ts) - 1, F.lit(0))
-        pairs = F.zip_with(
-            F.slice(ts, F.lit(1), inner),
-            F.slice(ts, F.lit(2), inner),
-            lambda a, b: F.concat(a, F.lit(" "), b),
-        )
-        return F.concat(ts, pairs)
-
-    return let(tokens, both)
+    """The tokens followed by their pairs."""
+    return let(tokens, lambda ts: F.concat(ts, _neighbours(ts)))
 
 
 def ngrams(text: Column) -> Column:

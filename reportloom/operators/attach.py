@@ -10,9 +10,21 @@ from ..functions.fixed import DISCOVERY_HIT_CAP, DISCOVERY_HIT_SHARE, DISCOVERY_
 from .skew import HOT_ROWS, join_to_unique
 
 
-def wanted_texts(texts: DataFrame, ids: DataFrame, key: str = "report_key") -> DataFrame:
-    """Texts whose key occurs among ``ids``."""
-    return texts.join(ids.select(key).distinct(), key, "left_semi")
+BROADCAST_ROWS = 200_000
+
+
+def wanted_texts(
+    texts: DataFrame, ids: DataFrame, key: str = "report_key", max_ids: int | None = None
+) -> DataFrame:
+    """Texts whose key occurs among ``ids``.
+
+    ``max_ids`` is an upper bound of the number of ids, where there is one; ids with a
+    small bound are broadcast and the texts stay where they are.
+    """
+    wanted = ids.select(key).distinct()
+    if max_ids is not None and max_ids <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return texts.join(wanted, key, "left_semi")
 
 
 def first_texts(
@@ -41,9 +53,9 @@ def attach_text(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Vectors with the first text of their key, null where there is none."""
-    wanted = wanted_texts(texts.withColumn(key, F.col(key).cast("string")), vectors, key)
+    keyed = texts.withColumn(key, F.col(key).cast("string"))
     return join_to_unique(
-        vectors, first_texts(wanted, order, key), key, "left", spread_by, hot_rows=hot_rows
+        vectors, first_texts(keyed, order, key), key, "left", spread_by, hot_rows=hot_rows
     )
 
 
@@ -78,23 +90,23 @@ def discover_source(
     """
     distinct_ids = ids.select(F.col(key).cast("string").alias(key)).distinct()
     needed = distinct_ids.agg(discovery_threshold(F.count("*")).alias("needed")).scalar()
-    hits = (
-        lines.filter(F.col(line_no) < scan_lines)
-        .select(source, F.col(key).cast("string").alias(key))
-        .join(distinct_ids, key, "left_semi")
-        .groupBy(source)
-        .agg(F.count("*").alias("_hits"))
+    marked = join_to_unique(
+        lines.select(source, line_no, F.col(key).cast("string").alias(key)),
+        distinct_ids.withColumn("_known", F.lit(True)),
+        key,
+        "left",
+        [source, line_no],
     )
+    scanned = F.col(line_no) < scan_lines
+    hits = marked.groupBy(source).agg(F.count_if(F.col("_known") & scanned).alias("n_hits"))
     by_name = (
         F.when(F.col(source) == f"{base}.jsonl", 0)
         .when(F.col(source) == f"{base}.emb.jsonl", 1)
         .otherwise(2)
     )
-    named = lines.select(source).distinct().join(hits, source, "left").select(
-        by_name.alias("match"), source, F.coalesce("_hits", F.lit(0)).alias("n_hits")
-    )
     return (
-        named.withColumn("n_needed", needed)
+        hits.select(by_name.alias("match"), source, "n_hits")
+        .withColumn("n_needed", needed)
         .filter((F.col("match") < 2) | (F.col("n_hits") >= F.col("n_needed")))
         .orderBy("match", source)
         .limit(1)

@@ -75,16 +75,23 @@ def sorted_keys(index: DataFrame, key: str = "report_key") -> DataFrame:
 def distinct_versions(
     records: DataFrame, order: list[str], key: str = "report_key", text: str = "text"
 ) -> DataFrame:
-    """``(key, text, first_seen)``: each different text of a key with its first position."""
+    """``(key, text, first_seen)``: each different text of a key with its first position.
+
+    Repeats are dropped where they are read, before the shuffle, and texts are told apart
+    by their SHA-256, so no sort compares whole texts.
+    """
+    same = W.partitionBy(key, "_version").orderBy("first_seen")
     return (
         records.filter(F.col(key).isNotNull())
         .select(
             F.col(key).cast("string").alias(key),
             F.coalesce(F.col(text), F.lit("")).alias(text),
-            F.struct(*order).alias("_at"),
+            F.struct(*order).alias("first_seen"),
         )
-        .groupBy(key, text)
-        .agg(F.min("_at").alias("first_seen"))
+        .withColumn("_version", F.unhex(F.sha2(text, 256)))
+        .withColumn("_nth", F.row_number().over(same))
+        .filter(F.col("_nth") == 1)
+        .select(key, text, "first_seen")
     )
 
 

@@ -107,25 +107,33 @@ def resolve_spans(spans: Column) -> Column:
     )
 
 
-def spans_by_report(chunks: DataFrame, spans: DataFrame, *ids: str) -> DataFrame:
-    """``(ids…, span_lists)``: per report one list of non-overlapping spans for each chunk.
-
-    Chunks without spans take part with an empty list, so the lists line up with the
-    report's chunk array.
-    """
+def spans_by_report(spans: DataFrame, *ids: str) -> DataFrame:
+    """``(ids…, found)``: per report its chunks with spans, in order, spans not overlapping."""
     span = F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))
-    marks = spans.select(*ids, "chunk_no", span.alias("span")).unionByName(
-        chunks.select(*ids, "chunk_no"), allowMissingColumns=True
-    )
-    per_chunk = marks.groupBy(*ids, "chunk_no").agg(
-        resolve_spans(F.collect_list("span")).alias("chunk_spans")
+    per_chunk = spans.groupBy(*ids, "chunk_no").agg(
+        resolve_spans(F.collect_list(span)).alias("spans")
     )
-    listed = F.array_sort(F.collect_list(F.struct("chunk_no", "chunk_spans")))
     return per_chunk.groupBy(*ids).agg(
-        F.transform(listed, lambda c: c["chunk_spans"]).alias("span_lists")
+        F.array_sort(F.collect_list(F.struct("chunk_no", "spans"))).alias("found")
     )
 
 
-def redact_chunks(chunks: Column, span_lists: Column) -> Column:
-    """Each chunk with its spans replaced."""
-    return F.zip_with(chunks, span_lists, lambda c, spans: redact_spans(c, spans))
+def redact_chunks(chunks: Column, found: Column) -> Column:
+    """Chunks with their spans replaced; ``found`` is null where a report has none."""
+    kind = "array<struct<start:int,end:int>>"
+
+    def nothing(n: Column) -> Column:
+        return F.array_repeat(F.array().cast(kind), n)
+
+    def redact(texts: Column) -> Column:
+        at = F.transform(found, lambda f: f["chunk_no"])
+        following = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(texts)))
+        runs = F.zip_with(
+            found,
+            following,
+            lambda f, then: F.concat(F.array(f["spans"]), nothing(then - f["chunk_no"] - 1)),
+        )
+        lists = F.concat(nothing(F.get(at, F.lit(0))), F.flatten(runs))
+        return F.zip_with(texts, lists, lambda text, spans: redact_spans(text, spans))
+
+    return F.when(found.isNull(), chunks).otherwise(let(chunks, redact))

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import TOPIC_TERMS, VOCABULARY_SIZE
 from ..functions.scan import let
-from ..functions.text import ngrams
+from ..functions.text import ngrams, pairs_of, words
+from ..session import materialize
 
 SCORE_DIGITS = 12
+BROADCAST_ROWS = 200_000
 
 
 def count_terms(terms: Column) -> Column:
@@ -61,8 +63,34 @@ def term_stats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY_SIZE) -> DataFrame:
-    """``(term, tf, df)`` of the most frequent terms, ties by term."""
-    return term_stats(docs, text).orderBy(F.desc("tf"), "term").limit(size)
+    """``(term, tf, df)`` of the most frequent n-grams, ties by term.
+
+    Single words are counted first and kept as a table. The ``size`` most frequent of them
+    bound what it takes to be in the vocabulary, and a pair is no more frequent than
+    either of its words, so pairs are counted only where both words reach that bound.
+    The result is exact; the many pairs with a rare word never reach a shuffle.
+    """
+    total = [F.sum("tf").alias("tf"), F.count("*").alias("df")]
+    single = materialize(
+        docs.select(F.inline(let(words(F.col(text)), count_terms))).groupBy("term").agg(*total),
+        "words",
+    )
+    top = single.orderBy(F.desc("tf"), "term").limit(size)
+    bound = top.agg(F.count("*").alias("n"), F.min("tf").alias("tf")).first()
+    frequent = single.filter(F.col("tf") >= (bound["tf"] if bound["n"] == size else 1))
+    known = frequent.select("term")
+    if known.count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
+    pairs = (
+        docs.select(F.inline(let(pairs_of(words(F.col(text))), count_terms)))
+        .withColumn("_first", F.substring_index("term", " ", 1))
+        .withColumn("_second", F.substring_index("term", " ", -1))
+        .join(known.withColumnRenamed("term", "_first"), "_first", "left_semi")
+        .join(known.withColumnRenamed("term", "_second"), "_second", "left_semi")
+        .groupBy("term")
+        .agg(*total)
+    )
+    return frequent.unionByName(pairs).orderBy(F.desc("tf"), "term").limit(size)
 
 
 def tfidf_weights(

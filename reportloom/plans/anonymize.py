@@ -45,9 +45,9 @@ def anonymize(
     """
     chunks = chunk(redact_dates(F.col(text), day_dot_month), max_chunk_chars, always=True)
     pieces = chunk_table(df.filter(F.col(text).isNotNull()), chunks, *ids)
-    found = spans_by_report(pieces, person_spans(tagger(pieces, *ids)), *ids)
-    redacted = join_chunks(redact_chunks(chunks, F.col("span_lists")), strip_each=True)
+    found = spans_by_report(person_spans(tagger(pieces, *ids)), *ids)
+    redacted = join_chunks(redact_chunks(chunks, F.col("found")), strip_each=True)
     result = F.when(F.col(text).isNotNull(), redact_dates(redacted, day_dot_month))
     joined = df.join(found, list(ids), "left")
     suffix = "_de" if preserve_original else None
-    return put_result(joined, result, text, output, suffix).drop("span_lists")
+    return put_result(joined, result, text, output, suffix).drop("found")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import CLUSTERS, RANDOM_STATE, REPRESENTATIVES, TOPIC_TERMS, VOCABULARY_SIZE
 from ..operators import clusters as C
 from ..operators import topics as T
-from ..operators.attach import attach_text
+from ..operators.attach import attach_text, wanted_texts
 from ..operators.positions import positions
 from ..operators.project import project
 from ..session import materialize
@@ -51,7 +51,8 @@ def describe(
     nearest = C.representatives(slim, "idx_global", reps)
     # The text joins the few representatives, not every member.
     if texts is not None:
-        nearest = attach_text(nearest, texts, text_order, ["idx_global"])
+        few = wanted_texts(texts, nearest, max_ids=k * reps)
+        nearest = attach_text(nearest, few, text_order, ["idx_global"])
     else:
         nearest = nearest.withColumn("text", F.lit(None).cast("string"))
     docs = with_text.withColumn("text", F.coalesce("text", F.lit("")))
