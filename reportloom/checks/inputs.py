@@ -178,29 +178,30 @@ BROKEN_JSONL = """
 # --- versions of a report -----------------------------------------------------------
 def versions(spark: SparkSession, d: str) -> DataFrame:
     """Documents as file ``a``; changed and repeated copies in files ``b`` to ``d``."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    no_first_line = F.regexp_replace("text", r"\A[^\n]*\n", "")
-    addendum = F.concat("text", F.lit("\nNachtrag "), "doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
 
-    def copy(file: str, when: Column, text: Column) -> DataFrame:
-        return docs.filter(when).select(
-            F.col("doc_id").alias("report_key"), text.alias("text"), F.lit(file).alias("source_file"),
+    def file(name: str, rows: DataFrame, text: Column) -> DataFrame:
+        return rows.select(
+            F.col("doc_id").alias("report_key"), text.alias("text"), F.lit(name).alias("source_file"),
             F.col("doc_id").alias("line_no"),
         )
 
+    no_first_line = F.regexp_replace("text", r"\A[^\n]*\n", "")
+    addendum = F.concat("text", F.lit("\nNachtrag "), "doc_id")
     return (
-        copy("a", F.lit(True), F.col("text"))
-        .unionByName(copy("b", F.col("doc_id") % 3 == 0, no_first_line))
-        .unionByName(copy("c", F.col("doc_id") % 5 == 0, addendum))
-        .unionByName(copy("d", F.lit(True), F.when(F.col("doc_id") % 7 != 0, F.col("text"))))
+        file("a", docs, F.col("text"))
+        .unionByName(file("b", docs.filter(F.contains("text", F.lit("\n"))), no_first_line))
+        .unionByName(file("c", docs.filter(F.col("lang") == "de"), addendum))
+        .unionByName(file("d", docs, F.when(F.col("lang") != "es", F.col("text"))))
     )
 
 
 VERSIONS = """
   SELECT doc_id AS report_key, text, 'a' AS source_file FROM documents
-  UNION ALL SELECT doc_id, regexp_replace(text, '\\A[^\\n]*\\n', ''), 'b' FROM documents WHERE doc_id % 3 = 0
-  UNION ALL SELECT doc_id, text || chr(10) || 'Nachtrag ' || doc_id, 'c' FROM documents WHERE doc_id % 5 = 0
-  UNION ALL SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN text END, 'd' FROM documents"""
+  UNION ALL SELECT doc_id, regexp_replace(text, '\\A[^\\n]*\\n', ''), 'b' FROM documents
+            WHERE contains(text, chr(10))
+  UNION ALL SELECT doc_id, text || chr(10) || 'Nachtrag ' || doc_id, 'c' FROM documents WHERE lang = 'de'
+  UNION ALL SELECT doc_id, CASE WHEN lang <> 'es' THEN text END, 'd' FROM documents"""
 
 
 # --- vectors ------------------------------------------------------------------------

@@ -77,14 +77,17 @@ def translate(
     text: str = "text",
     max_chunk_chars: int | None = None,
     hosted: bool = False,
+    whole: bool = False,
     output: str | None = None,
     preserve_original: bool = False,
 ) -> DataFrame:
     """Reports with ``text`` translated; rows not to be translated pass unchanged.
 
-    ``ids`` must identify a record.
+    ``ids`` must identify a record. ``whole`` sends each text as it is, without chunks.
     """
     limit = max_chunk_chars or (HOSTED_CHUNK_CHARS if hosted else LOCAL_CHUNK_CHARS)
+    if whole:
+        limit = None
     chunks = report_chunks(df, ids, text, limit, hosted)
     answers = attach_translations(chunks, translator(distinct_chunks(chunks)), *ids)
     joined = df.join(rejoin_chunks(answers, *ids, chunk="translated", out="_translated"), list(ids), "left")

@@ -11,7 +11,7 @@ from reportloom.plans.anonymize import anonymize, gazetteer_tagger
 from reportloom.plans.cluster import cluster_each_source, cluster_reports
 from reportloom.plans.translate import client_translator, model_translator, report_chunks, translate
 from reportloom.session import scratch_path, scratch_root
-from reportloom.sinks.exports import export_csv, export_jsonl, export_vectors
+from reportloom.sinks.exports import export_csv, export_jsonl, export_pairs, export_vectors
 from reportloom.sources.fragments import read_fragments
 from reportloom.sources.records import decode_lines, read_lines
 from reportloom.sources.vectors import read_vectors
@@ -63,6 +63,8 @@ def test_exports_keep_nulls_and_quotes(spark, tmp_path):
     export_csv(df, str(tmp_path / "c"))
     back = spark.read.schema(df.schema).option("header", True).option("escape", '"').option("multiLine", True).option("nullValue", "\0")
     assert sorted(map(tuple, back.csv(str(tmp_path / "c")).collect())) == [(1, 'a "q"\nü, x'), (2, None), (3, "")]
+    export_pairs(spark.createDataFrame([("k", "a", "")], "report_key string, text_a string, text_b string"), str(tmp_path / "p"))
+    assert tuple(spark.read.json(str(tmp_path / "p")).first()) == ("k", "a", "")
     export_vectors(df.filter("false").select(F.lit("k").alias("report_key"), F.array(F.lit(1.0)).alias("embedding")),
                    str(tmp_path / "v"))
     assert read_vectors(spark, str(tmp_path / "v")).count() == 0
@@ -127,6 +129,8 @@ def test_local_translation_sends_empty_text_and_chunks_long_text(spark):
     done = translate(df, model_translator(lambda: lambda ts: [f"<{t}>" for t in ts]), output="en")
     got = {r.report_key: r for r in done.collect()}
     assert got[1].en == "<>" and got[3].en is None and got[2].text == long
+    whole = translate(df, model_translator(lambda: lambda ts: [f"<{t}>" for t in ts], 1), whole=True)
+    assert {r.report_key: r.text for r in whole.collect()} == {1: "<>", 2: f"<{long}>", 3: None}
     assert got[2].en.count("<") == report_chunks(df).filter("report_key = 2").count() > 2
 
 

@@ -14,7 +14,7 @@ from reportloom.operators.positions import positions
 from reportloom.operators.project import project
 from reportloom.operators.skew import join_to_unique, size_setting
 from reportloom.operators.spans import gazetteer_spans
-from reportloom.operators.topics import cluster_term_scores, cluster_topics, topic_lists
+from reportloom.operators.topics import cluster_term_scores, cluster_topics, topic_lists, vocabulary
 
 FRAGMENTS = "source_file string, report_key string, seq int, text string"
 
@@ -151,6 +151,16 @@ def test_topics_keep_empty_clusters(spark):
         assert got[term] == pytest.approx(weight / norm / 2)
 
 
+@pytest.mark.parametrize("size", [3, 40, 5000])
+def test_pruned_vocabulary_is_the_same(spark, size):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    whole = vocabulary(docs, size=size, prune_pairs=False).collect()
+    assert vocabulary(docs, size=size, prune_pairs=True).collect() == whole
+    tiny = spark.createDataFrame([("cc bb aa bb",), ("",), (None,), ("aa",)], "text string")
+    both = [vocabulary(tiny, size=size, prune_pairs=p).collect() for p in (True, False)]
+    assert both[0] == both[1] and tuple(both[0][0]) == ("aa", 2, 2)
+
+
 def blobs(spark, n=300, dims=6):
     rng = np.random.default_rng(3)
     data = rng.normal(size=(n, dims)) + np.arange(3)[rng.integers(0, 3, n)][:, None] * 9
