@@ -8,10 +8,10 @@ from ..functions.chunk import chunk, split_sentences
 from ..functions.decode import decode_hex, strip_rtf
 from ..functions.fixed import ANONYMISE_CHUNK_CHARS, HOSTED_CHUNK_CHARS, LOCAL_CHUNK_CHARS
 from ..functions.redact import redact_dates
-from ..operators.assemble import assemble, load_stats, preview
+from ..operators.assemble import assemble, load_stats
 from ..operators.chunks import chunk_table, rejoin_chunks
 from ..operators.records import put_result, require_key_text, route
-from ..plans.decode import decode_reports, export_columns
+from ..plans.decode import decode_reports, export_columns, preview_reports
 from ..sources.fragments import read_fragments
 from .inputs import (
     DATED_REPORTS,
@@ -184,7 +184,7 @@ QUERIES = {
         "SELECT doc_id AS report_key, text FROM documents",
     ),
     "preview_reports": (
-        lambda s, d: preview(decoded(s, d)),
+        lambda s, d: preview_reports(hex_fragments(s, d)),
         f"""SELECT report_key, left(text, 100) || '...' AS encoded, left(plain, 100) || '...' AS decoded,
               left(plain, 200) || '...' AS plain
             FROM ({HEX_SQL}) ORDER BY report_key LIMIT 10""",

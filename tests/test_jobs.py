@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from reportloom.operators.infer import distinct_chunks, embed, translate_with
 from reportloom.plans.anonymize import anonymize, gazetteer_tagger
+from reportloom.plans.decode import preview_reports
 from reportloom.plans.cluster import cluster_each_source, cluster_reports
 from reportloom.plans.translate import client_translator, model_translator, report_chunks, translate
 from reportloom.session import scratch_path, scratch_root
@@ -35,6 +36,17 @@ def test_fragment_scan_takes_files_as_they_are(spark, tmp_path):
             read_fragments(spark, str(tmp_path / path))
 
 
+def test_preview_takes_null_keys_first(spark):
+    df = spark.createDataFrame(
+        [("f", "b", 1, "62"), ("f", "b", 2, "63"), ("f", None, 1, "6e"), ("f", "c", 1, "64"), ("g", "b", 1, "65")],
+        "source_file string, report_key string, seq int, text string",
+    )
+    got = preview_reports(df, rows=3).collect()
+    assert [r.report_key for r in got] == [None, "b", "b"]
+    assert sorted(r.plain for r in got) == ["bc...", "e...", "n..."]
+    assert preview_reports(df, rows=1).first().plain == "n..."
+
+
 def test_lines_keep_file_order_and_nesting(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "b.jsonl").write_text("\n".join(f"b{i}" for i in range(200)))
