@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, neighbours, sentencepiece, token_files, toxicity
+from . import exact_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -88,6 +92,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
+    "op2_ngram_join": (op2_ngram_join, None),
     "op5_token_files": (op5_token_files, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_toxicity": (op7_toxicity, None),
