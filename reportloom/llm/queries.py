@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity
+from . import exact_dedup, line_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,36 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "line_count", "dropped_count", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+def lines_sql(documents: str) -> str:
+    """SQL for the deduplicated texts of the table or subquery ``documents``: ``deduped`` has all its
+    columns but the text, and ``line_count``, ``dropped_count`` and the new text as ``kept``."""
+    return f"""
+lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM {documents})),
+firsts AS (SELECT line, min(doc_id) AS doc_id, arg_min(n, (doc_id, n)) AS n, len(line) AS size
+           FROM lines WHERE line <> '' GROUP BY line),
+near AS (SELECT DISTINCT a.line FROM (SELECT *, unnest([size - 1, size, size + 1]) AS other FROM firsts WHERE size >= 24) a
+         JOIN firsts b ON a.other = b.size AND b.size >= 24 AND (b.doc_id, b.line) < (a.doc_id, a.line)
+         WHERE levenshtein(a.line, b.line) <= 1),
+marked AS (SELECT l.doc_id, l.n, l.line, l.line <> '' AND ((l.doc_id, l.n) <> (f.doc_id, f.n) OR near.line IS NOT NULL) AS gone
+           FROM lines l LEFT JOIN firsts f ON l.line = f.line LEFT JOIN near ON l.line = near.line),
+joined AS (SELECT doc_id, count(*)::INT AS line_count, count_if(gone)::INT AS dropped_count,
+                  coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS kept FROM marked GROUP BY doc_id),
+deduped AS (SELECT d.* EXCLUDE (text), coalesce(line_count, 0)::INT AS line_count,
+                   coalesce(dropped_count, 0)::INT AS dropped_count, CASE WHEN d.text IS NOT NULL THEN kept END AS kept
+            FROM {documents} d LEFT JOIN joined j USING (doc_id))
+"""
+
+
+OP3_SQL = f"WITH {lines_sql('documents')} SELECT doc_id, line_count, dropped_count, sha256(kept) AS text_sha256 FROM deduped"
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -93,6 +123,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_ngram_join": (op2_ngram_join, None),
+    "op3_line_dedup": (op3_line_dedup, OP3_SQL),
     "op5_token_files": (op5_token_files, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_toxicity": (op7_toxicity, None),
