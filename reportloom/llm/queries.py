@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity
+from . import exact_dedup, language_id, line_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+    return found.drop("doc_hash")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -127,6 +132,7 @@ QUERIES = {
     "op5_token_files": (op5_token_files, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_toxicity": (op7_toxicity, None),
+    "op8_language_id": (op8_language_id, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_neighbours": (op10_neighbours, None),
 }
