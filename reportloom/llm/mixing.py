@@ -90,28 +90,54 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
     return edges.select("source", F.when(nearer, F.col("low") + 1).otherwise(F.col("low")).alias("cut"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """One row per document of ``doc_id, text, source``: how many of its words the mix takes.
+def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """One row per source: ``source, source_size, target, repeats, cut``.
 
-    Returns ``doc_id, source, size, source_size, target, taken``. ``taken`` is a multiple of
-    ``size``, at most ``most`` times it. Documents with one id are taken together. Empty and
-    null texts have size 0 and take nothing; a null source is a source of its own. An empty
-    table gives an empty result. Other columns do not matter.
+    Documents are taken ``repeats`` times, those with a hash below ``cut`` once more.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sized = materialize(sized.withColumn("hash", order_hash(F.col("doc_id"))), "sizes")
+    sized = docs.select("source", word_count(F.col("text")).alias("size"), order_hash(F.col("doc_id")).alias("hash"))
+    sized = materialize(sized, "sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, most), "targets")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = targets.withColumn("repeats", F.least(whole.cast("long"), F.lit(most)))
+    targets = targets.withColumn("repeats", F.least(whole.cast("long"), F.lit(most).cast("long")))
     budgets = targets.filter("source_size > 0").select(
         "source", (F.col("target") - F.col("repeats") * F.col("source_size")).alias("budget")
     )
     cuts = thresholds(sized.filter("size > 0"), budgets)
-    plan = targets.join(cuts, targets.source.eqNullSafe(cuts.source), "left").drop(cuts.source)
-    more = (F.col("hash") < F.coalesce(F.col("cut"), F.lit(0))).cast("long")
-    repeats = F.least(F.col("repeats") + more, F.lit(most).cast("long"))
-    return sized.join(plan, sized.source.eqNullSafe(plan.source), "left").select(
-        sized.doc_id, sized.source, sized.size, F.coalesce("source_size", F.lit(0)).alias("source_size"),
-        "target", (sized["size"] * F.coalesce(repeats, F.lit(0))).alias("taken"),
-    )
+    joined = targets.join(cuts, targets.source.eqNullSafe(cuts.source), "left").drop(cuts.source)
+    return materialize(joined.withColumn("cut", F.coalesce("cut", F.lit(0).cast("long"))), "plan")
+
+
+def with_plan(docs: DataFrame, made: DataFrame, most: int) -> DataFrame:
+    """``docs`` with ``_size``, the plan's columns and ``_times``, how often a document is taken."""
+    rows = docs.withColumns({"_size": word_count(F.col("text")), "_hash": order_hash(F.col("doc_id"))})
+    made = made.select(F.col("source").alias("_source"), "source_size", "target", F.col("repeats").alias("_repeats"), F.col("cut").alias("_cut"))
+    joined = rows.join(made, rows.source.eqNullSafe(F.col("_source")), "left")
+    more = (F.col("_hash") < F.col("_cut")).cast("long")
+    return joined.withColumn("_times", F.least(F.col("_repeats") + more, F.lit(most).cast("long")))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """One row per document of ``doc_id, text, source``: how many of its words the mix takes.
+
+    Returns ``doc_id, source, size, source_size, target, taken``. ``taken`` is a multiple of
+    ``size``, at most ``most`` times it. Documents with one id are taken together. Empty and
+    null texts have size 0 and take nothing; a null source is a source of its own. An empty
+    table gives an empty result. Other columns do not matter.
+    """
+    rows = docs.select("doc_id", "text", "source")
+    return with_plan(rows, plan(rows, weights, most), most).select(
+        "doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_times")).alias("taken")
+    )
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """The mix itself: each document of ``docs`` as many times as it is taken, all columns kept.
+
+    Texts without words take nothing and are not in the mix.
+    """
+    made = plan(docs.select("doc_id", "text", "source"), weights, most)
+    taken = with_plan(docs, made, most).filter("_size > 0 AND _times > 0")
+    again = taken.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
+    return again.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity
+from . import exact_dedup, language_id, line_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,18 @@ deduped AS (SELECT d.* EXCLUDE (text), coalesce(line_count, 0)::INT AS line_coun
 OP3_SQL = f"WITH {lines_sql('documents')} SELECT doc_id, line_count, dropped_count, sha256(kept) AS text_sha256 FROM deduped"
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -129,6 +141,7 @@ QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_ngram_join": (op2_ngram_join, None),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
+    "op4_warc": (op4_warc, OP4_SQL),
     "op5_token_files": (op5_token_files, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op7_toxicity": (op7_toxicity, None),
