@@ -110,9 +110,9 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_R
 
 
 def with_plan(docs: DataFrame, made: DataFrame, most: int) -> DataFrame:
-    """``docs`` with ``_size``, the plan's columns and ``_times``, how often a document is taken."""
+    """``docs`` with ``_size``, the plan's ``_total`` and ``_target``, and ``_times``, how often a document is taken."""
     rows = docs.withColumns({"_size": word_count(F.col("text")), "_hash": order_hash(F.col("doc_id"))})
-    made = made.select(F.col("source").alias("_source"), "source_size", "target", F.col("repeats").alias("_repeats"), F.col("cut").alias("_cut"))
+    made = made.select(F.col("source").alias("_source"), F.col("source_size").alias("_total"), F.col("target").alias("_target"), F.col("repeats").alias("_repeats"), F.col("cut").alias("_cut"))
     joined = rows.join(made, rows.source.eqNullSafe(F.col("_source")), "left")
     more = (F.col("_hash") < F.col("_cut")).cast("long")
     return joined.withColumn("_times", F.least(F.col("_repeats") + more, F.lit(most).cast("long")))
@@ -128,7 +128,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     """
     rows = docs.select("doc_id", "text", "source")
     return with_plan(rows, plan(rows, weights, most), most).select(
-        "doc_id", "source", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_times")).alias("taken")
+        "doc_id", "source", F.col("_size").alias("size"), F.col("_total").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_times")).alias("taken")
     )
 
 
