@@ -173,7 +173,7 @@ QUERIES = {
     ),
     "strip_rtf": (
         strip_rtf_text,
-        r"SELECT doc_id, translate(text, '\{}' || chr(13), '') AS text_plain FROM documents",
+        "SELECT doc_id, replace(text, chr(13), '') AS text_plain FROM documents",
     ),
     "decode_reports": (
         decode_reports_query,

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import replace_matches
 from ..functions.fixed import MONTH_NAMES, SPACES
-from ..sources.files import spread
 
 WORD_SQL = r"[\p{L}\p{N}_]"
 SPACE_SQL = (
@@ -23,13 +22,9 @@ def strip_sql(expr: str) -> str:
     return f"trim({expr}, '{SPACES}')"
 
 
-ROW_IDS = {"documents": "doc_id", "orders": "o_orderkey", "customer": "c_custkey", "embeddings": "vec_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, dealt out to all cores where its one file would be one task."""
-    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(scan, ROW_IDS[name]) if name in ROW_IDS else scan
+    """A given table as its files are laid out."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- hex fragments ------------------------------------------------------------------
@@ -64,12 +59,12 @@ NULL_FRAGMENTS = """
 # --- RTF documents ------------------------------------------------------------------
 def rtf_reports(spark: SparkSession, d: str) -> DataFrame:
     """Documents as RTF: ``\\par`` for line breaks, ``\\uN`` for other than ASCII characters."""
-    plain = F.translate("text", "\\{}\r", "")
+    plain = F.regexp_replace(F.translate("text", "\r", ""), r"([\\{}])", r"\\$1")
     coded = replace_matches(
         plain, r"[\x{80}-\x{7fff}]", lambda c: F.concat(F.lit("\\u"), F.ascii(c), F.lit("?"))
     )
     coded = F.replace(coded, F.lit("\n"), F.lit("\\par "))
-    head = "{\\rtf1\\ansi\\deff0{\\fonttbl{\\f0 Arial;}{\\f1 Times;}}{\\colortbl;\\red0;}\\pard\\b0 "
+    head = "{\\rtf1\\ansi\\deff0{\\fonttbl{\\f0 Arial;}{\\f1 Times;}}{\\colortbl;\\red0;}{\\info{\\a{\\b{\\c{\\d hidden}}}}}\\pard\\b0 "
     return table(spark, d, "documents").select(
         "doc_id", F.concat(F.lit(head), coded, F.lit("}")).alias("text")
     )
@@ -151,6 +146,12 @@ def gazetteer(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """The same rows with a key that is null for every fifth row and shared by two others."""
+    shared = F.when(F.col(key) % 5 != 0, F.expr(f"{key} DIV 2").cast("string"))
+    return df.withColumn("_key", shared).drop(key).withColumnRenamed("_key", "report_key")
+
+
 # --- JSON lines with defects --------------------------------------------------------
 def broken_jsonl(spark: SparkSession, d: str) -> DataFrame:
     """Conversation turns as JSON lines, some of them broken in one of four ways."""

@@ -14,7 +14,7 @@ from ..operators.infer import attach_translations, distinct_chunks, embed
 from ..operators.translate import glossary_translations, translation_budget
 from ..plans.translate import client_translator, glossary_translator, report_chunks, translate
 from .decode import EXPLODE, _variant_sql
-from .inputs import strip_sql, table
+from .inputs import repeated_keys, strip_sql, table
 from .topics import _DOCS, documents
 
 DIMS = 64
@@ -128,15 +128,23 @@ QUERIES = {
             WHERE chunk <> ''""",
     ),
     "translate_reports": (
-        lambda s, d: translate(documents(s, d), glossary_translator(glossary(s, d)), ("doc_id",)),
+        lambda s, d: translate(documents(s, d), glossary_translator(glossary(s, d))),
         f"""SELECT doc_id, {strip_sql("replace(string_agg(translated, ' ' ORDER BY chunk_no), '  ', ' ')")} AS text
             FROM ({TRANSLATED}) GROUP BY doc_id""",
     ),
+    "translate_repeated_keys": (
+        lambda s, d: translate(
+            repeated_keys(documents(s, d).drop("source"), "doc_id"), glossary_translator(glossary(s, d)), output="en"
+        ).groupBy("report_key").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(F.md5("en"))), " ").alias("texts")),
+        f"""SELECT CASE WHEN doc_id % 5 <> 0 THEN (doc_id // 2)::VARCHAR END AS report_key, count(*) AS n,
+              string_agg(md5(en), ' ' ORDER BY md5(en)) AS texts
+            FROM (SELECT doc_id, {strip_sql("replace(string_agg(translated, ' ' ORDER BY chunk_no), '  ', ' ')")} AS en
+                  FROM ({TRANSLATED}) GROUP BY doc_id) GROUP BY 1""",
+    ),
     "translate_client": (
         lambda s, d: translate(
             documents(s, d),
             client_translator(fake_client, formality="more", callers=4),
-            ("doc_id",),
             hosted=True,
             preserve_original=True,
         ),

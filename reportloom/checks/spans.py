@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions.redact import redact_spans
 from ..operators.chunks import chunk_table
+from ..operators.records import field
 from ..operators.spans import gazetteer_spans, person_spans
 from ..plans.anonymize import anonymize, gazetteer_tagger, model_tagger
-from .inputs import NAMED_REPORTS, gazetteer, named_reports
+from ..plans.files import anonymize_jsonl
+from ..session import scratch_path
+from ..sources.records import parse_records, read_lines
+from .inputs import NAMED_REPORTS, gazetteer, named_reports, repeated_keys
 
 
 def report_chunks(spark, d):
@@ -62,7 +66,22 @@ _SPAN_COLUMNS = 'report_key, chunk_no::INTEGER AS chunk_no, start::INTEGER AS st
 _FLAT = "replace(replace(text, '  ', ' '), chr(10), ' ')"
 _DATES = f"replace({_FLAT}, '12.03.1998', '[DATE_REDACTED]')"
 
+def redacted_files(spark, d):
+    """Reports written as JSON lines, redacted from files to files and read again."""
+    source, target = scratch_path(spark, "lines"), scratch_path(spark, "redacted")
+    reports = repeated_keys(named_reports(spark, d), "report_key")
+    reports.select(F.to_json(F.struct("report_key", "text", F.lit(1).alias("it's"))).alias("value")).write.text(source)
+    anonymize_jsonl(spark, source, target, model_tagger(customer_tagger), preserve_original=True, glob="part-*")
+    records = parse_records(read_lines(spark, target, glob="part-*"))
+    return records.select("report_key", "text", field(F.col("record"), "text_de").alias("text_de"), field(F.col("record"), "it's", "int").alias("extra"))
+
+
 QUERIES = {
+    "anonymize_jsonl": (
+        redacted_files,
+        f"""SELECT CASE WHEN report_key % 5 <> 0 THEN (report_key // 2)::VARCHAR END AS report_key,
+              replace({_DATES}, c_name, '[NAME_REDACTED]') AS text, text AS text_de, 1 AS extra FROM ({NAMED_REPORTS})""",
+    ),
     "gazetteer_spans": (found_spans, f"SELECT {_SPAN_COLUMNS} FROM ({SPANS})"),
     "person_spans": (
         lambda s, d: person_spans(found_spans(s, d)),
@@ -78,6 +97,11 @@ QUERIES = {
         f"""SELECT report_key, text AS text_de, replace({_DATES}, c_name, '[NAME_REDACTED]') AS text
             FROM ({NAMED_REPORTS})""",
     ),
+    "anonymize_repeated_keys": (
+        lambda s, d: anonymize(repeated_keys(named_reports(s, d), "report_key"), model_tagger(customer_tagger)),
+        f"""SELECT CASE WHEN report_key % 5 <> 0 THEN (report_key // 2)::VARCHAR END AS report_key,
+              replace({_DATES}, c_name, '[NAME_REDACTED]') AS text FROM ({NAMED_REPORTS})""",
+    ),
     "anonymize_reports": (
         lambda s, d: anonymize(named_reports(s, d), gazetteer_tagger(gazetteer(s, d))),
         f"""SELECT report_key, CASE WHEN c_mktsegment = 'BUILDING'

@@ -64,9 +64,8 @@ def discovered(spark, d):
     lines = table(spark, d, "documents").select(
         F.col("doc_id").alias("report_key"), F.col("source").alias("source_file")
     )
-    numbered = positions(lines, "source_file", "report_key", "line_no", within_source=True)
     ids = table(spark, d, "embeddings").select(F.col("vec_id").alias("report_key"))
-    return discover_source(numbered, ids, base="embeddings")
+    return discover_source(lines, ids, base="embeddings")
 
 
 def indexed(spark, d):
@@ -174,9 +173,9 @@ QUERIES = {
     "source_discovery": (
         discovered,
         """WITH needed AS (SELECT greatest(1, least(50, count(DISTINCT vec_id) // 100)) AS n FROM embeddings),
-           lines AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS line FROM documents)
+           lines AS (SELECT source, doc_id FROM documents)
            SELECT 2 AS match, source AS source_file, count(*) AS n_hits, any_value(n) AS n_needed
-           FROM lines, needed WHERE line <= 200000 AND doc_id IN (SELECT vec_id FROM embeddings)
+           FROM lines, needed WHERE doc_id IN (SELECT vec_id FROM embeddings)
            GROUP BY source HAVING count(*) >= any_value(n) ORDER BY source LIMIT 1""",
     ),
     "cluster_sizes": (

@@ -23,7 +23,7 @@ Factory = Callable[[], Model]
 
 
 def embed(text: Column, factory: Factory, batch_size: int = EMBED_BATCH) -> Column:
-    """Float vectors of a text column, the model called with ``batch_size`` texts."""
+    """Float vectors of a text column, the model called with up to ``batch_size`` texts; null stays null."""
 
     def make():
         import numpy as np
@@ -31,13 +31,17 @@ def embed(text: Column, factory: Factory, batch_size: int = EMBED_BATCH) -> Colu
         model = factory()
 
         def predict(texts: np.ndarray) -> np.ndarray:
-            return np.asarray(model([str(t) for t in texts]), dtype=np.float32)
+            present = [i for i, t in enumerate(texts) if t is not None]
+            found = np.asarray(model([str(texts[i]) for i in present]) if present else [[0.0]], dtype=np.float32)
+            out = np.zeros((len(texts), found.shape[1]), np.float32)
+            out[present] = found if present else 0
+            return out
 
         return predict
 
     call = predict_batch_udf(make, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
     # Otherwise the optimizer may copy the call into a filter and run the model twice.
-    return call.asNondeterministic()(text)
+    return F.when(text.isNotNull(), call.asNondeterministic()(text))
 
 
 def _batches(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
@@ -71,7 +75,7 @@ def tag(chunks: DataFrame, factory: Factory, *ids: str, batch_size: int = TAG_BA
             rows = []
             tagged = model(batch["chunk"].tolist())
             for values, text, found in zip(
-                batch[names].itertuples(index=False, name=None), batch["chunk"], tagged
+                batch[names].itertuples(index=False, name=None), batch["chunk"], tagged, strict=True
             ):
                 for start, end, label, span_text in found:
                     located = start is not None and end is not None

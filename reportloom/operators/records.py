@@ -5,6 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+RECORD = "_record"
+
+
+def with_record_id(df: DataFrame) -> DataFrame:
+    """Adds ``_record``, an id of the row itself, whatever keys it carries.
+
+    The rows are written once, so that every later read sees the same ids.
+    """
+    return materialize(df.withColumn(RECORD, F.monotonically_increasing_id()), "records")
+
+
+def field(record: Column, name: str, kind: str = "string") -> Column:
+    """A field of a variant object by its name, whatever quotes the name holds; null if it is absent."""
+    if "'" not in name:
+        return F.try_variant_get(record, f"$['{name}']", kind)
+    if '"' not in name:
+        return F.try_variant_get(record, f'$["{name}"]', kind)
+    return F.try_variant_get(F.element_at(record.cast("map<string,variant>"), F.lit(name)), "$", kind)
+
 
 def require_key_text(df: DataFrame, key: str = "report_key", text: str = "text") -> DataFrame:
     """Rows with key and text, both as strings; other columns are dropped."""
@@ -48,7 +69,7 @@ def rewrite_record(
     fields = record.cast("map<string,variant>")
     written = {output_key or key: result}
     if preserve_suffix:
-        written[key + preserve_suffix] = F.try_variant_get(record, f"$['{key}']", "string")
+        written[key + preserve_suffix] = field(record, key)
     names = list(written)
     entries = [x for name in names for x in (F.lit(name), written[name].cast("variant"))]
     kept = F.map_filter(fields, lambda name, _: ~name.isin(*names))

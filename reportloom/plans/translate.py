@@ -17,7 +17,7 @@ from ..operators.infer import (
     translate_with,
     with_chunk_id,
 )
-from ..operators.records import put_result, route
+from ..operators.records import RECORD, put_result, route, with_record_id
 from ..operators.translate import glossary_translations
 
 Translator = Callable[[DataFrame], DataFrame]
@@ -73,7 +73,6 @@ def report_chunks(
 def translate(
     df: DataFrame,
     translator: Translator,
-    ids: tuple[str, ...] = ("report_key",),
     text: str = "text",
     max_chunk_chars: int | None = None,
     hosted: bool = False,
@@ -83,18 +82,20 @@ def translate(
 ) -> DataFrame:
     """Reports with ``text`` translated; rows not to be translated pass unchanged.
 
-    ``ids`` must identify a record. ``whole`` sends each text as it is, without chunks.
+    Each row is a record of its own; keys may repeat or be null. ``whole`` sends each text as
+    it is, without chunks.
     """
+    df = with_record_id(df)
     limit = max_chunk_chars or (HOSTED_CHUNK_CHARS if hosted else LOCAL_CHUNK_CHARS)
     if whole:
         limit = None
-    chunks = report_chunks(df, ids, text, limit, hosted)
-    answers = attach_translations(chunks, translator(distinct_chunks(chunks)), *ids)
-    joined = df.join(rejoin_chunks(answers, *ids, chunk="translated", out="_translated"), list(ids), "left")
+    chunks = report_chunks(df, (RECORD,), text, limit, hosted)
+    answers = attach_translations(chunks, translator(distinct_chunks(chunks)), RECORD)
+    joined = df.join(rejoin_chunks(answers, RECORD, chunk="translated", out="_translated"), RECORD, "left")
     passes = route(F.col(text), empty_passes=hosted) == "pass"
     suffix = "_original" if preserve_original else None
     if output and output != text:
         result = F.when(~passes, F.col("_translated"))
     else:
         result = F.when(passes, F.col(text)).otherwise(F.col("_translated"))
-    return put_result(joined, result, text, output, suffix).drop("_translated")
+    return put_result(joined, result, text, output, suffix).drop("_translated", RECORD)
