@@ -20,9 +20,11 @@ def read_vectors(
     embedding: str = "embedding",
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(report_key, embedding, source_file, row_index)`` of all finite vectors.
+    """``(report_key, embedding, source_file, file_path, row_index)`` of all finite vectors.
 
-    Several paths form one merged set that remembers the file and row of each vector.
+    Several paths form one merged set that remembers the file and row of each vector. A
+    ``source_file`` that the set itself carries is kept; ``file_path`` tells files of one
+    name apart.
     """
     raw = spark.read.parquet(*paths)
     missing = {key, embedding} - set(raw.columns)
@@ -32,7 +34,8 @@ def read_vectors(
         raw.select(
             F.col(key).cast("string").alias("report_key"),
             F.col(embedding).cast("array<float>").alias("embedding"),
-            F.col("_metadata.file_name").alias("source_file"),
+            (F.col("source_file") if "source_file" in raw.columns else F.col("_metadata.file_name")).alias("source_file"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.row_index").alias("row_index"),
             *extra,
         )
