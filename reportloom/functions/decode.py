@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fixed import CP1252_UPPER, HEX_BLANKS, RTF_CHARACTERS, RTF_MARK, RTF_MARK_WITHIN
-from .scan import let
+from .scan import fold_emit, let
 
 
 def decode_hex(text: Column, min_hex_len: int = 0) -> Column:
@@ -37,16 +37,31 @@ def is_rtf(text: Column) -> Column:
     return F.contains(F.substring(text, 1, RTF_MARK_WITHIN), F.lit(RTF_MARK))
 
 
-# A brace group nested up to three deep; escaped braces inside do not count.
-_ATOM = r"(?:\\[^\r\n]|[^{}\\])"
-_GROUP1 = r"\{" + _ATOM + r"*+\}"
-_GROUP2 = r"\{(?:" + _ATOM + "|" + _GROUP1 + r")*+\}"
-_INNER = r"(?:" + _ATOM + "|" + _GROUP2 + r")*+"
+# The start of a group that is not text.
 _HIDDEN = (
     r"\{\s*(?:\\\*|\\(?:fonttbl|colortbl|stylesheet|info|pict|header|footer|generator"
-    r"|listtable|listoverridetable|themedata|datastore)(?![a-zA-Z]))" + _INNER + r"\}"
+    r"|listtable|listoverridetable|themedata|datastore)(?![a-zA-Z]))"
 )
 
+
+def _drop_hidden(text: Column) -> Column:
+    """Text without hidden groups, however deep they nest; escaped braces are gone by now.
+
+    The number of braces open since a hidden group began is carried along; 0 means text.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(_HIDDEN + r"|[{}]|[^{}]++"), F.lit(0))
+
+    def step(open_: Column, token: Column) -> Column:
+        opens, closes = F.startswith(token, F.lit("{")), token == "}"
+        inside = F.when(opens, open_ + 1).when(closes, open_ - 1).otherwise(open_)
+        return F.when(open_ > 0, inside).when(opens & (F.length(token) > 1), 1).otherwise(0)
+
+    def shown(open_: Column, token: Column) -> Column:
+        return (open_ == 0) & ~(F.startswith(token, F.lit("{")) & (F.length(token) > 1))
+
+    kept = fold_emit(tokens, F.lit(0), step, shown, lambda _, token: token, "string")
+    return F.array_join(kept, "")
+
 # Private-use stand-ins for escaped characters while control words are removed.
 _BACKSLASH, _OPEN, _CLOSE = "\ue000", "\ue001", "\ue002"
 
@@ -90,14 +105,14 @@ def _named_character(word: Column) -> Column:
 def strip_rtf(text: Column) -> Column:
     """Plain text of an RTF document; text without the RTF mark is unchanged.
 
-    Font, colour, style and other ignorable groups go when nested at most three deep.
+    Font, colour, style and other ignorable groups go with all that is nested in them.
     """
     t = F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH))
     t = F.replace(t, F.lit("\\{"), F.lit(_OPEN))
     t = F.replace(t, F.lit("\\}"), F.lit(_CLOSE))
     t = F.regexp_replace(t, r"\\\r?\n", r"\\par ")
     t = F.translate(t, "\r\n", "")
-    t = F.regexp_replace(t, _HIDDEN, "")
+    t = let(t, lambda x: F.when(x.rlike(_HIDDEN), _drop_hidden(x)).otherwise(x))
     # A stand-in character for old readers follows each \uN.
     t = replace_matches(t, r"(?:\\u-?[0-9]{1,5} ?(?:\\'[0-9a-fA-F]{2}|[^\\{}])?)+", _unicode_run)
     t = replace_matches(t, r"(?:\\'[0-9a-fA-F]{2})+", _byte_run)

@@ -27,7 +27,6 @@ REPRESENTATIVES = 10
 TOPIC_TERMS = 10
 VOCABULARY_SIZE = 5000
 RANDOM_STATE = 42
-DISCOVERY_SCAN_LINES = 200_000
 DISCOVERY_HIT_CAP = 50
 DISCOVERY_HIT_SHARE = 100
 PREVIEW_ROWS = 10

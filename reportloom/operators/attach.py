@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.fixed import DISCOVERY_HIT_CAP, DISCOVERY_HIT_SHARE, DISCOVERY_SCAN_LINES
+from ..functions.fixed import DISCOVERY_HIT_CAP, DISCOVERY_HIT_SHARE
 from .skew import HOT_ROWS, join_to_unique
 
 
@@ -80,25 +80,22 @@ def discover_source(
     base: str,
     key: str = "report_key",
     source: str = "source_file",
-    line_no: str = "line_no",
-    scan_lines: int = DISCOVERY_SCAN_LINES,
 ) -> DataFrame:
     """The JSON-lines file an id set ``base`` came from, as one row or none.
 
     ``<base>.jsonl`` wins, then ``<base>.emb.jsonl``, else the first file by name with
-    enough lines (not distinct ids) among its first ``scan_lines`` whose key is an id.
+    enough lines (not distinct ids) whose key is an id. All lines count.
     """
     distinct_ids = ids.select(F.col(key).cast("string").alias(key)).distinct()
     needed = distinct_ids.agg(discovery_threshold(F.count("*")).alias("needed")).scalar()
     marked = join_to_unique(
-        lines.select(source, line_no, F.col(key).cast("string").alias(key)),
+        lines.select(source, F.col(key).cast("string").alias(key), F.monotonically_increasing_id().alias("_line")),
         distinct_ids.withColumn("_known", F.lit(True)),
         key,
         "left",
-        [source, line_no],
+        [source, "_line"],
     )
-    scanned = F.col(line_no) < scan_lines
-    hits = marked.groupBy(source).agg(F.count_if(F.col("_known") & scanned).alias("n_hits"))
+    hits = marked.groupBy(source).agg(F.count_if("_known").alias("n_hits"))
     by_name = (
         F.when(F.col(source) == f"{base}.jsonl", 0)
         .when(F.col(source) == f"{base}.emb.jsonl", 1)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-NULL_SPREAD = 1024
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -44,33 +43,28 @@ def join_to_unique(
 
     A right side within Spark's broadcast limit is joined as it is. Otherwise keys with
     more than ``hot_rows`` rows on the left are split by ``spread_by`` into parts of about
-    that many rows, and only their right rows are copied. The list of such keys has at
-    most ``rows / hot_rows`` entries, which is what makes it safe to broadcast. Rows
-    without a key match nothing and are spread evenly.
+    that many rows, and only their right rows are copied. Rows without a key match nothing
+    and are split like any other key. The list of such keys has at most ``rows / hot_rows``
+    entries; Spark broadcasts it only within its own size limit.
     """
     if salt is None:
         salt = not fits_broadcast(right)
     if not salt:
         return left.join(right, on, how)
-    hot = F.broadcast(
-        left.filter(F.col(on).isNotNull())
-        .groupBy(on)
+    hot = (
+        left.groupBy(on)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
-        .select(on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
+        .select(F.col(on).alias("_hot"), F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
     )
     spread = F.xxhash64(*spread_by)
-    part = (
-        F.when(F.col(on).isNull(), F.pmod(spread, F.lit(NULL_SPREAD)))
-        .when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts")))
-        .otherwise(0)
-        .cast("int")
-    )
-    many = left.join(hot, on, "left").withColumn("_part", part).drop("_parts")
+    part = F.when(F.col("_parts").isNotNull(), F.pmod(spread, F.col("_parts"))).otherwise(0).cast("int")
+    many = left.join(hot, left[on].eqNullSafe(F.col("_hot")), "left")
+    many = many.withColumn("_part", part).drop("_hot", "_parts")
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     one = (
-        right.join(hot, on, "left")
+        right.join(hot, right[on] == F.col("_hot"), "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-        .drop("_parts")
+        .drop("_hot", "_parts")
     )
     return many.join(one, [on, "_part"], how).drop("_part")

@@ -68,16 +68,23 @@ def gazetteer_spans(
     chunks: DataFrame,
     gazetteer: DataFrame,
     *ids: str,
-    max_words: int = 3,
+    max_words: int | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``(ids…, chunk_no, start, end, label)`` of dictionary names ``(name, label)`` in chunks."""
+    """``(ids…, chunk_no, start, end, label)`` of dictionary names ``(name, label)`` in chunks.
+
+    Names of any number of words are found: the longest name of the dictionary decides how
+    long the runs of words are that are looked up. ``max_words`` spares that look at the
+    dictionary where the caller knows the number.
+    """
     entries = (
         gazetteer.select(dictionary_key(F.col("name")).alias("name"), "label")
         .filter(F.col("name") != "")
         .groupBy("name")
         .agg(F.min("label").alias("label"))
     )
+    if max_words is None:
+        max_words = entries.agg(F.max(F.size(F.split("name", " ")))).first()[0] or 1
     candidates = chunks.select(
         *ids, "chunk_no", F.inline(name_candidates(F.col("chunk"), max_words))
     )

@@ -10,11 +10,8 @@ from ..functions.fixed import TOPIC_TERMS, VOCABULARY_SIZE
 from ..functions.scan import let
 from ..functions.text import ngrams, pairs_of, words
 from ..session import materialize
-from .skew import planned_bytes
 
 SCORE_DIGITS = 12
-BROADCAST_ROWS = 200_000
-PRUNE_BYTES = 4 << 30
 
 
 def count_terms(terms: Column) -> Column:
@@ -68,22 +65,15 @@ def vocabulary(
     docs: DataFrame,
     text: str = "text",
     size: int = VOCABULARY_SIZE,
-    prune_pairs: bool | None = None,
 ) -> DataFrame:
     """``(term, tf, df)`` of the most frequent n-grams, ties by term.
 
-    On large corpora single words are counted first and kept as a table. The ``size`` most
+    Single words are counted first and kept as a table. The ``size`` most
     frequent of them bound what it takes to be in the vocabulary, and a pair is no more
     frequent than either of its words, so pairs are counted only where both words reach
     that bound. The result is the same; the many pairs with a rare word never reach a
-    shuffle. Below ``PRUNE_BYTES`` the second pass over the texts costs more than that
-    shuffle; ``prune_pairs`` overrides the choice.
+    shuffle.
     """
-    if prune_pairs is None:
-        planned = planned_bytes(docs)
-        prune_pairs = planned is None or planned >= PRUNE_BYTES
-    if not prune_pairs:
-        return term_stats(docs, text).orderBy(F.desc("tf"), "term").limit(size)
     total = [F.sum("tf").alias("tf"), F.count("*").alias("df")]
     single = materialize(
         docs.select(F.inline(let(words(F.col(text)), count_terms))).groupBy("term").agg(*total),
@@ -93,8 +83,6 @@ def vocabulary(
     bound = top.agg(F.count("*").alias("n"), F.min("tf").alias("tf")).first()
     frequent = single.filter(F.col("tf") >= (bound["tf"] if bound["n"] == size else 1))
     known = frequent.select("term")
-    if known.count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
     pairs = (
         docs.select(F.inline(let(pairs_of(words(F.col(text))), count_terms)))
         .withColumn("_first", F.substring_index("term", " ", 1))
