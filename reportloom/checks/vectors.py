@@ -216,6 +216,31 @@ QUERIES = {
             LEFT JOIN (SELECT "cluster", term FROM ({TOPICS}) WHERE rank = 1) t ON t."cluster" = r."cluster"
             JOIN (SELECT label, count(*) AS n FROM embeddings GROUP BY label) ON label = r."cluster" """,
     ),
+    "kmeans_one_center": (
+        lambda s, d: exploded(C.cluster_vectors(labelled_vectors(s, d).drop("cluster"), k=1)[1]),
+        """SELECT 0 AS "cluster", (i - 1)::INTEGER AS dim, round(avg(embedding[i]::DOUBLE), 6) AS value
+           FROM (SELECT embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY i""",
+    ),
+    "kmeans_members": (
+        lambda s, d: fitted(s, d).agg(F.sum("n").alias("n"), F.count("*").alias("k")),
+        "SELECT count(*) AS n, 10::BIGINT AS k FROM embeddings",
+    ),
+    "pca_centred": (
+        lambda s, d: projected(s, d).agg(
+            F.count("*").alias("n"), (F.abs(F.avg("x")) < 1e-6).alias("centred_x"), (F.abs(F.avg("y")) < 1e-6).alias("centred_y"),
+            F.count_if(F.col("explained").between(0.0, 1.0 + 1e-9)).alias("shares"),
+        ),
+        "SELECT count(*) AS n, true AS centred_x, true AS centred_y, count(*) AS shares FROM embeddings",
+    ),
+    "cluster_reports_texts": (
+        lambda s, d: clustered(s, d).join(
+            table(s, d, "documents").select(
+                F.col("doc_id").cast("string").alias("report_key"),
+                F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Kopie: "), "text")).otherwise(F.col("text")).alias("own"),
+            ), "report_key", "left",
+        ).agg(F.countDistinct("cluster").alias("k"), F.count_if(~F.col("text").eqNullSafe(F.col("own"))).alias("wrong_texts")),
+        "SELECT 10::BIGINT AS k, 0::BIGINT AS wrong_texts",
+    ),
     "kmeans_fit": (fitted, None),
     "pca_projection": (projected, None),
     "cluster_reports": (clustered, None),

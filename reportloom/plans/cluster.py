@@ -55,9 +55,12 @@ def describe(
         nearest = attach_text(nearest, few, text_order, ["idx_global"])
     else:
         nearest = nearest.withColumn("text", F.lit(None).cast("string"))
-    docs = with_text.withColumn("text", F.coalesce("text", F.lit("")))
+    # The corpus serves the counts, the vocabulary and the weights, the topics also the labels.
+    docs = materialize(
+        with_text.select("idx_global", "cluster", F.coalesce("text", F.lit("")).alias("text")), "corpus"
+    )
     scores = T.cluster_term_scores(docs, "idx_global", size=vocabulary_size)
-    best = T.cluster_topics(scores, top_n=top_n)
+    best = materialize(T.cluster_topics(scores, top_n=top_n), "topics")
     return Clustering(
         members=members,
         representatives=nearest.select(
