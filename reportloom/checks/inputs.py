@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.decode import replace_matches
-from ..functions.fixed import MONTH_NAMES, SPACES
+from ..functions.fixed import BIRTH_LABELS, BIRTH_REACH, MONTH_NAMES, SPACES
 
 WORD_SQL = r"[\p{L}\p{N}_]"
 SPACE_SQL = (
@@ -107,7 +107,7 @@ def redact_sql(expr: str) -> str:
     rules = [
         r"\b\d{1,2}[.\-/]\d{1,2}[.\-/]\d{2,4}\b",
         rf"(?i)\b\d{{1,2}}\s+(?:{months})(?:\s+\d{{2,4}})?\b",
-        r"(?i)\b(Geburtsdatum|geburtsdatum|geboren|geb\.)\s*[:\-]?\s*\S.{0,40}\b",
+        rf"(?i)\b({'|'.join(BIRTH_LABELS)})\s*[:\-]?\s*\S.{{0,{BIRTH_REACH}}}\b",
     ]
     for rule in rules:
         expr = f"regexp_replace({expr}, '{rule}', '[DATE_REDACTED]', 'g')"
