@@ -47,13 +47,13 @@ def word_grams(words: list[str], sizes: tuple[int, int], buckets: int) -> tuple[
 class WordValues:
     """A row of values per different word, computed once; starts anew beyond ``KEPT_WORDS`` words."""
 
-    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int):
-        self.compute, self.width = compute, width
+    def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, kind: type = np.float64):
+        self.compute, self.width, self.kind = compute, width, kind
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.values = np.zeros((0, self.width))
+        self.values = np.zeros((0, self.width), self.kind)
 
     def places(self, words: list[str]) -> np.ndarray:
         """The rows of ``values`` that belong to ``words``."""

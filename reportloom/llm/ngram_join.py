@@ -54,8 +54,7 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.known = WordValues(word_hashes, 1)
-        self.known.values = np.zeros((0, 1), np.uint64)
+        self.known = WordValues(word_hashes, 1, np.uint64)
         self.factors = np.random.default_rng(5).integers(1, 1 << 62, width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def of(self, text: str | None) -> np.ndarray:
