@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..checks.inputs import SPACE_SQL
 from . import exact_dedup, language_id, line_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity, warc
 
 
@@ -28,6 +29,22 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(text, '[^{SPACE_SQL[1:]}+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + k - 1], ' ') AS run
+      FROM (SELECT doc_id, words, least(5, len(words)) AS k, unnest(range(1, len(words) - least(5, len(words)) + 2)) AS i
+            FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS runs FROM s GROUP BY doc_id),
+l AS (SELECT p.x, p.y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.run = b.run
+                            WHERE a.doc_id <> b.doc_id GROUP BY ALL) p
+      JOIN n a ON a.doc_id = p.x JOIN n b ON b.doc_id = p.y WHERE common >= 0.8 * (a.runs + b.runs - common)),
+r AS (SELECT doc_id AS x, doc_id AS root FROM documents UNION SELECT l.y, r.root FROM r JOIN l ON r.x = l.x),
+c AS (SELECT x AS doc_id, min(root) AS class_id FROM r GROUP BY x)
+SELECT doc_id, class_id, coalesce(links, 0) AS links, count(*) OVER (PARTITION BY class_id) AS class_size
+FROM c LEFT JOIN (SELECT x, count(*) AS links FROM l GROUP BY x) ON x = doc_id
+"""
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "line_count", "dropped_count", F.sha2("text", 256).alias("text_sha256")
@@ -139,7 +156,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
-    "op2_ngram_join": (op2_ngram_join, None),
+    "op2_ngram_join": (op2_ngram_join, OP2_SQL),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
     "op4_warc": (op4_warc, OP4_SQL),
     "op5_token_files": (op5_token_files, None),
