@@ -93,8 +93,8 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NONE), self.merged[at]
 
-    def merge_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``words`` (spaces written as they are), and the number of ids of each."""
+    def merge_words(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """``words`` (spaces written as they are), all their ids and the number of ids of each."""
         text = "".join(words).replace(" ", SPACE)
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -104,7 +104,7 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.joined, two), len(self.joined) - 1)
         cut[1:] = (self.joined[at] != two) | (word[1:] != word[:-1])
         symbol, word = self.merge(self.chars[codes], word, cut)
-        return self.finish(symbol, word, len(words))
+        return words, *self.finish(symbol, word, len(words))
 
     def merge(self, symbol, word, cut) -> tuple[np.ndarray, np.ndarray]:
         """Symbols and their words after all merge rounds, in order."""

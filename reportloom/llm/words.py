@@ -10,8 +10,8 @@ import numpy as np
 
 SPACE_AFTER_SPACE = re.compile(r"\s ")
 WORD_START = re.compile(r"(?<=\S)(?= )")
-KEPT_WORDS = 400_000
-KEPT_IDS = 6_000_000
+KEPT_WORDS = 800_000
+KEPT_IDS = 8_000_000
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -37,13 +37,14 @@ def space_words(text: str) -> list[str]:
 
 
 class WordStore:
-    """Ids per word. ``tokenize`` takes new words and gives all their ids and each one's number.
+    """Ids per word. ``tokenize`` takes new words and gives them, in any order,
+    with all their ids and each one's number.
 
     It starts anew beyond ``KEPT_WORDS`` words or ``KEPT_IDS`` ids, which bounds the memory;
     that changes the speed only.
     """
 
-    def __init__(self, tokenize: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, tokenize: Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray]]):
         self.tokenize = tokenize
         self.clear()
 
@@ -54,7 +55,7 @@ class WordStore:
         self.lengths = np.zeros(0, np.int64)
 
     def add(self, words: list[str]) -> None:
-        ids, lengths = self.tokenize(words)
+        words, ids, lengths = self.tokenize(words)
         ends = np.cumsum(lengths)
         self.starts = np.concatenate([self.starts, len(self.ids) + ends - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
