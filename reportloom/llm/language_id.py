@@ -9,6 +9,7 @@ on their domain, domains on the whole.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,9 +23,10 @@ from .grams import WordValues, word_grams, words_of
 
 SAMPLE_ROWS = 4_000  # labelled texts that the n-gram counts come from, at most
 SAMPLE_CHARS = 20_000  # longer texts are not counted; all are classified whole
-GRAMS = (1, 4)
+GRAMS = (2, 3)
 BUCKETS = 1 << 16
 TEXT_WORDS = 24  # the words of a text weigh no more than this many independent ones
+PORTION_WORDS = 20_000  # words whose n-grams are in memory at once
 SMOOTHING = 0.5
 HOST_WEIGHT = 10.0  # documents of a host that weigh as much as its domain's shares
 MIN_POSTERIOR = 0.5
@@ -46,7 +48,10 @@ class GramModel:
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> GramModel:
     """Count n-grams on at most ``rows`` texts of ``doc_id, text, lang`` with a label, chosen by a hash of doc_id."""
     known = docs.filter(F.col("lang").isNotNull() & (F.length("text").between(1, SAMPLE_CHARS)))
-    got = known.select("lang", "text", F.xxhash64("doc_id").alias("h")).orderBy("h", "lang", "text").limit(rows).collect()
+    known = known.select("lang", "text", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"))
+    # hashes only are ordered; texts are fetched for the chosen rows, of which there are ``rows`` at most
+    chosen = known.select("h", "t").orderBy("h", "t").limit(rows).distinct()
+    got = known.join(F.broadcast(chosen), ["h", "t"]).select("lang", "text").collect()
     return train([r["text"] for r in got], [r["lang"] for r in got])
 
 
@@ -54,9 +59,11 @@ def train(texts: list[str], labels: list[str]) -> GramModel:
     languages = sorted(set(labels))
     counts = np.full((BUCKETS, len(languages)), SMOOTHING)
     for k, language in enumerate(languages):
-        words = [w for t, name in zip(texts, labels, strict=True) if name == language for w in words_of(t)]
-        if words:
-            np.add.at(counts[:, k], word_grams(words, GRAMS, BUCKETS)[0], 1)
+        seen = Counter(w for t, name in zip(texts, labels, strict=True) if name == language for w in words_of(t))
+        words, times = list(seen), np.array(list(seen.values()), np.float64)
+        for part in (slice(i, i + PORTION_WORDS) for i in range(0, len(words), PORTION_WORDS)):
+            flat, sizes = word_grams(words[part], GRAMS, BUCKETS)
+            counts[:, k] += np.bincount(flat, np.repeat(times[part], sizes), BUCKETS)
     return GramModel(languages, np.log(counts / counts.sum(axis=0)))
 
 
