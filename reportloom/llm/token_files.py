@@ -14,7 +14,6 @@ file, and files that the manifest does not name are never read.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -39,10 +38,11 @@ TABLE_FRAME = 0x184D2A5E
 NAMES_FRAME = 0x184D2A50
 FRAMES_PER_READ = 2048
 PORTION_CHARS = 1_000_000
-LETTERS_AND_MARKS = re.compile(r"( ?)([^\W\d_]+)([.,;:!?]{0,3})")
+MARKS = ".,;:!?"
 SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed: stand for themselves in byte-level letters
 HIDDEN_BYTES = sorted(set(range(256)) - set(SHOWN_BYTES))
 BYTE_LETTERS = {byte: 256 + i for i, byte in enumerate(HIDDEN_BYTES)}
+SHOWN_SPACE = chr(BYTE_LETTERS[ord(" ")])
 NO_DOC = -(1 << 63)  # stands for a null doc_id in a shard
 MANIFEST = "shard int, path string, docs int, ids long"
 
@@ -75,19 +75,28 @@ class Encoder:
         """
         order, ids, rest = [], [], []
         for word in words:
-            match = LETTERS_AND_MARKS.fullmatch(word)
-            if match is None or not match[2].isalpha():
+            letters = word.rstrip(MARKS)
+            if not letters[1:].isalpha() or not (letters[0] == " " or letters[0].isalpha()):
                 rest.append(word)
                 continue
-            if match[3] not in self.tails:
-                self.tails[match[3]] = self.ids_of([match[3]])[0]
-            letters = f"{match[1]}{match[2]}".encode().decode("latin-1").translate(BYTE_LETTERS)
-            ids.append([t.id for t in self.bpe.tokenize(letters)] + self.tails[match[3]])
+            tail = word[len(letters) :]
+            if tail not in self.tails:
+                self.tails[tail] = self.ids_of([tail])[0]
+            ids.append(self.letters(letters) + self.tails[tail])
             order.append(word)
         ids += self.ids_of(rest)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return order + rest, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
 
+    def letters(self, word: str) -> list[int]:
+        """Ids of a word of letters, perhaps after a space."""
+        at = self.store.place.get(word)
+        if at is not None:  # known without the marks behind it
+            start = self.store.starts[at]
+            return self.store.ids[start : start + self.store.lengths[at]].tolist()
+        shown = word.replace(" ", SHOWN_SPACE) if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return [t.id for t in self.bpe.tokenize(shown)]
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text; null and empty texts have none."""
         for portion in in_portions(texts, PORTION_CHARS):
@@ -107,7 +116,7 @@ def skippable(magic: int, data: bytes) -> bytes:
 
 def write_shard(out, documents: Iterator[tuple[int | None, np.ndarray]]) -> tuple[int, int]:
     """Write ``(doc_id, ids)`` pairs to the binary file ``out``; gives the number of documents and of ids."""
-    packer = zstandard.ZstdCompressor(level=3, write_checksum=True, write_content_size=True)
+    packer = zstandard.ZstdCompressor(level=1, write_checksum=True, write_content_size=True)
     names, table, total = [], [], 0
     for doc_id, ids in documents:
         data = ids.astype("<u4").tobytes()
