@@ -15,6 +15,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scan import let
 from ..session import materialize
 
 THRESHOLD = 1
@@ -54,7 +55,6 @@ def within(a: Column, b: Column, threshold: int) -> Column:
     ``a`` that ends ``d - threshold`` characters further on. Diagonals beyond the band cannot
     end within the threshold.
     """
-    chars_a, chars_b = F.split(a, ""), F.split(b, "")
     length_a, length_b = F.char_length(a), F.char_length(b)
     word = lambda e: f"e{e}"
     mask = (1 << (2 * threshold + 1)) - 1
@@ -62,10 +62,10 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         F.lit(sum(1 << (threshold + d) for d in range(e + 1))).cast("long").alias(word(e)) for e in range(threshold + 1)
     ])
 
-    def read(words: Column, at: Column) -> Column:
-        char = F.get(chars_b, at)
+    def read(chars: Column, words: Column, at: Column) -> Column:
+        char = F.get(chars["b"], at)
         same = reduce(or_bits, [
-            F.when(F.get(chars_a, at + (d - threshold)) == char, F.lit(1 << d)).otherwise(F.lit(0)).cast("long")
+            F.when(F.get(chars["a"], at + (d - threshold)) == char, F.lit(1 << d)).otherwise(F.lit(0)).cast("long")
             for d in range(2 * threshold + 1)
         ])
         new: list[Column] = []
@@ -78,7 +78,9 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         return F.struct(*[v.alias(word(e)) for e, v in enumerate(new)])
 
     places = F.when(length_b > 0, F.sequence(F.lit(0), length_b - 1)).otherwise(F.array().cast("array<int>"))
-    last = F.aggregate(places, first, read)
+    # characters are bound once, not split again at each of them
+    both = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"))
+    last = let(both, lambda chars: F.aggregate(places, first, lambda words, at: read(chars, words, at)))
     reached = F.call_function("shiftright", last[word(threshold)], length_a - length_b + threshold).bitwiseAND(F.lit(1).cast("long")) == 1
     return (F.abs(length_a - length_b) <= threshold) & reached
 
