@@ -25,13 +25,12 @@ BROADCAST_KEYS = 1_000_000  # shared keys of 8 bytes that are broadcast, at most
 INDEX, PROBE = 1, 2
 
 
-def entries(line: Column, threshold: int, least: int) -> Column:
-    """The keys of a line: ``(key, role)`` for the segments it is indexed by and those it probes.
+def entries(line: Column, length: Column, threshold: int, least: int) -> Column:
+    """The keys of a line of ``length`` characters: ``(key, role)``, or null, for the segments it is indexed by and those it probes.
 
     A key holds the segment's number, the indexed line's length and the substring. A line
     probes lines of its own length and of up to ``threshold`` fewer characters.
     """
-    length = F.char_length(line)
     parts = threshold + 1
     found = []
     for fewer in range(parts):
@@ -45,7 +44,7 @@ def entries(line: Column, threshold: int, least: int) -> Column:
                 key = F.xxhash64(F.lit(i), of, F.substring(line, at + 1, size))
                 role = PROBE | (INDEX if fewer == 0 and shift == 0 else 0)
                 found.append(F.when(inside, F.struct(key.alias("key"), F.lit(role).alias("role"))))
-    return F.array_compact(F.array(*found))
+    return F.array(*found)
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
@@ -102,8 +101,9 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_C
 
     Lines are ordered by the smallest doc_id they occur in (null first), then by their bytes.
     """
-    lines = occurrences(docs).filter(F.char_length("line") >= least)
-    keyed = lines.select("doc_id", "line", F.inline(entries(F.col("line"), threshold, least)))
+    lines = occurrences(docs).withColumn("chars", F.char_length("line")).filter(F.col("chars") >= least)
+    keys = entries(F.col("line"), F.col("chars"), threshold, least)
+    keyed = lines.select("doc_id", "line", F.inline(keys)).filter(F.col("key").isNotNull())
     met = keyed.groupBy("key").agg(
         F.min(F.xxhash64("line")).alias("low"), F.max(F.xxhash64("line")).alias("high"), F.bit_or("role").alias("roles")
     )
