@@ -20,7 +20,7 @@ from ..session import materialize
 
 THRESHOLD = 1
 LEAST_CHARS = 24  # shorter lines are duplicates only when they are equal
-LETTERS = "etaoin"  # their counts differ by at most one or two per edit
+LETTERS = "etaoinsrhldcumfpgwybvk"  # an edit changes the counts of two of them by one, at most
 BROADCAST_KEYS = 1_000_000  # shared keys of 8 bytes that are broadcast, at most
 INDEX, PROBE = 1, 2
 
