@@ -19,8 +19,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat earlier ones; ``n_chars`` follows the text."""
-    deduped = line_dedup.dedup_lines(docs)
+    """Documents without lines that repeat earlier ones, up to a replaced word; ``n_chars`` follows the text."""
+    deduped = line_dedup.dedup_lines(docs, classes=line_dedup.BY_LENGTH)
     return deduped.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 

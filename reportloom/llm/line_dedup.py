@@ -20,6 +20,8 @@ from ..session import materialize
 
 THRESHOLD = 1
 LEAST_CHARS = 24  # shorter lines are duplicates only when they are equal
+#: Thresholds that grow with the line, by the length they hold from: a replaced word is within them.
+BY_LENGTH = ((24, 2), (36, 3), (48, 4), (60, 5), (72, 6))
 LETTERS = "etaoinsrhldcumfpgwybvk"  # an edit changes the counts of two of them by one, at most
 BROADCAST_KEYS = 1_000_000  # shared keys of 8 bytes that are broadcast, at most
 INDEX, PROBE = 1, 2
@@ -47,6 +49,35 @@ def entries(line: Column, length: Column, threshold: int, least: int) -> Column:
     return F.array(*found)
 
 
+def entries_by_length(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``key, role, threshold, line_key, chars`` for ``line, line_key, chars``: as ``entries``, with each length's own threshold.
+
+    A pair's threshold is that of its shorter line, which is the indexed one, so a line probes
+    the classes of all lengths it may meet. The places are rows, not expressions: there are many.
+    """
+    found = []
+    for (least, threshold), below in zip(classes, [*[c[0] for c in classes[1:]], None], strict=True):
+        below = below or (1 << 31) - 1
+        places = ", ".join(
+            f"named_struct('i', {i}, 'fewer', {fewer}, 'shift', {shift}, 'threshold', {threshold}, 'least', {least}, 'below', {below})"
+            for fewer in range(threshold + 1) for i in range(threshold + 1)
+            for shift in range(max(-i, fewer - (threshold - i)), min(i, fewer + threshold - i) + 1)
+        )
+        meets = (F.col("chars") >= least) & (F.col("chars") - threshold < below)
+        found.append(F.when(meets, F.expr(f"array({places})")).otherwise(F.expr(f"filter(array({places}), p -> false)")))
+    rows = lines.select("line", "line_key", "chars", F.explode(F.concat(*found)).alias("p"))
+    of, parts = F.col("chars") - F.col("p.fewer"), F.col("p.threshold") + 1
+    start = F.floor(of * F.col("p.i") / parts).cast("int")
+    size = F.floor(of * (F.col("p.i") + 1) / parts).cast("int") - start
+    at = start + F.col("p.shift")
+    rows = rows.filter((of >= F.col("p.least")) & (of < F.col("p.below")) & (at >= 0) & (at + size <= F.col("chars")))
+    index = (F.col("p.fewer") == 0) & (F.col("p.shift") == 0)
+    return rows.select(
+        F.xxhash64("p.i", of, F.substring("line", at + 1, size)).alias("key"),
+        F.when(index, INDEX | PROBE).otherwise(PROBE).alias("role"), "p.threshold", "line_key", "chars",
+    )
+
+
 def within(a: Column, b: Column, threshold: int) -> Column:
     """Whether two strings are within ``threshold`` edits (insertion, deletion, substitution).
 
@@ -127,27 +158,66 @@ def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_C
     return materialize(pairs.select(later.alias("line_key")).distinct(), "near-lines")
 
 
-def dropped_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS) -> DataFrame:
+def near_by_length(docs: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+    """As ``near_lines``, with a threshold by the length of the shorter line of a pair.
+
+    ``classes`` are pairs of a length and the threshold that holds from it on, both ascending.
+    Keys and pairs carry hashes of lines; the lines of a pair are fetched once. The bands are
+    wide here, so pairs are compared by the built-in distance with a bound.
+    """
+    lines = occurrences(docs).withColumn("chars", F.char_length("line")).filter(F.col("chars") >= classes[0][0])
+    lines = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("none"), F.first("chars").alias("chars"))
+    first = F.when(~F.col("none"), F.col("first"))  # a null id is the smallest
+    lines = materialize(lines.select("line", F.unhex(F.md5("line")).alias("line_key"), first.alias("first"), "chars"), "long-lines")
+    keyed = entries_by_length(lines, classes)
+    mark = F.xxhash64("line_key")
+    met = keyed.groupBy("key").agg(F.min(mark).alias("low"), F.max(mark).alias("high"), F.bit_or("role").alias("roles"))
+    met = materialize(met.filter((F.col("low") < F.col("high")) & (F.col("roles") == INDEX | PROBE)).select("key"), "shared-keys")
+    wanted = F.broadcast(met) if met.count() <= BROADCAST_KEYS else met
+    few = materialize(keyed.join(wanted, "key").distinct(), "shared-lines")
+    counts = [(F.char_length("line") - F.char_length(F.replace(F.col("line"), F.lit(x), F.lit("")))).cast("short") for x in LETTERS]
+    counted = lines.join(few.select("line_key").distinct(), "line_key").select("line_key", *[c.alias(f"n{i}") for i, c in enumerate(counts)])
+    few = few.join(materialize(counted, "letter-counts"), "line_key")
+    a, b = few.filter(F.col("role") == INDEX | PROBE).alias("a"), few.alias("b")
+    apart = reduce(add, [F.abs(F.col(f"a.n{i}").cast("int") - F.col(f"b.n{i}")) for i in range(len(LETTERS))])
+    once = (F.col("a.chars") < F.col("b.chars")) | ((F.col("a.chars") == F.col("b.chars")) & (F.col("a.line_key") < F.col("b.line_key")))
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & (apart <= 2 * F.col("a.threshold")))
+    pairs = pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key"), F.col("a.threshold")).distinct()
+    for side in ("a", "b"):
+        place = F.struct("first", "line").alias(f"{side}_place")
+        pairs = pairs.join(lines.select(F.col("line_key").alias(f"{side}_key"), place), f"{side}_key")
+    near = F.call_function("levenshtein", F.col("a_place.line"), F.col("b_place.line"), F.col("threshold")) >= 0
+    later = F.when(F.col("a_place") > F.col("b_place"), F.col("a_key")).otherwise(F.col("b_key"))
+    return materialize(pairs.filter(near).select(later.alias("line_key")).distinct(), "near-lines")
+
+
+def dropped_lines(
+    docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS, classes: tuple[tuple[int, int], ...] | None = None
+) -> DataFrame:
     """``doc_id, doc_hash, dropped``: per document with any, the numbers of the lines that go."""
     rows = occurrences(docs).select("doc_id", "doc_hash", "line_no", F.unhex(F.md5("line")).alias("line_key"))
     place = F.struct("doc_id", "line_no")
     repeated = rows.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    near = near_lines(docs, threshold, least).withColumn("near", F.lit(True))
+    near = near_by_length(docs, classes) if classes else near_lines(docs, threshold, least)
+    near = near.withColumn("near", F.lit(True))
     marks = materialize(repeated.drop("n").join(near, "line_key", "full"), "marks")
     gone = rows.join(marks, "line_key").filter(F.col("near").isNotNull() | (place > F.col("first")))
     return gone.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS, classes: tuple[tuple[int, int], ...] | None = None
+) -> DataFrame:
     """``docs`` without lines that repeat an earlier line of any document, equal or within ``threshold`` edits.
 
     Lines end at line feeds. Of equal lines the first stays, by doc_id (null first) and place
     in the text. A line of at least ``least`` characters also goes if any earlier line of that
-    length or more is near it. Empty lines stay. Rows that repeat an id and a text are treated
+    length or more is near it. With ``classes`` (such as ``BY_LENGTH``) the threshold is that of
+    the shorter line's length instead, and ``threshold`` and ``least`` do not count. Empty lines stay. Rows that repeat an id and a text are treated
     alike. A null text stays null; a text all of whose lines go becomes empty. Columns are kept
     and ``line_count`` and ``dropped_count`` are added; clashing columns are replaced.
     """
-    gone = dropped_lines(docs, threshold, least)
+    gone = dropped_lines(docs, threshold, least, classes)
     rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))

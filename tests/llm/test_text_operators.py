@@ -263,6 +263,38 @@ def test_lines_against_brute_force(spark, threshold):
     assert Counter((r["doc_id"], r["text"], r["dropped_count"]) for r in got.collect()) == lines_twin(rows, threshold, 12)
 
 
+def test_lines_by_length_against_brute_force(spark):
+    """Thresholds of several lengths, pairs across their bounds, one word replaced."""
+    rng = random.Random(6)
+    classes = ((12, 1), (18, 2), (26, 4))
+    pool = ["".join(rng.choices("abcdé ", k=rng.randint(8, 36))) for _ in range(40)]
+    for line in list(pool):
+        for _ in range(3):
+            other = list(line)
+            for _ in range(rng.randint(1, 5)):
+                other[rng.randrange(len(other))] = rng.choice(["", "x", "yz"])
+            pool.append("".join(other))
+    rows = list(enumerate("\n".join(rng.choices(pool, k=rng.randint(1, 6))) for _ in range(80)))
+    first = {}
+    for n, text in rows:
+        for line in text.split("\n"):
+            first.setdefault(line, n)
+    bound = lambda size: max([t for least, t in classes if size >= least], default=-1)
+    near = {a for a in first for b in first if (first[b], b) < (first[a], a) and distance(a, b) <= bound(min(len(a), len(b)))}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {bytes(r["line_key"]) for r in line_dedup.near_by_length(docs, classes).collect()}
+    assert near and got == {hashlib.md5(line.encode()).digest() for line in near}
+
+
+def test_pipeline_drops_a_line_with_one_word_replaced(spark):
+    import corpus_pipeline
+
+    line = "the committee agreed to publish all figures of the quarter {} before the end of June"
+    texts = [line.format("report"), line.format("survey"), "twenty-four letters 1234", "twenty-four letters 1243"]
+    got = corpus_pipeline.new_lines(spark, frame(spark, texts, lang="en", source="s").withColumn("n_chars", F.lit(0)), "")
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {0: texts[0], 1: "", 2: texts[2], 3: ""}
+
+
 def test_lines_of_no_rows_and_null_ids(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
     rows = spark.createDataFrame([(None, "one\ntwo"), (1, "two\nthree"), (1, "two\nthree")], "doc_id long, text string")
