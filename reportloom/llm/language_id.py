@@ -5,6 +5,10 @@ bounded sample of labelled texts. The declared markup language and the address s
 likelihoods too, and the host is a prior; all three are counted over all documents by grouped
 aggregation, with the language that the text alone suggests. Hosts with few documents lean
 on their domain, domains on the whole.
+
+"None of these" is a class of its own: its likelihood of a word lies a fixed gap below what
+held-out texts of the best language have on average. An n-gram that a language has not been
+seen with is equally likely in all languages, whatever the sizes of their samples.
 """
 
 from __future__ import annotations
@@ -28,70 +32,125 @@ BUCKETS = 1 << 16
 TEXT_WORDS = 24  # the words of a text weigh no more than this many independent ones
 PORTION_WORDS = 20_000  # words whose n-grams are in memory at once
 SMOOTHING = 0.5
+UNSEEN = 0.1  # share of a language's probability that is spread over all n-grams alike
+NONE_GAP = 2.5  # a word in none of the languages is so much less likely, mean log over its n-grams
+NONE_PRIOR = 0.001
+NO_LETTERS = 50.0  # log odds for none of the languages, of a text without letters
 HOST_WEIGHT = 10.0  # documents of a host that weigh as much as its domain's shares
 MIN_POSTERIOR = 0.5
 
 
 @dataclass
 class GramModel:
-    """Log probability of each n-gram bucket in each language."""
+    """Log probability of each n-gram bucket in each language, and the floor of a word's in each (-inf: none)."""
 
     languages: list[str]
     log_odds: np.ndarray
+    floors: np.ndarray
 
     def of_words(self, words: list[str]) -> np.ndarray:
-        """Log likelihood of each word, the mean over its n-grams."""
+        """Log likelihood of each word, the mean over its n-grams, and a one; zeros for words without letters."""
         flat, counts = word_grams(words, GRAMS, BUCKETS)
-        return np.add.reduceat(self.log_odds[flat], np.cumsum(counts) - counts) / counts[:, None]
+        values = np.add.reduceat(self.log_odds[flat], np.cumsum(counts) - counts) / counts[:, None]
+        letters = np.array([any(map(str.isalpha, w)) for w in words], np.float64)[:, None]
+        return np.hstack([values, np.ones((len(words), 1))]) * letters
+
+
+def quotas(sizes: dict[str, int], rows: int) -> dict[str, int]:
+    """Texts of each language in a sample of at most ``rows``: alike, but for languages that have fewer."""
+    out: dict[str, int] = {}
+    for i, name in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[name] = min(sizes[name], (rows - sum(out.values())) // (len(sizes) - i))
+    return out
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> GramModel:
-    """Count n-grams on at most ``rows`` texts of ``doc_id, text, lang`` with a label, chosen by a hash of doc_id."""
+    """Count n-grams on about ``rows`` texts of ``doc_id, text, lang`` with a label, never more.
+
+    Each language has a like number of texts, as far as it has them, chosen by a hash of doc_id.
+    """
     known = docs.filter(F.col("lang").isNotNull() & (F.length("text").between(1, SAMPLE_CHARS)))
     known = known.select("lang", "text", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"))
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # few languages
+    if not sizes:
+        return train([], [])
+    wanted = quotas(sizes, rows)
+    shares = F.create_map(*[F.lit(x) for name in sizes for x in (name, wanted[name] / sizes[name])])
     # hashes only are ordered; texts are fetched for the chosen rows, of which there are ``rows`` at most
-    chosen = known.select("h", "t").orderBy("h", "t").limit(rows).distinct()
-    got = known.join(F.broadcast(chosen), ["h", "t"]).select("lang", "text").collect()
+    taken = known.filter(F.pmod("h", F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30))
+    chosen = taken.select("h", "t").orderBy("h", "t").limit(rows).distinct()
+    got = taken.join(F.broadcast(chosen), ["h", "t"]).select("lang", "text", "h", "t").limit(rows).collect()
+    got.sort(key=lambda r: (r["h"], r["t"]))
     return train([r["text"] for r in got], [r["lang"] for r in got])
 
 
-def train(texts: list[str], labels: list[str]) -> GramModel:
-    languages = sorted(set(labels))
-    counts = np.full((BUCKETS, len(languages)), SMOOTHING)
-    for k, language in enumerate(languages):
-        seen = Counter(w for t, name in zip(texts, labels, strict=True) if name == language for w in words_of(t))
-        words, times = list(seen), np.array(list(seen.values()), np.float64)
+def counted(seen: list[Counter], languages: list[str]) -> GramModel:
+    """Probabilities from the words of each language, without floors."""
+    counts = np.zeros((BUCKETS, len(languages)))
+    for k, own in enumerate(seen):
+        words, times = list(own), np.array(list(own.values()), np.float64)
         for part in (slice(i, i + PORTION_WORDS) for i in range(0, len(words), PORTION_WORDS)):
             flat, sizes = word_grams(words[part], GRAMS, BUCKETS)
             counts[:, k] += np.bincount(flat, np.repeat(times[part], sizes), BUCKETS)
-    return GramModel(languages, np.log(counts / counts.sum(axis=0)))
+    shares = counts / np.maximum(counts.sum(axis=0), 1.0)
+    return GramModel(languages, np.log((1 - UNSEEN) * shares + UNSEEN / BUCKETS), np.full(len(languages), -np.inf))
+
+
+def train(texts: list[str], labels: list[str]) -> GramModel:
+    """The model of all texts; each half of them is held out once for the floors. A language of one text has none."""
+    languages = sorted(set(labels))
+    halves: list[list[Counter]] = [[Counter() for _ in languages] for _ in range(2)]
+    turn = Counter()
+    for text, label in zip(texts, labels, strict=True):
+        halves[turn[label] % 2][languages.index(label)].update(words_of(text))
+        turn[label] += 1
+    model = counted([a + b for a, b in zip(*halves, strict=True)], languages)
+    held = np.zeros((2, len(languages)))  # sums of the words' values, numbers of words
+    for own, other in (halves, halves[::-1]):
+        half = counted(own, languages)
+        for k, seen in enumerate(other):
+            words = list(seen) if own[k] else []
+            for part in (words[i : i + PORTION_WORDS] for i in range(0, len(words), PORTION_WORDS)):
+                values = half.of_words(part)[:, [k, -1]]
+                held[:, k] += np.array([seen[w] for w in part], np.float64) @ values
+    model.floors[held[1] > 0] = (held[0] / np.maximum(held[1], 1))[held[1] > 0] - NONE_GAP
+    return model
 
 
 def text_evidence(rows: DataFrame, model: GramModel) -> DataFrame:
-    """Add ``words`` and ``text_log``, the log likelihoods of the whole text by language, to ``text`` rows; drops the text."""
+    """Add ``words``, ``text_log`` and ``none_log`` to ``text`` rows; drops the text.
+
+    ``text_log`` has the log likelihoods of the whole text by language, the best one being 0,
+    and ``none_log`` that of none of them, null without words. Words without letters do not count.
+    """
     others = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordValues(model.of_words, len(model.languages))
+        known = WordValues(model.of_words, len(model.languages) + 1)
         for batch in batches:
-            counts, logs = [], []
+            counts, logs, nones = [], [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 counts.append(len(words))
-                if words:
-                    places = known.places(words)
-                    value = known.values[places].mean(axis=0) * min(len(words), TEXT_WORDS)
-                    logs.append(value - value.max())
+                places = known.places(words) if words else []
+                total = known.values[places].sum(axis=0)
+                if total[-1]:
+                    weight = min(total[-1], TEXT_WORDS)
+                    value = total[:-1] / total[-1] * weight
+                    best = int(value.argmax())
+                    logs.append(value - value[best])
+                    nones.append(model.floors[best] * weight - value[best] + np.log(NONE_PRIOR))
                 else:
                     logs.append(np.zeros(len(model.languages)))
+                    nones.append(NO_LETTERS if words else None)
             kept = batch.select(others)
             yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(counts, pa.int32()), pa.array(logs, pa.list_(pa.float64()))],
-                [*others, "words", "text_log"],
+                [*kept.columns, pa.array(counts, pa.int32()), pa.array(logs, pa.list_(pa.float64())), pa.array(nones, pa.float64())],
+                [*others, "words", "text_log", "none_log"],
             )
 
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "text")
-    return rows.mapInArrow(run, f"{schema}, words int, text_log array<double>")
+    return rows.mapInArrow(run, f"{schema}, words int, text_log array<double>, none_log double")
 
 
 def domain_of(host: Column) -> Column:
@@ -123,12 +182,17 @@ def shares(rows: DataFrame, by: str, size: int) -> DataFrame:
 
 
 def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
-    """Posterior of each language from ``text_log, host, declared``; adds ``lang_id, posterior``."""
+    """Posterior of each language from ``text_log, host, declared``; adds ``lang_id, posterior``.
+
+    ``none_log``, if there and not null, takes its part of the posterior; rows whose text
+    speaks for none of the languages do not count as evidence for others.
+    """
     size = len(languages)
     address = F.col("host").contains(".")  # a source that stands for a host is none
     suffix = F.substring_index("host", ".", -1)
     rows = rows.withColumns({"domain": F.when(address, domain_of(F.col("host"))), "suffix": F.when(address, suffix)})
-    guess = F.when(F.col("words") > 0, F.array_position("text_log", F.array_max("text_log")) - 1)
+    none = F.coalesce("none_log", F.lit(float("-inf"))) if "none_log" in rows.columns else F.lit(float("-inf"))
+    guess = F.when((F.col("words") > 0) & (none <= 0), F.array_position("text_log", F.array_max("text_log")) - 1)
     rows = rows.withColumn("guess", guess)
     whole = shares(rows.withColumn("all", F.lit(1)), "all", size).drop("all").withColumnRenamed("all_counts", "total")
     total = whole.first()  # one row
@@ -152,7 +216,7 @@ def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
         scores.append(F.col("text_log")[k] + ratio("declared") + ratio("suffix") + F.log(prior))
     rows = rows.withColumn("score", F.array(*scores))
     best = F.array_max("score")
-    posterior = 1 / F.aggregate(F.transform("score", lambda x: F.exp(x - best)), F.lit(0.0), lambda a, x: a + x)
+    posterior = 1 / F.aggregate(F.transform("score", lambda x: F.exp(x - best)), F.exp(none - best), lambda a, x: a + x)
     return rows.withColumn("posterior", posterior).withColumn(
         "lang_id", F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("score", best).cast("int"))
     )
@@ -162,7 +226,8 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, rows: int = SAMPLE
     """Language of each row of ``doc_id, text, lang, source``: ``doc_id, doc_hash, lang_id, posterior, accepted``.
 
     A document's host is that of its page, else its source. ``accepted`` is false for texts
-    without a word and where no language reaches ``least``. ``lang`` serves as the label of the
+    without a word, and where no language reaches ``least`` beside "none of these", as in texts
+    of unknown languages, of digits or of random letters. ``lang`` serves as the label of the
     sample only. Without any labelled text every row is undetermined (null) and rejected. A
     null text has no words. Rows with a null id match no page. Other columns do not matter.
     """

@@ -137,6 +137,27 @@ def test_languages(spark):
     assert kept.columns == docs.columns and kept.count() == 201
 
 
+def test_texts_of_no_known_language_are_rejected(spark):
+    rows = tongues(200)
+    # one language has a much smaller sample, which must not draw the unknown
+    rows = [r for r in rows if r[2] != "zz" or r[0] < 30]
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choices(letters, k=5))
+    strange = ["0123456789", "пятьшесо", "我们今天去北京", "uvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789"]
+    odd = [(500 + i, " ".join(word(letters) for _ in range(n)), None, "s0") for i, (letters, n) in enumerate((x, n) for x in strange for n in (8, 60))]
+    noisy = [(600 + i, f"{text} 0172 555 19.37.233.111", None, "s1") for i, (_, text, _, _) in enumerate(rows[:20])]
+    docs = spark.createDataFrame(rows + odd + noisy, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    assert not [i for i, *_ in odd if got[i]["accepted"]]
+    assert all(got[i]["accepted"] and got[i]["lang_id"] == lang for i, _, lang, _ in rows)
+    assert all(got[600 + i]["lang_id"] == lang and got[600 + i]["accepted"] for i, (_, _, lang, _) in enumerate(rows[:20]))
+
+
+def test_sample_has_all_languages_alike(spark):
+    assert language_id.quotas({"a": 5, "b": 1000, "c": 90}, 300) == {"a": 5, "b": 205, "c": 90}
+    assert language_id.quotas({"a": 5, "b": 1000}, 3) == {"a": 1, "b": 2}
+
+
 def test_evidence_is_fused_as_by_hand(spark):
     rows = [(1, 3, [0.0, -1.0], "a.b.org", "en"), (2, 5, [-0.2, 0.0], "a.b.org", "de"), (3, 4, [-9.0, 0.0], "c.b.org", None), (4, 0, [0.0, 0.0], None, None)]
     got = {r["i"]: r for r in language_id.fused(spark.createDataFrame(rows, "i int, words int, text_log array<double>, host string, declared string"), ["p", "q"]).collect()}
