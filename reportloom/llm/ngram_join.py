@@ -73,6 +73,11 @@ class Shingler:
         return np.unique(total)
 
 
+def fingerprint(shingles: np.ndarray) -> bytes | None:
+    """What stands for a set; none for the empty one."""
+    return hashlib.sha256(shingles.tobytes()).digest()[:16] if len(shingles) else None
+
+
 def tree_keys(shingles: list[np.ndarray], depth: int, trees: int = TREES) -> np.ndarray:
     """Hash of each tree's signature prefix, one row per set; sets are not empty."""
     rng = np.random.default_rng(11)
@@ -106,7 +111,7 @@ def signatures(docs: DataFrame, similarity: float, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array([hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None for s in sets], pa.binary()),
+                        pa.array(list(map(fingerprint, sets)), pa.binary()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     ],
@@ -118,17 +123,20 @@ def signatures(docs: DataFrame, similarity: float, words: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, runs_of``: the hashes themselves, for documents that are to be compared."""
+    """``member, sets``: the hashes themselves, for rows of ``member, text`` that are to be compared.
+
+    Rows whose text has another set than the member's are left out: an id may have several texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                sets = [shingler.of(t).view(np.int64) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("member"), pa.array(sets, pa.list_(pa.int64()))], ["member", "sets"]
-                )
+                sets = [shingler.of(t) for t in part.column("text").to_pylist()]
+                own = pa.array([fingerprint(s) == m for s, m in zip(sets, part.column("member").to_pylist(), strict=True)], pa.bool_())
+                lists = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("member"), lists], ["member", "sets"]).filter(own)
 
     return docs.mapInArrow(run, "member binary, sets array<long>")
 
@@ -327,12 +335,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     found = in_groups(keyed, lambda batches: needed(batches, similarity), place)
     found = materialize(found, "candidates")
     compared = found.select("member").distinct().join(members.select("member", "least_id", "keys", "copies"), "member")
-    # any document of the member has its set; the one of the smallest id is looked up
+    # any document of the member has its set; that of the smallest id is looked up, which may be
+    # several rows, some of them with other texts; only then sets are brought together for one of them
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = rows.select("doc_id", "same").join(compared, F.col("same") == F.col("member"))
-    wanted = wanted.filter(F.col("doc_id").eqNullSafe(F.col("least_id"))).select("doc_id", "member").dropDuplicates(["member"])
-    source = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.doc_id)).select("member", "text")
-    sets = shingle_sets(source, words).join(compared.select("member", "keys", "copies"), "member")
+    wanted = wanted.filter(F.col("doc_id").eqNullSafe(F.col("least_id"))).groupBy("member").agg(
+        F.first("doc_id").alias("doc_id"), F.count("*").alias("rows_of")
+    )
+    wanted = materialize(wanted, "wanted")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        return shingle_sets(texts.join(some, texts.doc_id.eqNullSafe(some.doc_id)).select("member", "text"), words)
+
+    sets = sets_of(wanted.filter("rows_of = 1")).unionByName(sets_of(wanted.filter("rows_of > 1")).dropDuplicates(["member"]))
+    sets = sets.join(compared.select("member", "keys", "copies"), "member")
     sets = materialize(sets, "sets")
     compared = found.join(sets, "member")
     links = in_groups(compared, lambda batches: compare(batches, similarity), "member binary, weight long, peer binary")

@@ -180,6 +180,15 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert kept == {c for _, c, _, _ in near_twin(rows)}
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """The smallest id of a member is repeated, with its own text and with others."""
+    a, b, c = prose(2, 3)
+    near_a, near_b = a + " new", b + " new"
+    rows = [(7, a), (7, a), (9, near_a), (1, b), (1, c), (2, near_b), (3, c + " new")]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == near_twin(rows)
+
+
 def test_shingles_do_not_depend_on_kept_words(monkeypatch):
     from reportloom.llm import grams
 
