@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..checks.inputs import SPACE_SQL
-from . import exact_dedup, language_id, line_dedup, mixing, neighbours, ngram_join, sentencepiece, token_files, toxicity, warc
+from . import (
+    exact_dedup, language_id, line_dedup, merkle, mixing, neighbours, ngram_join, runs, sentencepiece, token_files, toxicity, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,6 +156,57 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
+def leaf_sql(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    coded = [f"coalesce(octet_length(encode(({f})::VARCHAR)) || ':' || ({f})::VARCHAR, '-')" for f in fields]
+    return f"sha256({' || '.join(coded)})"
+
+
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [1, 2, 3, 4, 5, 6, 7, 8]), lambda x, k: xor(x // 2, 3988292384 * (x % 2)))))"""
+OP11_SQL = f"""
+WITH RECURSIVE
+d AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM (
+      SELECT doc_id, lang, {leaf_sql('n_chars')} AS leaf,
+             CASE WHEN {CRC_SQL} % 7 = 0 THEN {leaf_sql('n_chars + 1')} ELSE {leaf_sql('n_chars')} END AS given FROM documents)),
+t AS (SELECT lang, 0 AS level, i, leaf AS h FROM d
+      UNION ALL SELECT lang, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+      FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS n FROM t) WHERE n > 1 GROUP BY lang, level, i // 2),
+high AS (SELECT lang, max(level) AS high FROM t GROUP BY lang),
+s AS (SELECT t.lang, h AS subroot, row_number() OVER (ORDER BY encode(t.lang) NULLS FIRST) - 1 AS j
+      FROM t JOIN high ON t.lang IS NOT DISTINCT FROM high.lang AND level = high),
+u AS (SELECT 0 AS level, j AS i, subroot AS h FROM s
+      UNION ALL SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+      FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY level, i // 2),
+top AS (SELECT h AS root, level FROM u ORDER BY level DESC LIMIT 1),
+steps AS (
+  SELECT d.i AS leaf_at, d.lang, k, (d.i >> k) % 2 AS odd, t.h AS sibling
+  FROM (SELECT d.*, unnest(range(high)) AS k FROM d JOIN high ON d.lang IS NOT DISTINCT FROM high.lang) d
+  LEFT JOIN t ON t.lang IS NOT DISTINCT FROM d.lang AND t.level = k AND t.i = xor(d.i >> k, 1)
+  UNION ALL
+  SELECT d.i, d.lang, high + k, (s.j >> k) % 2, u.h
+  FROM (SELECT s.*, unnest(range((SELECT level FROM top))) AS k FROM s) s
+  JOIN d ON d.lang IS NOT DISTINCT FROM s.lang JOIN high ON high.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN u ON u.level = k AND u.i = xor(s.j >> k, 1)),
+paths AS (SELECT leaf_at, lang, list(CASE WHEN sibling IS NULL THEN '' WHEN odd = 1 THEN 'L' || sibling ELSE 'R' || sibling END ORDER BY k) AS path
+          FROM steps GROUP BY leaf_at, lang),
+done AS (SELECT d.doc_id, leaf, subroot, root, coalesce(path, []) AS path, list_reduce(list_prepend(given, coalesce(path, [])),
+                lambda h, p: sha256(CASE WHEN p[1] = 'L' THEN p[2:] ELSE '' END || h || CASE WHEN p[1] = 'R' THEN p[2:] ELSE '' END)) AS folded_root
+         FROM d JOIN s ON d.lang IS NOT DISTINCT FROM s.lang CROSS JOIN top
+         LEFT JOIN paths ON leaf_at = d.i AND paths.lang IS NOT DISTINCT FROM d.lang)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(path, lambda p: p[2:]), 'string_agg', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM done
+"""
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES = {
     "op1_sentencepiece": (op1_sentencepiece, None),
     "op2_ngram_join": (op2_ngram_join, OP2_SQL),
@@ -165,4 +218,6 @@ QUERIES = {
     "op8_language_id": (op8_language_id, None),
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_neighbours": (op10_neighbours, None),
+    "op11_merkle": (op11_merkle, OP11_SQL),
+    "op13_runs": (op13_runs, None),
 }
