@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..checks.inputs import SPACE_SQL
 from . import (
-    exact_dedup, language_id, line_dedup, merkle, mixing, neighbours, ngram_join, runs, sentencepiece, token_files, toxicity, warc,
+    exact_dedup, language_id, line_dedup, merkle, mixing, neighbours, ngram_join, pii, runs, sentencepiece, token_files, toxicity, warc,
 )
 
 
@@ -203,6 +203,10 @@ SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(path, l
 """
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("redacted")
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
 
@@ -219,5 +223,6 @@ QUERIES = {
     "op9_mixing": (op9_mixing, OP9_SQL),
     "op10_neighbours": (op10_neighbours, None),
     "op11_merkle": (op11_merkle, OP11_SQL),
+    "op12_pii": (op12_pii, None),
     "op13_runs": (op13_runs, None),
 }
