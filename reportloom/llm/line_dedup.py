@@ -18,64 +18,97 @@ from pyspark.sql import functions as F
 from ..functions.scan import let
 from ..session import materialize
 
-THRESHOLD = 1
-LEAST_CHARS = 24  # shorter lines are duplicates only when they are equal
 #: Thresholds that grow with the line, by the length they hold from: a replaced word is within them.
+#: Shorter lines are duplicates only when they are equal.
 BY_LENGTH = ((24, 2), (36, 3), (48, 4), (60, 5), (72, 6))
 LETTERS = "etaoinsrhldcumfpgwybvk"  # an edit changes the counts of two of them by one, at most
-BROADCAST_KEYS = 1_000_000  # shared keys of 8 bytes that are broadcast, at most
-INDEX, PROBE = 1, 2
+BITS_A_KEY = 32  # of the table that probes are tested against
+LEAST_BITS, MOST_BITS = 20, 29  # powers of two: the table that each executor gets has 64 MB at most
+BUCKET_BITS = 15
 
 
-def entries(line: Column, length: Column, threshold: int, least: int) -> Column:
-    """The keys of a line of ``length`` characters: ``(key, role)``, or null, for the segments it is indexed by and those it probes.
+def segments(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``key`` and the columns of ``lines`` but ``line``: a row for each segment of a line, by which it is indexed.
 
-    A key holds the segment's number, the indexed line's length and the substring. A line
-    probes lines of its own length and of up to ``threshold`` fewer characters.
+    A line of a class with threshold ``t`` has ``t + 1`` segments. A key holds the segment's number, the
+    line's length and the segment.
     """
-    parts = threshold + 1
-    found = []
-    for fewer in range(parts):
-        of = length - fewer  # length of the indexed line
-        for i in range(parts):
-            start = F.floor(of * i / parts).cast("int")
-            size = F.floor(of * (i + 1) / parts).cast("int") - start
-            for shift in range(max(-i, fewer - (threshold - i)), min(i, fewer + threshold - i) + 1):
-                at = start + shift
-                inside = (of >= least) & (at >= 0) & (at + size <= length)
-                key = F.xxhash64(F.lit(i), of, F.substring(line, at + 1, size))
-                role = PROBE | (INDEX if fewer == 0 and shift == 0 else 0)
-                found.append(F.when(inside, F.struct(key.alias("key"), F.lit(role).alias("role"))))
-    return F.array(*found)
-
-
-def entries_by_length(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
-    """``key, role, threshold, line_key, chars`` for ``line, line_key, chars``: as ``entries``, with each length's own threshold.
-
-    A pair's threshold is that of its shorter line, which is the indexed one, so a line probes
-    the classes of all lengths it may meet. The places are rows, not expressions: there are many.
+    size = F.col("chars")
+    parts = threshold_of(size, classes) + 1
+    start = lambda i: F.floor(size * i / parts).cast("int")
+    others = [c for c in lines.columns if c != "line"]
+    rows = lines.select("line", *others, F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"))
+    text = F.substring("line", start(F.col("i")) + 1, start(F.col("i") + 1) - start(F.col("i")))
+    return rows.select(F.xxhash64("i", "chars", text).alias("key"), *others)
+
+
+def probes(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``key`` and the columns of ``lines`` but ``line``: the substrings by which a line can meet the segments of
+    a line that is as long or shorter, but for its own segments.
+
+    A pair's threshold is that of its shorter line, so a line probes the classes of all lengths it may meet.
+    Length difference and number of the segment bound the places. They are rows, not expressions: there are many.
     """
     found = []
-    for (least, threshold), below in zip(classes, [*[c[0] for c in classes[1:]], None], strict=True):
-        below = below or (1 << 31) - 1
+    for (least, threshold), below in zip(classes, [*[c[0] for c in classes[1:]], (1 << 31) - 1], strict=True):
         places = ", ".join(
-            f"named_struct('i', {i}, 'fewer', {fewer}, 'shift', {shift}, 'threshold', {threshold}, 'least', {least}, 'below', {below})"
+            f"named_struct('i', {i}, 'fewer', {fewer}, 'shift', {shift}, 'parts', {threshold + 1}, 'least', {least}, 'below', {below})"
             for fewer in range(threshold + 1) for i in range(threshold + 1)
             for shift in range(max(-i, fewer - (threshold - i)), min(i, fewer + threshold - i) + 1)
+            if fewer or shift
         )
         meets = (F.col("chars") >= least) & (F.col("chars") - threshold < below)
         found.append(F.when(meets, F.expr(f"array({places})")).otherwise(F.expr(f"filter(array({places}), p -> false)")))
-    rows = lines.select("line", "line_key", "chars", F.explode(F.concat(*found)).alias("p"))
-    of, parts = F.col("chars") - F.col("p.fewer"), F.col("p.threshold") + 1
+    others = [c for c in lines.columns if c != "line"]
+    rows = lines.select("line", *others, F.explode(F.concat(*found)).alias("p"))
+    of, parts = F.col("chars") - F.col("p.fewer"), F.col("p.parts")
     start = F.floor(of * F.col("p.i") / parts).cast("int")
     size = F.floor(of * (F.col("p.i") + 1) / parts).cast("int") - start
     at = start + F.col("p.shift")
     rows = rows.filter((of >= F.col("p.least")) & (of < F.col("p.below")) & (at >= 0) & (at + size <= F.col("chars")))
-    index = (F.col("p.fewer") == 0) & (F.col("p.shift") == 0)
-    return rows.select(
-        F.xxhash64("p.i", of, F.substring("line", at + 1, size)).alias("key"),
-        F.when(index, INDEX | PROBE).otherwise(PROBE).alias("role"), "p.threshold", "line_key", "chars",
-    )
+    return rows.select(F.xxhash64("p.i", of, F.substring("line", at + 1, size)).alias("key"), *others)
+
+
+def threshold_of(length: Column, classes: tuple[tuple[int, int], ...]) -> Column:
+    """The threshold of the class of a length."""
+    out = F.lit(classes[0][1])
+    for least, threshold in classes[1:]:
+        out = F.when(length >= least, threshold).otherwise(out)
+    return out
+
+
+def bit_table(keys: DataFrame, bits: int) -> DataFrame:
+    """``bucket, words`` of a table of ``1 << bits`` bits, set for the column ``key``, in words of 64 bits."""
+    place = F.col("key").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    rows = keys.select(F.shiftright(place, BUCKET_BITS).alias("bucket"), place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1).cast("long")).alias("bit"))
+    tables = rows.groupBy("bucket").agg(F.call_function("bitmap_construct_agg", F.col("bit")).alias("bitmap"))
+    half = lambda at: F.conv(F.hex(F.substring("bitmap", at, F.lit(4))), 16, 10).cast("long")
+    word = lambda w: F.shiftleft(half(w * 8 + 1), 32).bitwiseOR(half(w * 8 + 5))
+    return tables.select("bucket", F.transform(F.sequence(F.lit(0), F.lit((1 << BUCKET_BITS) // 64 - 1)), word).alias("words"))
+
+
+def only_set(rows: DataFrame, table: DataFrame, bits: int) -> DataFrame:
+    """Rows whose ``key`` is set in the table, and some others; nothing is shuffled."""
+    place = F.col("key").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    byte = F.shiftright(place, 3)
+    word = F.get("words", F.shiftright(place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1).cast("long")), 6).cast("int"))
+    shift = ((7 - byte.bitwiseAND(F.lit(7).cast("long"))) * 8 + place.bitwiseAND(F.lit(7).cast("long"))).cast("int")
+    is_set = F.call_function("shiftright", word, shift).bitwiseAND(F.lit(1).cast("long")) == 1
+    there = F.broadcast(table.withColumnRenamed("bucket", "_bucket"))
+    return rows.join(there, (F.shiftright(place, BUCKET_BITS) == F.col("_bucket")) & is_set).select(*rows.columns)
+
+
+def letter_counts(line: Column) -> list[Column]:
+    """How often each of ``LETTERS`` occurs, 255 at most, eight counts to a number."""
+    count = lambda x: F.least(F.char_length(line) - F.char_length(F.replace(line, F.lit(x), F.lit(""))), F.lit(255)).cast("long")
+    parts = [LETTERS[i : i + 8] for i in range(0, len(LETTERS), 8)]
+    return [reduce(or_bits, [F.shiftleft(count(x), 8 * k) for k, x in enumerate(part)]) for part in parts]
+
+
+def counts_apart(a: str, b: str) -> Column:
+    """Sum of the differences of the letters' counts of two rows."""
+    byte = lambda side, i: F.shiftright(F.col(f"{side}.n{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255).cast("long"))
+    return reduce(add, [F.abs(byte(a, i) - byte(b, i)) for i in range(len(LETTERS))])
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
@@ -92,12 +125,13 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         F.lit(sum(1 << (threshold + d) for d in range(e + 1))).cast("long").alias(word(e)) for e in range(threshold + 1)
     ])
 
-    def read(chars: Column, words: Column, at: Column) -> Column:
-        char = F.get(chars["b"], at)
-        same = reduce(or_bits, [
-            F.when(F.get(chars["a"], at + (d - threshold)) == char, F.lit(1 << d)).otherwise(F.lit(0)).cast("long")
-            for d in range(2 * threshold + 1)
-        ])
+    def same(chars: Column, at: Column) -> Column:
+        """Bit ``d``: the character ``d - threshold`` places further on in ``a`` is that of ``b``."""
+        return let(F.get(chars["b"], at), lambda char: reduce(or_bits, [
+            F.when(F.get(chars["a"], at + (d - threshold)) == char, F.lit(1 << d)).otherwise(F.lit(0)) for d in range(2 * threshold + 1)
+        ]).cast("long"))
+
+    def read(words: Column, same: Column) -> Column:
         new: list[Column] = []
         for e in range(threshold + 1):
             value = words[word(e)].bitwiseAND(same)
@@ -108,9 +142,10 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         return F.struct(*[v.alias(word(e)) for e, v in enumerate(new)])
 
     places = F.when(length_b > 0, F.sequence(F.lit(0), length_b - 1)).otherwise(F.array().cast("array<int>"))
-    # characters are bound once, not split again at each of them
+    # characters are bound once, not split again at each of them; so are the places where one fits
     both = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"))
-    last = let(both, lambda chars: F.aggregate(places, first, lambda words, at: read(chars, words, at)))
+    masks = let(both, lambda chars: F.transform(places, lambda at: same(chars, at)))
+    last = F.aggregate(masks, first, read)
     reached = F.call_function("shiftright", last[word(threshold)], length_a - length_b + threshold).bitwiseAND(F.lit(1).cast("long")) == 1
     return (F.abs(length_a - length_b) <= threshold) & reached
 
@@ -127,97 +162,66 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.filter(F.col("line") != "")
 
 
-def near_lines(docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS) -> DataFrame:
-    """``line_key`` (MD5) of the lines that have an earlier line within ``threshold`` edits.
+def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
+    """``line_key`` (MD5) of the lines that have an earlier line within the threshold of the shorter one.
 
-    Lines are ordered by the smallest doc_id they occur in (null first), then by their bytes.
-    """
-    lines = occurrences(docs).withColumn("chars", F.char_length("line")).filter(F.col("chars") >= least)
-    keys = entries(F.col("line"), F.col("chars"), threshold, least)
-    keyed = lines.select("doc_id", "line", F.inline(keys)).filter(F.col("key").isNotNull())
-    met = keyed.groupBy("key").agg(
-        F.min(F.xxhash64("line")).alias("low"), F.max(F.xxhash64("line")).alias("high"), F.bit_or("role").alias("roles")
-    )
-    met = materialize(met.filter((F.col("low") < F.col("high")) & (F.col("roles") == INDEX | PROBE)).select("key"), "shared-keys")
-    wanted = F.broadcast(met) if met.count() <= BROADCAST_KEYS else met
-    line_key = F.unhex(F.md5("line"))
-    few = keyed.join(wanted, "key").withColumn("line_key", line_key)
-    few = few.groupBy("key", "role", "line_key").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("none"), F.max("line").alias("line"))
-    few = few.withColumn("first", F.when(~F.col("none"), F.col("first")))  # a null id is the smallest
-    for i, letter in enumerate(LETTERS):
-        count = F.char_length("line") - F.char_length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
-        few = few.withColumn(f"n{i}", count)
-    few = materialize(few.withColumn("place", F.struct("first", "line")).drop("none"), "shared-lines")
-    a, b = few.filter(F.col("role") == INDEX | PROBE).alias("a"), few.alias("b")
-    apart = reduce(add, [F.abs(F.col(f"a.n{i}") - F.col(f"b.n{i}")) for i in range(len(LETTERS))])
-    # lines of one length probe each other: once is enough
-    once = (F.col("a.line") < F.col("b.line")) | (F.char_length("a.line") < F.char_length("b.line"))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & (apart <= 2 * threshold))
-    pairs = pairs.filter(within(F.col("a.line"), F.col("b.line"), threshold))
-    later = F.when(F.col("a.place") > F.col("b.place"), F.col("a.line_key")).otherwise(F.col("b.line_key"))
-    return materialize(pairs.select(later.alias("line_key")).distinct(), "near-lines")
-
-
-def near_by_length(docs: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
-    """As ``near_lines``, with a threshold by the length of the shorter line of a pair.
-
-    ``classes`` are pairs of a length and the threshold that holds from it on, both ascending.
-    Keys and pairs carry hashes of lines; the lines of a pair are fetched once. The bands are
-    wide here, so pairs are compared by the built-in distance with a bound.
+    ``classes`` are pairs of a length and the threshold that holds from it on, both ascending; shorter
+    lines are left out. Lines are ordered by the smallest doc_id they occur in (null first), then
+    by their bytes.
+
+    A line has a few segments and many probes. The segments are shuffled; the probes are first
+    tested against a table of bits of the segments' keys, of a size that follows their number up
+    to ``MOST_BITS``. Beyond that more probes pass by chance and fall out in the join.
     """
     lines = occurrences(docs).withColumn("chars", F.char_length("line")).filter(F.col("chars") >= classes[0][0])
     lines = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("none"), F.first("chars").alias("chars"))
     first = F.when(~F.col("none"), F.col("first"))  # a null id is the smallest
-    lines = materialize(lines.select("line", F.unhex(F.md5("line")).alias("line_key"), first.alias("first"), "chars"), "long-lines")
-    keyed = entries_by_length(lines, classes)
-    mark = F.xxhash64("line_key")
-    met = keyed.groupBy("key").agg(F.min(mark).alias("low"), F.max(mark).alias("high"), F.bit_or("role").alias("roles"))
-    met = materialize(met.filter((F.col("low") < F.col("high")) & (F.col("roles") == INDEX | PROBE)).select("key"), "shared-keys")
-    wanted = F.broadcast(met) if met.count() <= BROADCAST_KEYS else met
-    few = materialize(keyed.join(wanted, "key").distinct(), "shared-lines")
-    counts = [(F.char_length("line") - F.char_length(F.replace(F.col("line"), F.lit(x), F.lit("")))).cast("short") for x in LETTERS]
-    counted = lines.join(few.select("line_key").distinct(), "line_key").select("line_key", *[c.alias(f"n{i}") for i, c in enumerate(counts)])
-    few = few.join(materialize(counted, "letter-counts"), "line_key")
-    a, b = few.filter(F.col("role") == INDEX | PROBE).alias("a"), few.alias("b")
-    apart = reduce(add, [F.abs(F.col(f"a.n{i}").cast("int") - F.col(f"b.n{i}")) for i in range(len(LETTERS))])
+    counts = [c.alias(f"n{i}") for i, c in enumerate(letter_counts(F.col("line")))]
+    lines = materialize(lines.select("line", F.unhex(F.md5("line")).alias("line_key"), first.alias("first"), "chars", *counts), "long-lines")
+    rows = lines.drop("first")
+    index = segments(rows, classes)
+    keys = lines.agg(F.sum(threshold_of(F.col("chars"), classes) + 1)).first()[0] or 1
+    bits = min(max(int(keys * BITS_A_KEY).bit_length(), LEAST_BITS), MOST_BITS)
+    table = materialize(bit_table(index, bits), "bit-table")
+    met = only_set(probes(rows, classes), table, bits)
+    a, b = index.alias("a"), index.unionByName(met).alias("b")
+    # lines of one length meet twice: once is enough
     once = (F.col("a.chars") < F.col("b.chars")) | ((F.col("a.chars") == F.col("b.chars")) & (F.col("a.line_key") < F.col("b.line_key")))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & (apart <= 2 * F.col("a.threshold")))
-    pairs = pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key"), F.col("a.threshold")).distinct()
+    near_counts = counts_apart("a", "b") <= 2 * threshold_of(F.col("a.chars"), classes)
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & near_counts)
+    pairs = materialize(pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key")).distinct(), "line-pairs")
     for side in ("a", "b"):
         place = F.struct("first", "line").alias(f"{side}_place")
-        pairs = pairs.join(lines.select(F.col("line_key").alias(f"{side}_key"), place), f"{side}_key")
-    near = F.call_function("levenshtein", F.col("a_place.line"), F.col("b_place.line"), F.col("threshold")) >= 0
+        pairs = pairs.join(lines.select(F.col("line_key").alias(f"{side}_key"), place, F.col("chars").alias(f"{side}_chars")), f"{side}_key")
+    near = F.lit(False)
+    for _, threshold in classes:
+        own = threshold_of(F.least("a_chars", "b_chars"), classes) == threshold
+        near = F.when(own, within(F.col("a_place.line"), F.col("b_place.line"), threshold)).otherwise(near)
     later = F.when(F.col("a_place") > F.col("b_place"), F.col("a_key")).otherwise(F.col("b_key"))
     return materialize(pairs.filter(near).select(later.alias("line_key")).distinct(), "near-lines")
 
 
-def dropped_lines(
-    docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS, classes: tuple[tuple[int, int], ...] | None = None
-) -> DataFrame:
+def dropped_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
     """``doc_id, doc_hash, dropped``: per document with any, the numbers of the lines that go."""
     rows = occurrences(docs).select("doc_id", "doc_hash", "line_no", F.unhex(F.md5("line")).alias("line_key"))
     place = F.struct("doc_id", "line_no")
     repeated = rows.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    near = near_by_length(docs, classes) if classes else near_lines(docs, threshold, least)
-    near = near.withColumn("near", F.lit(True))
+    near = near_lines(docs, classes).withColumn("near", F.lit(True))
     marks = materialize(repeated.drop("n").join(near, "line_key", "full"), "marks")
     gone = rows.join(marks, "line_key").filter(F.col("near").isNotNull() | (place > F.col("first")))
     return gone.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("dropped"))
 
 
-def dedup_lines(
-    docs: DataFrame, threshold: int = THRESHOLD, least: int = LEAST_CHARS, classes: tuple[tuple[int, int], ...] | None = None
-) -> DataFrame:
-    """``docs`` without lines that repeat an earlier line of any document, equal or within ``threshold`` edits.
+def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
+    """``docs`` without lines that repeat an earlier line of any document, equal or within some edits.
 
     Lines end at line feeds. Of equal lines the first stays, by doc_id (null first) and place
-    in the text. A line of at least ``least`` characters also goes if any earlier line of that
-    length or more is near it. With ``classes`` (such as ``BY_LENGTH``) the threshold is that of
-    the shorter line's length instead, and ``threshold`` and ``least`` do not count. Empty lines stay. Rows that repeat an id and a text are treated
+    in the text. A line also goes if any earlier line is within as many edits as ``classes`` give
+    for the shorter of the two. Empty lines stay. Rows that repeat an id and a text are treated
     alike. A null text stays null; a text all of whose lines go becomes empty. Columns are kept
     and ``line_count`` and ``dropped_count`` are added; clashing columns are replaced.
     """
-    gone = dropped_lines(docs, threshold, least, classes)
+    gone = dropped_lines(docs, classes)
     rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))

@@ -53,17 +53,22 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# DuckDB's levenshtein counts bytes: letters of two bytes that the four languages have become one byte each
+LETTERS_OF_TWO_BYTES = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöüàâîôûáú"
+ONE_BYTE_SQL = f"translate({{0}}, '{LETTERS_OF_TWO_BYTES}', list_aggregate(list_transform(list_concat(range(1, 9), range(11, {len(LETTERS_OF_TWO_BYTES) + 3})), lambda c: chr(c::INT)), 'string_agg', ''))"
+
+
 def lines_sql(documents: str) -> str:
     """SQL for the deduplicated texts of the table or subquery ``documents``: ``deduped`` has all its
     columns but the text, and ``line_count``, ``dropped_count`` and the new text as ``kept``."""
     return f"""
 lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS n
           FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM {documents})),
-firsts AS (SELECT line, min(doc_id) AS doc_id, arg_min(n, (doc_id, n)) AS n, len(line) AS size
+firsts AS (SELECT line, {ONE_BYTE_SQL.format('line')} AS bytes, min(doc_id) AS doc_id, arg_min(n, (doc_id, n)) AS n, len(line) AS size
            FROM lines WHERE line <> '' GROUP BY line),
-near AS (SELECT DISTINCT a.line FROM (SELECT *, unnest([size - 1, size, size + 1]) AS other FROM firsts WHERE size >= 24) a
+near AS (SELECT DISTINCT a.line FROM (SELECT *, unnest(range(size - 6, size + 7)) AS other FROM firsts WHERE size >= 24) a
          JOIN firsts b ON a.other = b.size AND b.size >= 24 AND (b.doc_id, b.line) < (a.doc_id, a.line)
-         WHERE levenshtein(a.line, b.line) <= 1),
+         WHERE abs(a.size - b.size) <= least(6, least(a.size, b.size) // 12) AND levenshtein(a.bytes, b.bytes) <= least(6, least(a.size, b.size) // 12)),
 marked AS (SELECT l.doc_id, l.n, l.line, l.line <> '' AND ((l.doc_id, l.n) <> (f.doc_id, f.n) OR near.line IS NOT NULL) AS gone
            FROM lines l LEFT JOIN firsts f ON l.line = f.line LEFT JOIN near ON l.line = near.line),
 joined AS (SELECT doc_id, count(*)::INT AS line_count, count_if(gone)::INT AS dropped_count,

@@ -267,7 +267,7 @@ def test_lines_against_brute_force(spark, threshold):
             pool.append("".join(other))
     texts = ["\n".join(rng.choices(pool, k=rng.randint(1, 6))) for _ in range(60)] + [None, "", "\n\n", "same\nsame"]
     rows = list(enumerate(texts))
-    got = line_dedup.dedup_lines(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, dropped string"), threshold, 12)
+    got = line_dedup.dedup_lines(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, dropped string"), ((12, threshold),))
     assert got.columns == ["doc_id", "text", "dropped", "line_count", "dropped_count"]
     assert Counter((r["doc_id"], r["text"], r["dropped_count"]) for r in got.collect()) == lines_twin(rows, threshold, 12)
 
@@ -291,7 +291,7 @@ def test_lines_by_length_against_brute_force(spark):
     bound = lambda size: max([t for least, t in classes if size >= least], default=-1)
     near = {a for a in first for b in first if (first[b], b) < (first[a], a) and distance(a, b) <= bound(min(len(a), len(b)))}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {bytes(r["line_key"]) for r in line_dedup.near_by_length(docs, classes).collect()}
+    got = {bytes(r["line_key"]) for r in line_dedup.near_lines(docs, classes).collect()}
     assert near and got == {hashlib.md5(line.encode()).digest() for line in near}
 
 
