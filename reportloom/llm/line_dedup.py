@@ -17,56 +17,84 @@ from pyspark.sql import functions as F
 
 from ..functions.scan import let
 from ..session import materialize
+from .bits import BitTable, or_bits
 
 #: Thresholds that grow with the line, by the length they hold from: a replaced word is within them.
 #: Shorter lines are duplicates only when they are equal.
 BY_LENGTH = ((24, 2), (36, 3), (48, 4), (60, 5), (72, 6))
+KEY_CHARS = 32
+STEPS = 64  # characters after which a comparison may end early
+LONGEST_BITS = 30
+INDEX, PROBE = 1, 2
 LETTERS = "etaoinsrhldcumfpgwybvk"  # an edit changes the counts of two of them by one, at most
-BITS_A_KEY = 32  # of the table that probes are tested against
-LEAST_BITS, MOST_BITS = 20, 29  # powers of two: the table that each executor gets has 64 MB at most
-BUCKET_BITS = 15
 
 
 def segments(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
-    """``key`` and the columns of ``lines`` but ``line``: a row for each segment of a line, by which it is indexed.
+    """``key, line_key, chars``: a row for each segment of a line, by which it is indexed.
 
     A line of a class with threshold ``t`` has ``t + 1`` segments. A key holds the segment's number, the
-    line's length and the segment.
+    line's length and the segment, of a long one its first ``KEY_CHARS`` characters: equal segments have equal keys.
     """
-    size = F.col("chars")
-    parts = threshold_of(size, classes) + 1
-    start = lambda i: F.floor(size * i / parts).cast("int")
-    others = [c for c in lines.columns if c != "line"]
-    rows = lines.select("line", *others, F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"))
-    text = F.substring("line", start(F.col("i")) + 1, start(F.col("i") + 1) - start(F.col("i")))
-    return rows.select(F.xxhash64("i", "chars", text).alias("key"), *others)
+    parts = threshold_of(F.col("chars"), classes) + 1
+    rows = lines.select("wide", "line_key", "chars", F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"))
+    start, size = place_of(F.col("i"), F.col("chars"), parts)
+    return rows.select(F.xxhash64("i", "chars", cut("wide", start, size)).alias("key"), "line_key", "chars")
 
 
-def probes(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
-    """``key`` and the columns of ``lines`` but ``line``: the substrings by which a line can meet the segments of
-    a line that is as long or shorter, but for its own segments.
+def probes(docs: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``key, line_key, chars``: the substrings by which a line can meet the segments of a line that is as long or
+    shorter, but for its own segments.
 
     A pair's threshold is that of its shorter line, so a line probes the classes of all lengths it may meet.
-    Length difference and number of the segment bound the places. They are rows, not expressions: there are many.
+    Length difference and number of the segment bound the places. Each segment's surroundings are cut
+    out first, so that its places, of which there are many, copy little.
     """
-    found = []
+    most = classes[-1][1]
+    kinds, moves = [], []
     for (least, threshold), below in zip(classes, [*[c[0] for c in classes[1:]], (1 << 31) - 1], strict=True):
-        places = ", ".join(
-            f"named_struct('i', {i}, 'fewer', {fewer}, 'shift', {shift}, 'parts', {threshold + 1}, 'least', {least}, 'below', {below})"
-            for fewer in range(threshold + 1) for i in range(threshold + 1)
-            for shift in range(max(-i, fewer - (threshold - i)), min(i, fewer + threshold - i) + 1)
-            if fewer or shift
-        )
-        meets = (F.col("chars") >= least) & (F.col("chars") - threshold < below)
-        found.append(F.when(meets, F.expr(f"array({places})")).otherwise(F.expr(f"filter(array({places}), p -> false)")))
-    others = [c for c in lines.columns if c != "line"]
-    rows = lines.select("line", *others, F.explode(F.concat(*found)).alias("p"))
-    of, parts = F.col("chars") - F.col("p.fewer"), F.col("p.parts")
-    start = F.floor(of * F.col("p.i") / parts).cast("int")
-    size = F.floor(of * (F.col("p.i") + 1) / parts).cast("int") - start
+        numbers = [f"named_struct('i', {i}, 'parts', {threshold + 1}, 'least', {least}, 'below', {below})" for i in range(threshold + 1)]
+        kinds.append((least, threshold, below, F.expr(f"array({', '.join(numbers)})")))
+        for i in range(threshold + 1):
+            places = ", ".join(
+                f"named_struct('fewer', {fewer}, 'shift', {shift})"
+                for fewer in range(threshold + 1)
+                for shift in range(max(-i, fewer - (threshold - i)), min(i, fewer + threshold - i) + 1)
+                if fewer or shift
+            )
+            moves.append(f"WHEN parts = {threshold + 1} AND i = {i} THEN array({places})")
+    nothing = F.array().cast("array<struct<i:int,parts:int,least:int,below:int>>")
+
+    def of_class(line: Column) -> Column:
+        return F.concat(*[
+            F.when((line["chars"] >= least) & (line["chars"] - threshold < below), numbers).otherwise(nothing)
+            for least, threshold, below, numbers in kinds
+        ])
+
+    def piece(line: Column, s: Column) -> Column:
+        start, size = place_of(s["i"], line["chars"], s["parts"])
+        left = F.greatest(start - 2 * most, F.lit(0))
+        around = F.substring(line["wide"], left * 4 + 1, (F.least(size, F.lit(KEY_CHARS)) + 3 * most) * 4)
+        return F.struct(line["line_key"].alias("line_key"), line["chars"].alias("chars"), *[s[c].alias(c) for c in ("i", "parts", "least", "below")], left.alias("left"), around.alias("around"))
+
+    pieces = F.transform(described(classes[0][0], wide=True), lambda line: F.transform(of_class(line), lambda s: piece(line, s)))
+    rows = docs.select(F.inline(F.flatten(pieces)))
+    rows = rows.select("*", F.explode(F.expr(f"CASE {' '.join(moves)} END")).alias("p"))
+    of = F.col("chars") - F.col("p.fewer")
+    start, size = place_of(F.col("i"), of, F.col("parts"))
     at = start + F.col("p.shift")
-    rows = rows.filter((of >= F.col("p.least")) & (of < F.col("p.below")) & (at >= 0) & (at + size <= F.col("chars")))
-    return rows.select(F.xxhash64("p.i", of, F.substring("line", at + 1, size)).alias("key"), *others)
+    rows = rows.filter((of >= F.col("least")) & (of < F.col("below")) & (at >= 0) & (at + size <= F.col("chars")))
+    return rows.select(F.xxhash64("i", of, cut("around", at - F.col("left"), size)).alias("key"), "line_key", "chars")
+
+
+def place_of(i: Column, length: Column, parts: Column) -> tuple[Column, Column]:
+    """Start and size of a segment."""
+    start, end = F.floor(length * i / parts).cast("int"), F.floor(length * (i + 1) / parts).cast("int")
+    return start, end - start
+
+
+def cut(wide: str, at: Column, size: Column) -> Column:
+    """Characters of a column that has four bytes for each: cut out without counting those before."""
+    return F.substring(wide, at * 4 + 1, F.least(size, F.lit(KEY_CHARS)) * 4)
 
 
 def threshold_of(length: Column, classes: tuple[tuple[int, int], ...]) -> Column:
@@ -77,27 +105,6 @@ def threshold_of(length: Column, classes: tuple[tuple[int, int], ...]) -> Column
     return out
 
 
-def bit_table(keys: DataFrame, bits: int) -> DataFrame:
-    """``bucket, words`` of a table of ``1 << bits`` bits, set for the column ``key``, in words of 64 bits."""
-    place = F.col("key").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    rows = keys.select(F.shiftright(place, BUCKET_BITS).alias("bucket"), place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1).cast("long")).alias("bit"))
-    tables = rows.groupBy("bucket").agg(F.call_function("bitmap_construct_agg", F.col("bit")).alias("bitmap"))
-    half = lambda at: F.conv(F.hex(F.substring("bitmap", at, F.lit(4))), 16, 10).cast("long")
-    word = lambda w: F.shiftleft(half(w * 8 + 1), 32).bitwiseOR(half(w * 8 + 5))
-    return tables.select("bucket", F.transform(F.sequence(F.lit(0), F.lit((1 << BUCKET_BITS) // 64 - 1)), word).alias("words"))
-
-
-def only_set(rows: DataFrame, table: DataFrame, bits: int) -> DataFrame:
-    """Rows whose ``key`` is set in the table, and some others; nothing is shuffled."""
-    place = F.col("key").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    byte = F.shiftright(place, 3)
-    word = F.get("words", F.shiftright(place.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1).cast("long")), 6).cast("int"))
-    shift = ((7 - byte.bitwiseAND(F.lit(7).cast("long"))) * 8 + place.bitwiseAND(F.lit(7).cast("long"))).cast("int")
-    is_set = F.call_function("shiftright", word, shift).bitwiseAND(F.lit(1).cast("long")) == 1
-    there = F.broadcast(table.withColumnRenamed("bucket", "_bucket"))
-    return rows.join(there, (F.shiftright(place, BUCKET_BITS) == F.col("_bucket")) & is_set).select(*rows.columns)
-
-
 def letter_counts(line: Column) -> list[Column]:
     """How often each of ``LETTERS`` occurs, 255 at most, eight counts to a number."""
     count = lambda x: F.least(F.char_length(line) - F.char_length(F.replace(line, F.lit(x), F.lit(""))), F.lit(255)).cast("long")
@@ -118,7 +125,6 @@ def within(a: Column, b: Column, threshold: int) -> Column:
     ``a`` that ends ``d - threshold`` characters further on. Diagonals beyond the band cannot
     end within the threshold.
     """
-    length_a, length_b = F.char_length(a), F.char_length(b)
     word = lambda e: f"e{e}"
     mask = (1 << (2 * threshold + 1)) - 1
     first = F.struct(*[
@@ -141,17 +147,46 @@ def within(a: Column, b: Column, threshold: int) -> Column:
             new.append(value.bitwiseAND(F.lit(mask).cast("long")))
         return F.struct(*[v.alias(word(e)) for e, v in enumerate(new)])
 
-    places = F.when(length_b > 0, F.sequence(F.lit(0), length_b - 1)).otherwise(F.array().cast("array<int>"))
-    # characters are bound once, not split again at each of them; so are the places where one fits
-    both = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"))
-    masks = let(both, lambda chars: F.transform(places, lambda at: same(chars, at)))
-    last = F.aggregate(masks, first, read)
-    reached = F.call_function("shiftright", last[word(threshold)], length_a - length_b + threshold).bitwiseAND(F.lit(1).cast("long")) == 1
-    return (F.abs(length_a - length_b) <= threshold) & reached
+    def rest(chars: Column) -> Column:
+        """The last state, block by block of ``b``; a state without bits stays so and is not computed on."""
+        length = F.size(chars["b"])
+
+        def block(words: Column, begin: Column) -> Column:
+            places = F.sequence(begin, F.least(begin + (STEPS - 1), length - 1))
+            return F.when(words[word(threshold)] == 0, words).otherwise(F.aggregate(F.transform(places, lambda at: same(chars, at)), words, read))
+
+        begins = F.when(length > 0, F.sequence(F.lit(0), length - 1, F.lit(STEPS))).otherwise(F.array().cast("array<int>"))
+        words = F.aggregate(begins, first, block)
+        return F.call_function("shiftright", words[word(threshold)], F.size(chars["a"]) - length + threshold).bitwiseAND(F.lit(1).cast("long")) == 1
+
+    # characters are bound once, not split again at each of them
+    chars = lambda both: F.struct(F.split(both["a"], "").alias("a"), F.split(both["b"], "").alias("b"))
+    reached = let(let(without_common_ends(a, b), chars), rest)
+    return (F.abs(F.char_length(a) - F.char_length(b)) <= threshold) & reached
+
 
+def without_common_ends(a: Column, b: Column) -> Column:
+    """Two strings without their common beginning and then their common end, as ``struct<a,b>``: the distance stays."""
 
-def or_bits(a: Column, b: Column) -> Column:
-    return a.bitwiseOR(b)
+    def common(x: Column, y: Column) -> Column:
+        """Number of equal characters at the beginning, by halving steps."""
+        least = F.least(F.char_length(x), F.char_length(y))
+        steps = F.array(*[F.lit(1 << k) for k in range(LONGEST_BITS, -1, -1)])
+
+        def step(found: Column, by: Column) -> Column:
+            same = F.substring(x, found + 1, by) == F.substring(y, found + 1, by)
+            return F.when((found + by <= least) & same, found + by).otherwise(found)
+
+        return F.aggregate(steps, F.lit(0), step)
+
+    def cut(both: Column) -> Column:
+        tail = lambda x, n: F.substring(x, n + 1, F.char_length(x))
+        return let(common(both["a"], both["b"]), lambda n: F.struct(tail(both["a"], n).alias("a"), tail(both["b"], n).alias("b")))
+
+    def reverse(both: Column) -> Column:
+        return F.struct(F.reverse(both["a"]).alias("a"), F.reverse(both["b"]).alias("b"))
+
+    return let(let(let(F.struct(a.alias("a"), b.alias("b")), cut), reverse), cut)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -162,6 +197,19 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.filter(F.col("line") != "")
 
 
+def described(least: int, wide: bool = False) -> Column:
+    """The lines of a text with ``least`` characters or more as ``struct<line,chars,line_key>``, on request with the line as UTF-32.
+
+    All of it is made in the array of lines: Spark would otherwise make it again for each row that a line gives.
+    """
+    lines = F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda x: F.struct(x.alias("line"), F.char_length(x).alias("chars")))
+    more = lambda x: [F.encode(x["line"], "UTF-32").alias("wide")] if wide else []
+    return F.transform(
+        F.filter(lines, lambda x: x["chars"] >= least),
+        lambda x: F.struct(x["line"].alias("line"), x["chars"].alias("chars"), F.unhex(F.md5(x["line"])).alias("line_key"), *more(x)),
+    )
+
+
 def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
     """``line_key`` (MD5) of the lines that have an earlier line within the threshold of the shorter one.
 
@@ -169,34 +217,43 @@ def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH
     lines are left out. Lines are ordered by the smallest doc_id they occur in (null first), then
     by their bytes.
 
-    A line has a few segments and many probes. The segments are shuffled; the probes are first
-    tested against a table of bits of the segments' keys, of a size that follows their number up
-    to ``MOST_BITS``. Beyond that more probes pass by chance and fall out in the join.
+    A line has a few segments and many probes; probes are tested against a table of bits of the
+    segments' keys before they are shuffled, and only lines that share a key with another one
+    are brought together, first by their keys alone, then with the letters they have.
     """
-    lines = occurrences(docs).withColumn("chars", F.char_length("line")).filter(F.col("chars") >= classes[0][0])
-    lines = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("none"), F.first("chars").alias("chars"))
-    first = F.when(~F.col("none"), F.col("first"))  # a null id is the smallest
+    least = classes[0][0]
+    own = docs.select(F.col("doc_id").cast("long"), F.inline(described(least)))
+    index = segments(docs.select(F.inline(described(least, wide=True))), classes)
+    count = own.agg(F.sum(threshold_of(F.col("chars"), classes) + 1)).first()[0] or 1
+    met = materialize(BitTable(index, count).holds(probes(docs, classes)), "probes")
+    both = index.withColumn("role", F.lit(INDEX)).unionByName(met.withColumn("role", F.lit(PROBE)))
+    mark = F.xxhash64("line_key")
+    shared = both.groupBy("key").agg(F.min(mark).alias("low"), F.max(mark).alias("high"), F.bit_or("role").alias("roles"))
+    shared = shared.filter((F.col("low") < F.col("high")) & (F.col("roles").bitwiseAND(F.lit(INDEX)) > 0)).select("key")
+    shared = materialize(shared, "shared-keys")
+    few = BitTable(shared, shared.count()).holds(both).join(shared, "key").groupBy("key", "line_key", "chars").agg(F.bit_or("role").alias("role"))
+    few = materialize(few, "shared-lines")
+    # the texts of these lines only, and how often they have each letter
+    wanted = materialize(few.select("line_key").distinct().select(F.xxhash64("line_key").alias("key")), "wanted")
+    lines = BitTable(wanted, wanted.count()).holds(own.drop("chars"), F.xxhash64("line_key"))
+    lines = lines.groupBy("line_key", "line").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("none"))
     counts = [c.alias(f"n{i}") for i, c in enumerate(letter_counts(F.col("line")))]
-    lines = materialize(lines.select("line", F.unhex(F.md5("line")).alias("line_key"), first.alias("first"), "chars", *counts), "long-lines")
-    rows = lines.drop("first")
-    index = segments(rows, classes)
-    keys = lines.agg(F.sum(threshold_of(F.col("chars"), classes) + 1)).first()[0] or 1
-    bits = min(max(int(keys * BITS_A_KEY).bit_length(), LEAST_BITS), MOST_BITS)
-    table = materialize(bit_table(index, bits), "bit-table")
-    met = only_set(probes(rows, classes), table, bits)
-    a, b = index.alias("a"), index.unionByName(met).alias("b")
+    place = F.struct(F.when(~F.col("none"), F.col("first")).alias("first"), "line")  # a null id is the smallest
+    lines = materialize(lines.select("line_key", place.alias("place"), *counts), "long-lines")
+    few = few.join(lines.drop("place"), "line_key")
+    a, b = few.filter(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).alias("a"), few.alias("b")
     # lines of one length meet twice: once is enough
     once = (F.col("a.chars") < F.col("b.chars")) | ((F.col("a.chars") == F.col("b.chars")) & (F.col("a.line_key") < F.col("b.line_key")))
     near_counts = counts_apart("a", "b") <= 2 * threshold_of(F.col("a.chars"), classes)
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & near_counts)
-    pairs = materialize(pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key")).distinct(), "line-pairs")
+    pairs = pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key"), F.col("a.chars").alias("chars"))
+    pairs = materialize(pairs.distinct(), "line-pairs")
     for side in ("a", "b"):
-        place = F.struct("first", "line").alias(f"{side}_place")
-        pairs = pairs.join(lines.select(F.col("line_key").alias(f"{side}_key"), place, F.col("chars").alias(f"{side}_chars")), f"{side}_key")
+        pairs = pairs.join(lines.select(F.col("line_key").alias(f"{side}_key"), F.col("place").alias(f"{side}_place")), f"{side}_key")
     near = F.lit(False)
     for _, threshold in classes:
-        own = threshold_of(F.least("a_chars", "b_chars"), classes) == threshold
-        near = F.when(own, within(F.col("a_place.line"), F.col("b_place.line"), threshold)).otherwise(near)
+        own_class = threshold_of(F.col("chars"), classes) == threshold
+        near = F.when(own_class, within(F.col("a_place.line"), F.col("b_place.line"), threshold)).otherwise(near)
     later = F.when(F.col("a_place") > F.col("b_place"), F.col("a_key")).otherwise(F.col("b_key"))
     return materialize(pairs.filter(near).select(later.alias("line_key")).distinct(), "near-lines")
 
@@ -221,15 +278,20 @@ def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGT
     alike. A null text stays null; a text all of whose lines go becomes empty. Columns are kept
     and ``line_count`` and ``dropped_count`` are added; clashing columns are replaced.
     """
-    gone = dropped_lines(docs, classes)
-    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    gone = materialize(dropped_lines(docs, classes), "dropped-lines")
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_of"), F.col("dropped").alias("_dropped"))
+    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    # only documents that lose lines are shuffled
+    some = BitTable(gone.select(F.xxhash64("_id", "_of").alias("key")), gone.count())
+    row_key = F.xxhash64(F.col("doc_id").cast("long"), "_hash")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of"))
+    joined = some.holds(rows, row_key).join(gone, same, "left").drop("_id", "_of")
+    joined = joined.unionByName(some.lacks(rows, row_key).withColumn("_dropped", F.lit(None).cast("array<int>")))
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
     kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_of"), F.col("dropped").alias("_dropped"))
-    joined = rows.join(gone, rows.doc_id.eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left")
     return joined.withColumns({
         "line_count": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
         "dropped_count": F.coalesce(F.size("_dropped"), F.lit(0)),
         "text": F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept),
-    }).drop("_hash", "_id", "_of", "_dropped")
+    }).drop("_hash", "_dropped")
