@@ -1,11 +1,12 @@
 """N-gram Jaccard join with a MinHash LSH forest and exact verification.
 
 A text is the set of its runs of five words. Texts of equal sets form one member with a
-count. A member's MinHash signature is cut into trees; documents sorted by a tree's part of
-the signature form a prefix trie, in which similar sets share long prefixes. Prefixes are
-shortened from the full part of the signature until pairs at the threshold share one in
-some tree with the target probability; neighbours in the tries at that depth are compared
-by their exact sets.
+count. A member's MinHash signature is cut into trees; members sorted by a tree's part of
+the signature form a prefix trie, in which similar sets share long prefixes. In each tree a
+member's prefix is shortened, from the whole part of the signature, until a neighbour in the
+sorted order shares it, but no further than where pairs at the threshold share one in some tree
+with the target probability. Members that find no neighbour so far go on in other trees only;
+those that share a prefix of at least that length are compared by their exact sets.
 
 Members that share a prefix are compared in blocks, two blocks at a time, so that no task
 holds a large group; a pair is compared in the first tree in which it meets. Pairs never
@@ -20,16 +21,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .bits import BitTable
 from .grams import WordValues
 
 WORDS = 5
 SIMILARITY = 0.8
 TREES = 32
 DEPTH = 6
+DIGIT_BITS = 10  # of a minimum in a tree's key; members that share digits by chance are told apart by their sets
 TARGET_RECALL = 0.9999995  # for a pair just at the threshold
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 400_000
@@ -78,8 +81,11 @@ def fingerprint(shingles: np.ndarray) -> bytes | None:
     return hashlib.sha256(shingles.tobytes()).digest()[:16] if len(shingles) else None
 
 
-def tree_keys(shingles: list[np.ndarray], depth: int, trees: int = TREES) -> np.ndarray:
-    """Hash of each tree's signature prefix, one row per set; sets are not empty."""
+def tree_keys(shingles: list[np.ndarray], depth: int = DEPTH, trees: int = TREES) -> np.ndarray:
+    """Each tree's minima as the digits of one number, one row per set; sets are not empty.
+
+    The numbers sort as the lists of minima would; equal leading digits are a shared prefix.
+    """
     rng = np.random.default_rng(11)
     factors = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
@@ -87,18 +93,15 @@ def tree_keys(shingles: list[np.ndarray], depth: int, trees: int = TREES) -> np.
     starts = np.cumsum([0, *map(len, shingles[:-1])])
     flat = np.concatenate(shingles)
     for tree in range(trees):
-        key = np.full(len(shingles), tree + 1, np.uint64)
         for i in range(tree * depth, (tree + 1) * depth):
             least = np.minimum.reduceat(flat * factors[i] + shifts[i], starts)
-            key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(32)
-        keys[:, tree] = key
+            digit = (least ^ (least >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - DIGIT_BITS)
+            keys[:, tree] = keys[:, tree] << np.uint64(DIGIT_BITS) | digit
     return keys.view(np.int64)
 
 
-def signatures(docs: DataFrame, similarity: float, words: int) -> DataFrame:
-    """``doc_id, same, runs, keys``: the set's fingerprint and size, and its key per tree (null without words)."""
-    depth = depth_for(similarity)
+def signatures(docs: DataFrame, words: int) -> DataFrame:
+    """``doc_id, text_hash, same, runs, keys``: the set's fingerprint and size, and its key per tree (null without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -107,26 +110,80 @@ def signatures(docs: DataFrame, similarity: float, words: int) -> DataFrame:
                 part = batch.slice(begin, 64)
                 sets = [shingler.of(t) for t in part.column("text").to_pylist()]
                 full = [s for s in sets if len(s)]
-                rows = iter(tree_keys(full, depth).tolist() if full else [])
+                rows = iter(tree_keys(full).tolist() if full else [])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array(list(map(fingerprint, sets)), pa.binary()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "same", "runs", "keys"],
+                    ["doc_id", "text_hash", "same", "runs", "keys"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, same binary, runs int, keys array<long>")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), text_hash(text).alias("text_hash"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, same binary, runs int, keys array<long>")
+
+
+def text_hash(text: Column) -> Column:
+    """Tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def with_neighbours(tries: DataFrame, least: int) -> DataFrame:
+    """The rows of ``tree, key, member, …`` that share a prefix of ``least`` digits or more in their tree.
+
+    Rows are sorted tree by tree; one that shares a prefix with any other shares it with the one
+    before or after it. Rows at the edges of a partition, whose neighbours are elsewhere, stay. ``shared`` is the
+    length of the longest such prefix.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # the last row, whose next neighbour is not known yet
+        before = DEPTH  # what it shares with the one before it
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            if len(table) < 2:
+                held = table if len(table) else held
+                continue
+            tree, key = columns_of(table, "tree", "key")
+            common = shared_digits(key[:-1], key[1:])
+            common[tree[:-1] != tree[1:]] = -1
+            shared = np.maximum(np.concatenate([[before], common[:-1]]), common)
+            yield from marked(table.slice(0, len(shared)), shared, least)
+            held, before = table.slice(len(table) - 1), common[-1]
+        if held is not None:
+            yield from marked(held, np.array([DEPTH]), least)
+
+    order = ("tree", "key", "member")
+    sorted_ = tries.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = ", ".join(f"`{c}` {t}" for c, t in tries.dtypes)
+    return sorted_.mapInArrow(run, f"{schema}, shared int")
+
+
+def shared_digits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of equal leading digits."""
+    equal = np.zeros(len(a), np.int64)
+    for digits in range(1, DEPTH + 1):
+        shift = DIGIT_BITS * (DEPTH - digits)
+        equal += (a >> shift) == (b >> shift)
+    return equal
+
+
+def marked(table: pa.Table, shared: np.ndarray, least: int) -> list[pa.RecordBatch]:
+    table = table.append_column("shared", pa.array(shared, pa.int32())).filter(pa.array(shared >= least))
+    return table.combine_chunks().to_batches()
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``member, sets``: the hashes themselves, for rows of ``member, text`` that are to be compared.
+    """``member, rows_of, keys, copies, sets``: adds the hashes themselves to rows with a ``text`` that are to be compared.
 
     Rows whose text has another set than the member's are left out: an id may have several texts.
     """
+    others = ["member", "rows_of", "keys", "copies"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -136,9 +193,9 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 sets = [shingler.of(t) for t in part.column("text").to_pylist()]
                 own = pa.array([fingerprint(s) == m for s, m in zip(sets, part.column("member").to_pylist(), strict=True)], pa.bool_())
                 lists = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("member"), lists], ["member", "sets"]).filter(own)
+                yield pa.RecordBatch.from_arrays([*part.select(others).columns, lists], [*others, "sets"]).filter(own)
 
-    return docs.mapInArrow(run, "member binary, sets array<long>")
+    return docs.select(*others, "text").mapInArrow(run, "member binary, rows_of long, keys array<long>, copies long, sets array<long>")
 
 
 def new_pairs(keys_a: np.ndarray, keys_b: np.ndarray, tree: int) -> np.ndarray:
@@ -198,9 +255,10 @@ def columns_of(table: pa.Table, *names: str) -> list[np.ndarray]:
     return [table[n].to_numpy() for n in names]
 
 
-def key_rows(table: pa.Table) -> np.ndarray:
+def prefixes(table: pa.Table, depth: int) -> np.ndarray:
+    """The first ``depth`` digits of each row's key in each tree."""
     flat = table["keys"].combine_chunks().flatten().to_numpy()
-    return flat.reshape(len(table), -1)
+    return flat.reshape(len(table), -1) >> DIGIT_BITS * (DEPTH - depth)
 
 
 def pairs_here(keys, sizes, rows_a, rows_b, tree: int, same: bool, similarity: float) -> np.ndarray:
@@ -216,7 +274,7 @@ def needed(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
     """Rows of members that have a pair to compare in their pair of blocks; looks at keys only."""
     for table, bounds in whole_groups(batches, PLACE):
         tree, left, right, block, runs = columns_of(table, "tree", "left", "right", "block", "runs")
-        keys = key_rows(table)
+        keys = prefixes(table, depth_for(similarity))
         use = np.zeros(len(table), bool)
         for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
             own = slice(begin, end)
@@ -238,7 +296,7 @@ def compare(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
     """
     for table, bounds in whole_groups(batches, PLACE):
         tree, left, right, block, copies = columns_of(table, "tree", "left", "right", "block", "copies")
-        keys = key_rows(table)
+        keys = prefixes(table, depth_for(similarity))
         lists = table["sets"].combine_chunks()
         flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
         ends = np.cumsum(sizes)
@@ -315,12 +373,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     one run; null texts and texts without words have no links and a class each. Rows with
     equal texts are links of each other, whatever their ids. Other columns do not matter.
     """
-    rows = materialize(signatures(docs, similarity, words), "signatures")
+    return labelled(docs, similarity, words).drop("text_hash", "same")
+
+
+def labelled(docs: DataFrame, similarity: float, words: int) -> DataFrame:
+    """As ``near_duplicates``, with ``text_hash`` and the fingerprint ``same``."""
+    rows = materialize(signatures(docs, words), "signatures")
     members = rows.filter("same IS NOT NULL").groupBy("same").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("least_id"), F.first("runs").alias("runs"), F.first("keys").alias("keys")
     )
     members = materialize(members.withColumnRenamed("same", "member"), "members")
     tries = members.select("member", "runs", F.posexplode("keys").alias("tree", "key"))
+    depth = depth_for(similarity)
+    tries = with_neighbours(tries, depth).withColumn("key", F.shiftright("key", DIGIT_BITS * (DEPTH - depth)))
+    tries = materialize(tries, "prefixes")
     shared = tries.groupBy("tree", "key").agg(F.count("*").alias("n"), F.sum(F.col("runs").cast("long")).alias("total"))
     parts = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     shared = shared.filter("n > 1").select("tree", "key", parts.alias("parts"))
@@ -337,19 +403,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     compared = found.select("member").distinct().join(members.select("member", "least_id", "keys", "copies"), "member")
     # any document of the member has its set; that of the smallest id is looked up, which may be
     # several rows, some of them with other texts; only then sets are brought together for one of them
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = rows.select("doc_id", "same").join(compared, F.col("same") == F.col("member"))
     wanted = wanted.filter(F.col("doc_id").eqNullSafe(F.col("least_id"))).groupBy("member").agg(
-        F.first("doc_id").alias("doc_id"), F.count("*").alias("rows_of")
+        F.first("doc_id").alias("_id"), F.count("*").alias("rows_of"), F.first("keys").alias("keys"), F.first("copies").alias("copies")
     )
     wanted = materialize(wanted, "wanted")
-
-    def sets_of(some: DataFrame) -> DataFrame:
-        return shingle_sets(texts.join(some, texts.doc_id.eqNullSafe(some.doc_id)).select("member", "text"), words)
-
-    sets = sets_of(wanted.filter("rows_of = 1")).unionByName(sets_of(wanted.filter("rows_of > 1")).dropDuplicates(["member"]))
-    sets = sets.join(compared.select("member", "keys", "copies"), "member")
+    # most texts are not wanted and are not shuffled
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    there = BitTable(wanted.select(F.xxhash64("_id").alias("key")), wanted.count())
+    texts = there.holds(texts, F.xxhash64("doc_id"))
+    sets = shingle_sets(texts.join(wanted, texts.doc_id.eqNullSafe(wanted["_id"])), words)
     sets = materialize(sets, "sets")
+    sets = sets.filter("rows_of = 1").unionByName(sets.filter("rows_of > 1").dropDuplicates(["member"])).drop("rows_of")
     compared = found.join(sets, "member")
     links = in_groups(compared, lambda batches: compare(batches, similarity), "member binary, weight long, peer binary")
     links = materialize(links, "links")
@@ -363,16 +428,30 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
         (F.coalesce("weight", F.lit(0)) + F.col("copies") - 1).alias("links"),
     )
     return rows.join(named, "same", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"),
+        "doc_id", "text_hash", "same", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
     )
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """``docs`` with one document of each class: the one of the smallest doc_id.
+    """``docs`` with one row of each class: of its smallest doc_id (null first), then by a hash of the text.
 
-    Documents without words stay. Of rows that repeat one id all stay, if that id stays.
+    Documents without words stay. Of rows that are alike in id and text any one stays. Texts are
+    shuffled only for rows that may go, by a table of bits of their ids and texts.
     """
-    found = near_duplicates(docs, similarity, words)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
+    rows = labelled(docs, similarity, words).filter("same IS NOT NULL")
+    per_row = rows.groupBy("class_id", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    place = F.struct("doc_id", "text_hash")
+    firsts = per_row.groupBy("class_id").agg(F.min(place).alias("first"))
+    named = per_row.join(firsts.withColumnRenamed("class_id", "_class"), F.col("class_id").eqNullSafe(F.col("_class")))
+    stays = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash"))
+    named = named.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), stays.alias("_stays"), "n")
+    some = materialize(named.filter("n > 1 OR NOT _stays"), "near-rows")
+    there = BitTable(some.select(F.xxhash64("_id", "_of").alias("key")), some.count())
+    hashed = docs.withColumn("_hash", text_hash(F.col("text").cast("string")))
+    row_key = F.xxhash64(F.col("doc_id").cast("long"), "_hash")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of"))
+    joined = there.holds(hashed, row_key).join(some, same, "left")
+    once = joined.filter("_stays AND n > 1").dropDuplicates(["doc_id", "_hash"])
+    kept = joined.filter("_stays IS NULL").unionByName(once).drop("_id", "_of", "_stays", "n")
+    return there.lacks(hashed, row_key).unionByName(kept).drop("_hash")
