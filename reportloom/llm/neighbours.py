@@ -27,7 +27,7 @@ QUERY_ROWS = 8_192
 SAMPLE_ROWS = 4_096  # rows of the sample that the candidate share is fitted on, at most
 SAMPLE_QUERIES = 128
 TARGET_RECALL = 0.96
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query long, query_id long, vec_id long, score double"
 
 
 def usable(vectors: Column) -> Column:
@@ -95,21 +95,21 @@ class Forest:
                 break
         return seen
 
-    def search(self, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, wanted: int, k: int):
-        """``(query, vec_id, distance)`` of the ``k`` best candidates of each query, itself excluded."""
+    def search(self, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, wanted: int, k: int):
+        """``(number of the query, vec_id, distance)`` of the ``k`` best candidates of each query, its own row excluded."""
         found = []
         for begin in range(0, len(queries), 512):
             part = slice(begin, begin + 512)
             seen = self.candidates(queries[part], wanted)
-            for row, (query, query_id) in enumerate(zip(queries[part], query_ids[part], strict=True)):
-                at = np.flatnonzero(seen[row] & (ids != query_id))
+            for row, (query, own) in enumerate(zip(queries[part], query_rows[part], strict=True)):
+                at = np.flatnonzero(seen[row] & (rows != own))
                 rough = self.squares[at] - 2 * (self.vectors[at] @ query)
                 if len(at) > 4 * k:  # exact distances for the best by the rounded ones, ties included
                     limit = np.partition(rough, 2 * k)[2 * k]
                     at = at[rough <= limit + 1e-9 * (abs(limit) + query @ query)]
                 exact = np.sqrt(((self.vectors[at] - query) ** 2).sum(axis=1))
                 best = np.lexsort((ids[at], exact))[:k]
-                found.append((np.full(len(best), query_id), ids[at][best], exact[best]))
+                found.append((np.full(len(best), begin + row), ids[at][best], exact[best]))
         return [np.concatenate(x) for x in zip(*found, strict=True)]
 
 
@@ -136,12 +136,15 @@ def fitted_share(sample: np.ndarray, k: int) -> float:
 
 
 def prepare(vectors: DataFrame) -> DataFrame:
-    """``vec_id, vector, dims`` of the vectors that take part, one per id (the smallest, if several)."""
+    """``row, vec_id, vector, dims`` of the rows that take part, ``row`` being a number of their own; written once.
+
+    Several rows may share a vec_id. Rows with a null vec_id cannot be named in a result and take no part.
+    """
     value = F.col("embedding").cast("array<double>")
     kept = vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    return kept.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(value).alias("vector")).withColumn(
-        "dims", F.size("vector")
-    )
+    return kept.select(
+        F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), value.alias("vector"), F.size(value).alias("dims")
+    )
 
 
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
@@ -149,11 +152,12 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
 
     ``vectors`` has ``vec_id, embedding``; the result has ``query_id, rank, vec_id, score``,
     with exact Euclidean distances and ties to the smaller vec_id. Vectors of other lengths
-    than the query's are no candidates. Of identical vectors only the ``k + 1`` smallest ids
-    can be in a result, so only those are indexed. Other columns do not matter.
+    than the query's are no candidates. Every row but the query's own is a candidate, also one of the
+    same vec_id; each row of an id that is asked for is a query. Of identical vectors only the
+    ``k + 1`` smallest ids can be in a result, so only those are indexed. Other columns do not matter.
     """
     rows = materialize(prepare(vectors), "vectors")
-    same = Window.partitionBy("dims", "vector").orderBy("vec_id")
+    same = Window.partitionBy("dims", "vector").orderBy("vec_id", "row")
     indexed = rows.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).drop("copy")
     indexed = materialize(indexed, "indexed")
     counts = {r["dims"]: r["count"] for r in indexed.groupBy("dims").count().collect()}  # few lengths
@@ -162,7 +166,7 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     best = []
     for dims in sorted(asking):
         own = indexed.filter(F.col("dims") == dims)
-        ordered = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS)  # bounded sample
+        ordered = own.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE_ROWS)  # bounded sample
         share = fitted_share(np.array([r["vector"] for r in ordered.select("vector").collect()]), k)
         blocks = max(1, math.ceil(counts[dims] / BLOCK_ROWS))
         parts = max(1, math.ceil(asking[dims] / QUERY_ROWS))
@@ -172,26 +176,27 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     found = best[0]
     for more in best[1:]:
         found = found.unionByName(more)
-    ranked = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = Window.partitionBy("query").orderBy("score", "vec_id")
     found = found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
 def in_blocks(own: DataFrame, asked: DataFrame, blocks: int, parts: int, share: float, k: int) -> DataFrame:
     """Best ``k`` per query and block. A task holds one block of vectors and one part of the queries."""
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    part = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).cast("int")
+    block = F.pmod(F.xxhash64("vec_id", "row"), F.lit(blocks)).cast("int")
+    part = F.pmod(F.xxhash64("vec_id", "row", F.lit(1)), F.lit(parts)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = own.select(block.alias("block"), every(parts).alias("part"), "vec_id", "vector")
-    right = asked.select(every(blocks).alias("block"), part.alias("part"), "vec_id", "vector")
+    left = own.select(block.alias("block"), every(parts).alias("part"), "row", "vec_id", "vector")
+    right = asked.select(every(blocks).alias("block"), part.alias("part"), "row", "vec_id", "vector")
 
     def search(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        out = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if len(vectors) and len(queries):
             forest = Forest(matrix(vectors["vector"]))
             wanted = max(math.ceil(share * len(vectors)), k + 1)
-            ids = vectors["vec_id"].to_numpy()
-            out = forest.search(ids, matrix(queries["vector"]), queries["vec_id"].to_numpy(), wanted, k)
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), out, strict=True)))
+            asked_rows = queries["row"].to_numpy()
+            at, *found = forest.search(vectors["vec_id"].to_numpy(), vectors["row"].to_numpy(), matrix(queries["vector"]), asked_rows, wanted, k)
+            out = [asked_rows[at], queries["vec_id"].to_numpy()[at], *found]
+        return pa.table(dict(zip(("query", "query_id", "vec_id", "score"), out, strict=True)))
 
     return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(search, FOUND)

@@ -445,13 +445,13 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY, words: int = WO
     firsts = per_row.groupBy("class_id").agg(F.min(place).alias("first"))
     named = per_row.join(firsts.withColumnRenamed("class_id", "_class"), F.col("class_id").eqNullSafe(F.col("_class")))
     stays = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash"))
-    named = named.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), stays.alias("_stays"), "n")
-    some = materialize(named.filter("n > 1 OR NOT _stays"), "near-rows")
+    named = named.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"), stays.alias("_stays"), F.col("n").alias("_n"))
+    some = materialize(named.filter("_n > 1 OR NOT _stays"), "near-rows")
     there = BitTable(some.select(F.xxhash64("_id", "_of").alias("key")), some.count())
     hashed = docs.withColumn("_hash", text_hash(F.col("text").cast("string")))
     row_key = F.xxhash64(F.col("doc_id").cast("long"), "_hash")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of"))
     joined = there.holds(hashed, row_key).join(some, same, "left")
-    once = joined.filter("_stays AND n > 1").dropDuplicates(["doc_id", "_hash"])
-    kept = joined.filter("_stays IS NULL").unionByName(once).drop("_id", "_of", "_stays", "n")
+    once = joined.filter("_stays AND _n > 1").dropDuplicates(["doc_id", "_hash"])
+    kept = joined.filter("_stays IS NULL").unionByName(once).drop("_id", "_of", "_stays", "_n")
     return there.lacks(hashed, row_key).unionByName(kept).drop("_hash")

@@ -128,7 +128,7 @@ def mixing_sql(documents: str) -> str:
     then documents in order of their hash until the budget is met as nearly as may be."""
     return f"""
 d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-             ('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:15])::BIGINT AS h
+             ('0x' || md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')))[1:15])::BIGINT AS h
       FROM {documents}),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight,
@@ -140,17 +140,16 @@ r AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER b, 0))::DOUB
 g AS (SELECT *, CASE WHEN most <= rate * weight THEN most::DOUBLE
                      ELSE max(rate) FILTER (most > rate * weight) OVER () * weight END AS target FROM r),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size)::BIGINT, 3) ELSE 0 END AS repeats FROM g),
-c AS (SELECT d.source, h, sum(size)::BIGINT AS size FROM d WHERE size > 0 GROUP BY ALL),
-a AS (SELECT c.source, h, size, coalesce(sum(size) OVER (PARTITION BY c.source ORDER BY h
+c AS (SELECT d.source, h, sum(size)::BIGINT AS size, count(*) AS n FROM d WHERE size > 0 GROUP BY ALL),
+a AS (SELECT c.source, h, size, n, coalesce(sum(size) OVER (PARTITION BY c.source ORDER BY h
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS below FROM c),
-e AS (SELECT a.source, arg_max(CASE WHEN abs(below + size - (target - repeats * source_size))
-                                    <= abs(target - repeats * source_size - below) THEN h + 1 ELSE h END, h) AS cut
+e AS (SELECT a.source, max(h) AS cut, arg_max(least(n, greatest(0, floor((target - repeats * source_size - below) / (size / n) + 0.5)::BIGINT)), h) AS more
       FROM a JOIN p ON a.source IS NOT DISTINCT FROM p.source
       WHERE below <= target - repeats * source_size GROUP BY a.source),
 mixed AS (
 SELECT d.doc_id, d.source, size, source_size, target,
-       (size * least(repeats + (h < coalesce(cut, 0))::BIGINT, 3))::BIGINT AS taken
-FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+       (size * least(repeats + coalesce(h < cut OR h = cut AND number <= more, false)::BIGINT, 3))::BIGINT AS taken
+FROM (SELECT *, row_number() OVER (PARTITION BY source, h) AS number FROM d) d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source)
 """
 
 

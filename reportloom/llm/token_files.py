@@ -36,7 +36,8 @@ END = 2
 SEEK_MAGIC = 0x8F92EAB1
 TABLE_FRAME = 0x184D2A5E
 NAMES_FRAME = 0x184D2A50
-FRAMES_PER_READ = 2048
+FRAMES_PER_READ = 1024
+MOST_READERS = 20_000
 PORTION_CHARS = 1_000_000
 MARKS = ".,;:!?"
 SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed: stand for themselves in byte-level letters
@@ -50,7 +51,8 @@ MANIFEST = "shard int, path string, docs int, ids long"
 class Encoder:
     """Whole texts to ids with a model file of the tokenizers library; each different word once.
 
-    Markers such as an end-of-text string inside a text are ordinary text.
+    Texts that hold one of the model's added tokens, such as an end-of-text marker, are given to
+    the library as a whole, so that these get the ids that it gives them.
     """
 
     def __init__(self, path: str):
@@ -58,7 +60,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.bpe = self.model.model
         self.tails: dict[str, list[int]] = {"": []}
         self.store = WordStore(self.tokenize)
@@ -100,8 +102,10 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text; null and empty texts have none."""
         for portion in in_portions(texts, PORTION_CHARS):
-            ids, sizes = self.store.encode([space_words(text) for text in portion])
-            yield from np.split(ids, np.cumsum(sizes)[:-1])
+            marked = {i for i, text in enumerate(portion) if any(token in text for token in self.added)}
+            ids, sizes = self.store.encode([[] if i in marked else space_words(text) for i, text in enumerate(portion)])
+            for i, own in enumerate(np.split(ids, np.cumsum(sizes)[:-1])):
+                yield np.array(self.ids_of([portion[i]])[0], np.int32) if i in marked else own
 
 
 @lru_cache(maxsize=2)
@@ -232,7 +236,9 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                         "ids_crc32": pa.array(crcs, pa.int64()),
                     })
 
-    spread = ranges.repartition("path", "first")
+    # a number of its own, as the rows are too small for Spark to see the work behind them
+    reads = manifest.agg(F.sum(F.ceil(F.col("docs") / FRAMES_PER_READ))).first()[0] or 1
+    spread = ranges.repartition(min(int(reads), MOST_READERS), "path", "first")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

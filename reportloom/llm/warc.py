@@ -49,13 +49,14 @@ def url_key(url: Column) -> Column:
 def planned(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """``page_id, url, payload, digest, refers_to, refers_url`` per row: what each record will be.
 
-    Of equal payloads of at least ``least`` bytes the smallest page_id is stored. Digests, not
+    Of equal payloads of at least ``least`` bytes the smallest page_id is stored; a null one is not
+    smaller, and payloads under null ids only are all stored. Digests, not
     payloads, are brought together.
     """
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload")})
-    first = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("n"))
+    first = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"), F.count("*").alias("n"))
     # only payloads that repeat; Spark splits a digest that many rows share (skewed join)
     joined = rows.join(first.filter("n > 1"), "digest", "left")
     other = ~F.col("first.page_id").eqNullSafe(F.col("page_id")) & F.col("first").isNotNull()

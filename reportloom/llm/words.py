@@ -32,8 +32,11 @@ def space_words(text: str) -> list[str]:
         return []
     if SPACE_AFTER_SPACE.search(text):
         return WORD_START.split(text)
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + word for word in rest]
+    if "\0" in text:
+        first, *rest = text.split(" ")
+        return ([first] if first else []) + [" " + word for word in rest]
+    words = text.replace(" ", "\0 ").split("\0")  # keeps the spaces without a step per word
+    return words if words[0] else words[1:]
 
 
 class WordStore:

@@ -246,15 +246,12 @@ def test_mix_of_no_rows_and_plan_without_python(spark):
 
 
 def nearest_twin(rows, k, every):
-    good = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            good[i] = min(good.get(i, v), v)
+    good = [(n, i, v) for n, (i, v) in enumerate(rows) if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
     out = []
-    for q, v in good.items():
+    for n, q, v in good:
         if q % every == 0:
-            near = sorted((math.dist(v, w), i) for i, w in good.items() if i != q and len(w) == len(v))[:k]
-            out += [(q, n, i, d) for n, (d, i) in enumerate(near, 1)]
+            near = sorted((math.dist(v, w), i) for m, i, w in good if m != n and len(w) == len(v))[:k]
+            out += [(q, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
     return sorted(out)
 
 

@@ -51,7 +51,6 @@ def test_token_files_read_back(spark):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(BYTES)
-    library.encode_special_tokens = True
     texts = [*ODD, "it's  fine\n then", "<|endoftext|> x", "x" * 3000, "Ünïcode, words; end"]
     rows = frame(spark, texts, first=5, start="clash").repartition(5).unionByName(frame(spark, ["a tie"], first=7, start="x"))
     manifest = token_files.write_shards(rows, BYTES)
