@@ -8,7 +8,8 @@ from itertools import repeat
 
 import numpy as np
 
-SPACE_AFTER_SPACE = re.compile(r"\s ")
+WHITE_ASCII = [c + " " for c in map(chr, range(128)) if c.isspace()]
+WHITE_OTHER = [c + " " for c in map(chr, range(128, 0x3001)) if c.isspace()]
 WORD_START = re.compile(r"(?<=\S)(?= )")
 KEPT_WORDS = 800_000
 KEPT_IDS = 8_000_000
@@ -30,7 +31,7 @@ def space_words(text: str) -> list[str]:
     """
     if not text:
         return []
-    if SPACE_AFTER_SPACE.search(text):
+    if any(pair in text for pair in WHITE_ASCII) or (not text.isascii() and any(pair in text for pair in WHITE_OTHER)):
         return WORD_START.split(text)
     if "\0" in text:
         first, *rest = text.split(" ")
