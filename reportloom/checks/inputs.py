@@ -23,8 +23,12 @@ def strip_sql(expr: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as its files are laid out."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A whole given table, dealt out row by row.
+
+    The small tables have one row group each, which one task would read; large ones have many. No
+    keys are used, so no shuffle by key that an operator needs is spared.
+    """
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism)
 
 
 # --- hex fragments ------------------------------------------------------------------
@@ -116,6 +120,8 @@ def redact_sql(expr: str) -> str:
 
 # --- reports with names -------------------------------------------------------------
 def named_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Reports on customers; every fourth one is on a guest, whom no dictionary knows."""
+    person = F.when(F.col("c_custkey") % 4 == 1, F.concat(F.lit("Gast#"), "c_custkey")).otherwise(F.col("c_name"))
     nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (
         table(spark, d, "customer")
@@ -123,8 +129,8 @@ def named_reports(spark: SparkSession, d: str) -> DataFrame:
         .select(
             F.col("c_custkey").alias("report_key"),
             F.concat(
-                F.lit("Befund: "), "c_name", F.lit(" aus "), "n_name",
-                F.lit(" wurde am 12.03.1998 aufgenommen;  Kontakt "), "c_name",
+                F.lit("Befund: "), person, F.lit(" aus "), "n_name",
+                F.lit(" wurde am 12.03.1998 aufgenommen;  Kontakt "), person,
                 F.lit(".\nSegment "), "c_mktsegment", F.lit("."),
             ).alias("text"),
         )
@@ -132,15 +138,16 @@ def named_reports(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMED_REPORTS = """
-  SELECT c_custkey AS report_key, c_name, n_name, c_mktsegment,
-    'Befund: ' || c_name || ' aus ' || n_name || ' wurde am 12.03.1998 aufgenommen;  Kontakt '
-      || c_name || '.' || chr(10) || 'Segment ' || c_mktsegment || '.' AS text
-  FROM customer JOIN nation ON n_nationkey = c_nationkey"""
+  SELECT c_custkey AS report_key, c_name, n_name, c_mktsegment, person, c_custkey % 4 <> 1 AS known,
+    'Befund: ' || person || ' aus ' || n_name || ' wurde am 12.03.1998 aufgenommen;  Kontakt '
+      || person || '.' || chr(10) || 'Segment ' || c_mktsegment || '.' AS text
+  FROM (SELECT *, CASE WHEN c_custkey % 4 = 1 THEN 'Gast#' || c_custkey ELSE c_name END AS person FROM customer)
+  JOIN nation ON n_nationkey = c_nationkey"""
 
 
 def gazetteer(spark: SparkSession, d: str) -> DataFrame:
-    """Names of building customers as persons, of all nations as places."""
-    people = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    """Names of all customers as persons, of all nations as places."""
+    people = table(spark, d, "customer")
     return people.select(F.col("c_name").alias("name"), F.lit("B-PER").alias("label")).unionByName(
         table(spark, d, "nation").select(F.col("n_name").alias("name"), F.lit("LOC").alias("label"))
     )

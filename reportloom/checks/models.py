@@ -5,14 +5,18 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from ..functions.fixed import HOSTED_CHUNK_CHARS, LOCAL_CHUNK_CHARS
 from ..operators.hashing import hashing_values, hashing_vectors
-from ..operators.infer import attach_translations, distinct_chunks, embed
+from ..operators.infer import attach_translations, distinct_chunks, embed, translate_with
+from ..operators.ledger import answers, open_ledger, place
 from ..operators.translate import glossary_translations, translation_budget
 from ..plans.translate import client_translator, glossary_translator, report_chunks, translate
+from ..session import materialize, scratch_path
 from .decode import EXPLODE, _variant_sql
 from .inputs import repeated_keys, strip_sql, table
 from .topics import _DOCS, documents
@@ -101,7 +105,54 @@ def _dense(digits: int) -> str:
   LEFT JOIN ({HASHED}) USING (doc_id, dim)"""
 
 
+LEDGER_BATCH = 16
+
+
+def ledger_client(calls: str, broken: bool):
+    """A paid client that notes the chunks it is asked for; a ``broken`` one fails at some chunk, before it is paid."""
+
+    def factory():
+        def client(texts):
+            marks = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+            if broken and any(m[0] == "8" for m in marks):
+                raise RuntimeError("the service is away")
+            system, base = place(calls)
+            with system.open_output_stream(f"{base}/{uuid.uuid4().hex}.txt") as out:
+                out.write("".join(m + "\n" for m in marks).encode())
+            return ["en " + t for t in texts]
+
+        return client
+
+    return factory
+
+
+def ledger_run(spark, d):
+    """A job whose client fails half-way, and a second one with the same ledger; how often each chunk was paid for."""
+    distinct = materialize(distinct_chunks(chunks(spark, d)), "chunks")
+    ledger, calls = scratch_path(spark, "ledger"), scratch_path(spark, "calls")
+    open_ledger(calls)
+    try:
+        translate_with(distinct, ledger_client(calls, broken=True), LEDGER_BATCH, callers=1, paid=True, ledger=ledger)
+    except PythonException:
+        pass  # the service was away; batches before that are kept
+    first = materialize(answers(spark, ledger).select("chunk_id", F.lit(True).alias("kept")), "first-answers")
+    done = translate_with(distinct, ledger_client(calls, broken=False), LEDGER_BATCH, callers=4, paid=True, ledger=ledger)
+    paid = spark.read.text(calls).groupBy(F.unhex("value").alias("chunk_id")).agg(F.count("*").alias("n_calls"))
+    rows = done.join(paid, "chunk_id").join(first, "chunk_id", "left")
+    return rows.select(
+        F.lower(F.hex("chunk_id")).alias("chunk_id"), F.md5("translated").alias("translated"), "n_calls", F.coalesce("kept", F.lit(False)).alias("first_run")
+    )
+
+
+LEDGER = f"""
+  WITH c AS (SELECT DISTINCT chunk, sha256(chunk) AS chunk_id FROM ({CHUNKS})),
+  b AS (SELECT *, (row_number() OVER (ORDER BY chunk_id) - 1) // {LEDGER_BATCH} AS batch FROM c)
+  SELECT chunk_id, md5('en ' || chunk) AS translated, 1::BIGINT AS n_calls,
+    batch < (SELECT coalesce(min(batch), 1 << 40) FROM b WHERE chunk_id[1] = '8') AS first_run
+  FROM b"""
+
 QUERIES = {
+    "translate_ledger": (ledger_run, LEDGER),
     "embed_texts": (embedded, _dense(4)),
     "embed_hashing": (
         lambda s, d: hashing_values(documents(s, d), "doc_id", "text", DIMS).select(

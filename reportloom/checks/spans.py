@@ -50,14 +50,14 @@ def customer_tagger():
 
 
 # Length of the text before the second mention of the name.
-_SECOND = "length('Befund: ' || c_name || ' aus ' || n_name || ' wurde am 12.03.1998 aufgenommen;  Kontakt ')"
+_SECOND = "length('Befund: ' || person || ' aus ' || n_name || ' wurde am 12.03.1998 aufgenommen;  Kontakt ')"
 
 SPANS = f"""
   SELECT report_key, 0 AS chunk_no, 8 AS start, 8 + length(c_name) AS "end", 'B-PER' AS label
-  FROM ({NAMED_REPORTS}) WHERE c_mktsegment = 'BUILDING'
+  FROM ({NAMED_REPORTS}) WHERE known
   UNION ALL SELECT report_key, 0, {_SECOND}, {_SECOND} + length(c_name), 'B-PER'
-  FROM ({NAMED_REPORTS}) WHERE c_mktsegment = 'BUILDING'
-  UNION ALL SELECT report_key, 0, 13 + length(c_name), 13 + length(c_name) + length(n_name), 'LOC'
+  FROM ({NAMED_REPORTS}) WHERE known
+  UNION ALL SELECT report_key, 0, 13 + length(person), 13 + length(person) + length(n_name), 'LOC'
   FROM ({NAMED_REPORTS})"""
 
 _SPAN_COLUMNS = 'report_key, chunk_no::INTEGER AS chunk_no, start::INTEGER AS start, "end"::INTEGER AS "end", label'
@@ -89,7 +89,7 @@ QUERIES = {
     ),
     "redact_spans": (
         redacted,
-        f"""SELECT report_key, CASE WHEN c_mktsegment = 'BUILDING'
+        f"""SELECT report_key, CASE WHEN known
               THEN replace(text, c_name, '[NAME_REDACTED]') ELSE text END AS text FROM ({NAMED_REPORTS})""",
     ),
     "anonymize_names": (
@@ -104,7 +104,7 @@ QUERIES = {
     ),
     "anonymize_reports": (
         lambda s, d: anonymize(named_reports(s, d), gazetteer_tagger(gazetteer(s, d))),
-        f"""SELECT report_key, CASE WHEN c_mktsegment = 'BUILDING'
+        f"""SELECT report_key, CASE WHEN known
               THEN replace({_DATES}, c_name, '[NAME_REDACTED]') ELSE {_DATES} END AS text
             FROM ({NAMED_REPORTS})""",
     ),

@@ -8,8 +8,9 @@ from ..functions.fixed import REPRESENTATIVES
 from ..operators import clusters as C
 from ..operators.attach import attach_text, discover_source, text_recovery, wanted_texts
 from ..operators.positions import positions
+from ..operators.lloyd import cluster_sets, starts
 from ..operators.project import project
-from ..plans.cluster import cluster_reports, describe
+from ..plans.cluster import cluster_reports, cluster_sources, describe
 from ..session import materialize
 from ..sources.vectors import finite_vectors, read_vectors
 from .inputs import FIRST_TEXTS, dirty_vectors, labelled_vectors, table, texts
@@ -107,6 +108,58 @@ def described(spark, d):
     )
 
 
+def in_one_set(spark, d):
+    return materialize(labelled_vectors(spark, d).select("idx_global", "embedding", F.lit("all").alias("source_file")), "vectors")
+
+
+def in_three_sets(spark, d):
+    """Vectors of three files and of a fourth one without a finite vector."""
+    vectors = table(spark, d, "embeddings").select(
+        F.col("vec_id").alias("row_index"), "embedding", F.concat(F.lit("set"), (F.col("vec_id") % 3).cast("string")).alias("source_file")
+    )
+    broken = vectors.filter(F.col("row_index") % 3 == 0).select(
+        "row_index", F.transform("embedding", lambda x: F.lit(float("nan")).cast("float")).alias("embedding"), F.lit("set3").alias("source_file")
+    )
+    return vectors.unionByName(broken)
+
+
+def labels_of_sets(spark, d):
+    members, _, failed = cluster_sources(in_three_sets(spark, d), k=SET_CLUSTERS, max_iter=LLOYD_STEPS, tol=-1.0)
+    return members.select("source_file", "idx_global", "cluster").withColumn("failed", F.lit(",".join(sorted(failed))))
+
+
+SET_CLUSTERS, LLOYD_STEPS = 4, 3
+
+
+def kmeans_sql(vectors: str, k: int, steps: int) -> str:
+    """``picks`` and ``means`` of the vectors ``source, idx, e``: the starts, and the centres after each step."""
+    wait = f"-ln((('0x' || md5(idx || ':' || {{0}} || ':42')[1:13])::BIGINT::DOUBLE + 0.5) / {1 << 52}::DOUBLE)"
+    apart = "list_min(list_transform(centers, lambda c: list_distance(e, c)))"
+    return f"""
+  WITH RECURSIVE v AS MATERIALIZED ({vectors}),
+  picks AS (
+    SELECT source, 0 AS step, [arg_min(e, {wait.format(0)})] AS centers FROM v GROUP BY source
+    UNION ALL
+    SELECT source, step + 1, list_append(any_value(centers), arg_min(e, {wait.format('(step + 1)')} / (d * d))) FROM (
+      SELECT p.source, step, centers, idx, e, {apart} AS d FROM picks p JOIN v ON v.source = p.source WHERE step < {k - 1})
+    WHERE d > 0 GROUP BY source, step),
+  means AS (
+    SELECT source, 0 AS step, centers FROM picks WHERE step = {k - 1}
+    UNION ALL
+    SELECT source, step + 1, list(center ORDER BY c) FROM (
+      SELECT source, step, c, list(m ORDER BY dim) AS center FROM (
+        SELECT source, step, c, dim, round(avg(x), 9) AS m FROM (
+          SELECT source, step, c, unnest(range(len(e))) AS dim, unnest(e) AS x FROM (
+            SELECT m.source, step, e, list_position(list_transform(centers, lambda c: list_distance(e, c)), {apart}) - 1 AS c
+            FROM means m JOIN v ON v.source = m.source WHERE step < {steps})) GROUP BY ALL) GROUP BY ALL) GROUP BY ALL),
+  labels AS (SELECT v.source, idx, (list_position(list_transform(centers, lambda c: list_distance(e, c)), {apart}) - 1)::INTEGER AS "cluster"
+    FROM means m JOIN v ON v.source = m.source WHERE step = {steps})"""
+
+
+ONE_SET = "SELECT 'all' AS source, vec_id AS idx, embedding::DOUBLE[] AS e FROM embeddings"
+THREE_SETS = """SELECT 'set' || vec_id % 3 AS source, row_number() OVER (PARTITION BY vec_id % 3 ORDER BY vec_id) - 1 AS idx,
+    embedding::DOUBLE[] AS e FROM embeddings"""
+
 CENTROIDS = """
   SELECT label AS "cluster", dim::INTEGER AS dim, avg(v::DOUBLE) AS value
   FROM (SELECT label, unnest(range(len(embedding))) AS dim, unnest(embedding) AS v FROM embeddings) GROUP BY ALL"""
@@ -241,6 +294,21 @@ QUERIES = {
         ).agg(F.countDistinct("cluster").alias("k"), F.count_if(~F.col("text").eqNullSafe(F.col("own"))).alias("wrong_texts")),
         "SELECT 10::BIGINT AS k, 0::BIGINT AS wrong_texts",
     ),
+    "kmeans_starts": (
+        lambda s, d: exploded(starts(in_one_set(s, d))),
+        f"""{kmeans_sql(ONE_SET, 10, 0)}
+          SELECT "cluster", (unnest(range(len(center))))::INTEGER AS dim, round(unnest(center), 6) AS value FROM (
+            SELECT (unnest(range(len(centers))))::INTEGER AS "cluster", unnest(centers) AS center FROM means)""",
+    ),
+    "kmeans_labels": (
+        lambda s, d: cluster_sets(in_one_set(s, d), max_iter=LLOYD_STEPS, tol=-1.0)[0].select("idx_global", "cluster"),
+        f"""{kmeans_sql(ONE_SET, 10, LLOYD_STEPS)} SELECT idx AS idx_global, "cluster" FROM labels""",
+    ),
+    "cluster_each_source_labels": (
+        labels_of_sets,
+        f"""{kmeans_sql(THREE_SETS, SET_CLUSTERS, LLOYD_STEPS)}
+          SELECT source AS source_file, idx AS idx_global, "cluster", 'set3' AS failed FROM labels""",
+    ),
     "kmeans_fit": (fitted, None),
     "pca_projection": (projected, None),
     "cluster_reports": (clustered, None),

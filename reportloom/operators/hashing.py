@@ -5,65 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scan import let
 from ..functions.text import ngrams
+from .topics import count_terms
 
 
-def _hashed(df: DataFrame, key: str, text: str, dims: int) -> DataFrame:
-    """``(key, norm, parts)``: non-zero component totals of each row and their length."""
-    digest = F.md5("term")
-    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(dims))
-    totals = (
-        df.select(key, F.explode(ngrams(F.col(text))).alias("term"))
-        .select(
-            key,
-            bucket.cast("int").alias("dim"),
-            F.when(F.substring(digest, 9, 1) < "8", 1).otherwise(-1).alias("sign"),
-        )
-        .groupBy(key, "dim")
-        .agg(F.sum("sign").alias("total"))
-        .filter(F.col("total") != 0)
-    )
-    return totals.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("dim", "total"))).alias("parts"),
-        F.sqrt(F.sum(F.col("total") * F.col("total"))).alias("norm"),
-    )
+def totals(text: Column, dims: int) -> Column:
+    """``array<bigint>`` of ``dims`` component totals, made in the row: no n-gram leaves it.
+
+    Each n-gram gives its component's number and its sign as one number; these are sorted and counted.
+    """
+
+    def code(digest: Column) -> Column:
+        bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(dims)).cast("int")
+        return bucket * 2 + F.when(F.substring(digest, 9, 1) < "8", 0).otherwise(1)
+
+    def dense(runs: Column) -> Column:
+        found = lambda known, at: F.coalesce(F.element_at(known, at), F.lit(0).cast("long"))
+        every = F.sequence(F.lit(0), F.lit(dims - 1))
+        return let(F.map_from_entries(runs), lambda known: F.transform(every, lambda d: found(known, d * 2) - found(known, d * 2 + 1)))
+
+    codes = F.transform(ngrams(text), lambda term: let(F.md5(term), code))
+    return dense(let(codes, lambda found: count_terms(found, "int")))
+
+
+def length(parts: Column) -> Column:
+    return F.sqrt(F.aggregate(parts, F.lit(0).cast("long"), lambda total, x: total + x * x))
 
 
 def hashing_values(df: DataFrame, key: str, text: str, dims: int) -> DataFrame:
     """``(key, dim, value)`` for non-zero components of the unit-length hashed n-grams.
 
-    A term's component is given by the first eight hex digits of its MD5, its sign by
-    the ninth. ``key`` must identify a row.
+    A term's component is given by the first eight hex digits of its MD5, its sign by the ninth.
     """
-    return (
-        _hashed(df, key, text, dims)
-        .select(key, "norm", F.inline("parts"))
-        .select(key, "dim", (F.col("total") / F.col("norm")).alias("value"))
-    )
+
+    def values(parts: Column) -> Column:
+        numbered = F.transform(parts, lambda x, i: F.struct(i.alias("dim"), x.alias("total")))
+        present = F.filter(numbered, lambda p: p["total"] != 0)
+        return let(length(parts), lambda norm: F.transform(present, lambda p: F.struct(p["dim"].alias("dim"), (p["total"] / norm).alias("value"))))
+
+    return df.select(key, F.inline(let(totals(F.col(text), dims), values)))
 
 
 def hashing_vectors(df: DataFrame, key: str, text: str, dims: int) -> DataFrame:
     """``(key, embedding)`` of every row; a text without terms gets zeros."""
 
-    def zeros(n: Column) -> Column:
-        return F.array_repeat(F.lit(0.0).cast("float"), n)
-
-    parts = F.col("parts")
-    here = F.transform(parts, lambda p: p["dim"])
-    following = F.concat(F.slice(here, F.lit(2), F.size(here)), F.array(F.lit(dims)))
-    runs = F.zip_with(
-        parts,
-        following,
-        lambda p, then: F.concat(
-            F.array((p["total"] / F.col("norm")).cast("float")), zeros(then - p["dim"] - 1)
-        ),
-    )
-    dense = F.concat(zeros(F.get(here, F.lit(0))), F.flatten(runs))
-    return (
-        df.select(key)
-        .join(_hashed(df, key, text, dims), key, "left")
-        .select(
-            key,
-            F.when(parts.isNull(), zeros(F.lit(dims))).otherwise(dense).alias("embedding"),
-        )
-    )
+    def unit(parts: Column) -> Column:
+        value = lambda x, norm: F.when(norm > 0, x / norm).otherwise(0.0).cast("float")
+        return let(length(parts), lambda norm: F.transform(parts, lambda x: value(x, norm)))
+
+    return df.select(key, let(totals(F.col(text), dims), unit).alias("embedding"))

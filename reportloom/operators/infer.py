@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import EMBED_BATCH, TAG_BATCH, TRANSLATE_BATCH
-from ..session import materialize
+from ..session import scratch_path
+from .ledger import answers, call_missing
 from .skew import HOT_ROWS, join_to_unique
 
 Model = Callable[[list[str]], list]
@@ -108,15 +109,20 @@ def translate_with(
     batch_size: int = TRANSLATE_BATCH,
     callers: int | None = None,
     paid: bool = False,
+    ledger: str | None = None,
 ) -> DataFrame:
     """``(chunk_id, translated)`` of distinct chunks from a model or client.
 
-    ``callers`` bounds how many tasks call at the same time. With ``paid`` the chunks
-    are written to the scratch folder before the call and the answers after it, so that
-    neither a retried stage nor a second use of the result calls again.
+    ``callers`` bounds how many tasks call at the same time. With ``paid`` each batch of answers is
+    committed to the folder ``ledger`` before the next one is asked for: a task that is run again
+    finds them there, and a job that is started again with the same ledger asks only for chunks that it
+    lacks. Without a name the ledger is a new folder in the scratch folder.
     """
     if paid:
-        chunks = materialize(chunks, "chunks")
+        spark = chunks.sparkSession
+        path = ledger or scratch_path(spark, "ledger")
+        call_missing(chunks, factory, path, batch_size, callers)
+        return answers(spark, path).join(chunks.select("chunk_id"), "chunk_id", "left_semi")
     if callers:
         chunks = chunks.repartition(callers)
     schema = T.StructType(
@@ -126,11 +132,9 @@ def translate_with(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
         for batch in _batches(frames, batch_size):
-            answers = model(batch["chunk"].tolist())
-            yield pd.DataFrame({"chunk_id": batch["chunk_id"].array, "translated": answers})
+            yield pd.DataFrame({"chunk_id": batch["chunk_id"].array, "translated": model(batch["chunk"].tolist())})
 
-    answers = chunks.select("chunk_id", "chunk").mapInPandas(run, schema)
-    return materialize(answers, "translations") if paid else answers
+    return chunks.select("chunk_id", "chunk").mapInPandas(run, schema)
 
 
 def attach_translations(

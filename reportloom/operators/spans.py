@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.fixed import WORD_CLASS
 from ..functions.redact import is_person_label, redact_spans
 from ..functions.scan import fold_emit, let
+from ..session import materialize
+from .membership import WordSet
 from .skew import HOT_ROWS, join_to_unique
 
 
@@ -43,25 +45,15 @@ def dictionary_key(name: Column) -> Column:
     return F.array_join(F.regexp_extract_all(F.lower(name), F.lit(WORD_CLASS + "+"), F.lit(0)), " ")
 
 
-def name_candidates(text: Column, max_words: int) -> Column:
-    """All runs of one to ``max_words`` words as ``struct<start,end,name>``."""
+def name_starts(text: Column, first_words: WordSet, longest: int) -> Column:
+    """The words that a name may start with, as ``struct<first,start,run>``; ``run`` are the words from there on."""
 
-    def runs(spans: Column) -> Column:
-        def of_length(n: int) -> Column:
-            last = F.size(spans) - n
-            at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-            return F.transform(
-                at,
-                lambda i: F.struct(
-                    F.get(spans, i)["start"].alias("start"),
-                    F.get(spans, i + (n - 1))["end"].alias("end"),
-                    F.concat_ws(" ", *[F.get(spans, i + j)["token"] for j in range(n)]).alias("name"),
-                ),
-            )
+    def starts(spans: Column) -> Column:
+        numbered = F.transform(spans, lambda s, i: F.struct(s["token"].alias("first"), s["start"].alias("start"), i.alias("at")))
+        here = F.filter(numbered, lambda s: first_words.holds(s["first"]))
+        return F.transform(here, lambda s: F.struct(s["first"].alias("first"), s["start"].alias("start"), F.slice(spans, s["at"] + 1, F.lit(longest)).alias("run")))
 
-        return F.concat(*[of_length(n) for n in range(1, max_words + 1)])
-
-    return let(token_spans(text), runs)
+    return let(token_spans(text), starts)
 
 
 def gazetteer_spans(
@@ -73,9 +65,10 @@ def gazetteer_spans(
 ) -> DataFrame:
     """``(ids…, chunk_no, start, end, label)`` of dictionary names ``(name, label)`` in chunks.
 
-    Names of any number of words are found: the longest name of the dictionary decides how
-    long the runs of words are that are looked up. ``max_words`` spares that look at the
-    dictionary where the caller knows the number.
+    Names of any number of words are found. The dictionary's first words, each with the lengths of
+    the names that start with it, are a prefix table: a word of a text becomes a row only if it may
+    start a name (tested in the row), and only runs of lengths that such names have are looked up.
+    A long name costs nothing where its first word does not occur. ``max_words`` leaves out longer names.
     """
     entries = (
         gazetteer.select(dictionary_key(F.col("name")).alias("name"), "label")
@@ -83,14 +76,23 @@ def gazetteer_spans(
         .groupBy("name")
         .agg(F.min("label").alias("label"))
     )
-    if max_words is None:
-        max_words = entries.agg(F.max(F.size(F.split("name", " ")))).first()[0] or 1
-    candidates = chunks.select(
-        *ids, "chunk_no", F.inline(name_candidates(F.col("chunk"), max_words))
-    )
-    found = join_to_unique(
-        candidates, entries, "name", "inner", [*ids, "chunk_no", "start"], hot_rows=hot_rows
+    words = F.size(F.split("name", " "))
+    if max_words is not None:
+        entries = entries.filter(words <= max_words)
+    entries = materialize(entries, "names")
+    firsts = entries.select(F.substring_index("name", " ", 1).alias("first"), words.alias("words")).groupBy("first")
+    firsts = materialize(firsts.agg(F.array_sort(F.collect_set("words")).alias("lengths")), "first-words")
+    size = firsts.agg(F.count("*").alias("n"), F.max(F.array_max("lengths")).alias("longest")).first()
+    first_words = WordSet(firsts, "first", size["n"])
+    starts = name_starts(F.col("chunk"), first_words, size["longest"] or 1)
+    spread = [*ids, "chunk_no", "start"]
+    begun = join_to_unique(first_words.beside(chunks).select(*ids, "chunk_no", F.inline(starts)), firsts, "first", "inner", spread, hot_rows=hot_rows)
+    runs = begun.select(*spread, "run", F.explode("lengths").alias("n")).filter(F.col("n") <= F.size("run"))
+    run = F.slice("run", F.lit(1), F.col("n"))
+    candidates = runs.select(
+        *spread, F.element_at("run", F.col("n"))["end"].alias("end"), F.array_join(F.transform(run, lambda s: s["token"]), " ").alias("name")
     )
+    found = join_to_unique(candidates, entries, "name", "inner", spread, hot_rows=hot_rows)
     return found.select(*ids, "chunk_no", "start", "end", "label")
 
 

@@ -10,16 +10,17 @@ from ..functions.fixed import TOPIC_TERMS, VOCABULARY_SIZE
 from ..functions.scan import let
 from ..functions.text import ngrams, pairs_of, words
 from ..session import materialize
+from .membership import WordSet
 
 SCORE_DIGITS = 12
 
 
-def count_terms(terms: Column) -> Column:
+def count_terms(terms: Column, kind: str = "string") -> Column:
     """``array<struct<term,tf>>`` of an array of terms: sorted, runs counted, in the row."""
 
     def runs(sorted_terms: Column) -> Column:
         all_but_last = F.slice(sorted_terms, F.lit(1), F.greatest(F.size(sorted_terms) - 1, F.lit(0)))
-        before = F.concat(F.array(F.lit(None).cast("string")), all_but_last)
+        before = F.concat(F.array(F.lit(None).cast(kind)), all_but_last)
         numbered = F.transform(sorted_terms, lambda t, i: F.struct(t.alias("term"), i.alias("at")))
         marked = F.zip_with(
             numbered,
@@ -47,9 +48,29 @@ def count_terms(terms: Column) -> Column:
     return F.when(F.size(terms) > 0, let(F.sort_array(terms), runs))
 
 
-def document_terms(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame:
-    """``(keep…, term, tf)``: each document's n-grams with their counts, without a shuffle."""
-    return docs.select(*keep, F.inline(let(ngrams(F.col(text)), count_terms)))
+def document_terms(docs: DataFrame, text: str = "text", *keep: str, known: WordSet | None = None) -> DataFrame:
+    """``(keep…, term, tf)``: each document's n-grams with their counts, without a shuffle.
+
+    With ``known`` most n-grams that are not in that set are dropped before they are counted.
+    """
+    terms = ngrams(F.col(text))
+    if known:
+        docs, terms = known.beside(docs), F.filter(terms, known.holds)
+    return docs.select(*keep, F.inline(let(terms, lambda t: count_terms(t))))
+
+
+def frequent_pairs(docs: DataFrame, frequent: DataFrame, text: str = "text") -> DataFrame:
+    """``(term, tf)`` of each document's pairs of two ``frequent`` words, and of few others.
+
+    Words are tested where they stand, before pairs are made: a pair with a rare word is no row.
+    """
+    known = WordSet(frequent, "term", frequent.count())
+
+    def pairs(tokens: Column) -> Column:
+        marked = F.transform(tokens, lambda w: F.when(known.holds(w), w))
+        return F.filter(pairs_of(marked), lambda p: p.isNotNull())
+
+    return known.beside(docs).select(F.inline(let(let(words(F.col(text)), pairs), lambda t: count_terms(t))))
 
 
 def term_stats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -68,30 +89,22 @@ def vocabulary(
 ) -> DataFrame:
     """``(term, tf, df)`` of the most frequent n-grams, ties by term.
 
-    Single words are counted first and kept as a table. The ``size`` most
-    frequent of them bound what it takes to be in the vocabulary, and a pair is no more
-    frequent than either of its words, so pairs are counted only where both words reach
-    that bound. The result is the same; the many pairs with a rare word never reach a
-    shuffle.
+    A threshold in three phases. Single words are counted first and kept as a table; the
+    ``size`` most frequent of them bound what it takes to be in the vocabulary. A pair is no more frequent
+    than either of its words, so pairs are made only of words that reach the bound, which
+    travel as one value of bits. The pairs that remain are counted exactly, those below the
+    bound fall out, and ties at the bound are all there for the final order.
     """
     total = [F.sum("tf").alias("tf"), F.count("*").alias("df")]
     single = materialize(
-        docs.select(F.inline(let(words(F.col(text)), count_terms))).groupBy("term").agg(*total),
+        docs.select(F.inline(let(words(F.col(text)), lambda t: count_terms(t)))).groupBy("term").agg(*total),
         "words",
     )
     top = single.orderBy(F.desc("tf"), "term").limit(size)
     bound = top.agg(F.count("*").alias("n"), F.min("tf").alias("tf")).first()
-    frequent = single.filter(F.col("tf") >= (bound["tf"] if bound["n"] == size else 1))
-    known = frequent.select("term")
-    pairs = (
-        docs.select(F.inline(let(pairs_of(words(F.col(text))), count_terms)))
-        .withColumn("_first", F.substring_index("term", " ", 1))
-        .withColumn("_second", F.substring_index("term", " ", -1))
-        .join(known.withColumnRenamed("term", "_first"), "_first", "left_semi")
-        .join(known.withColumnRenamed("term", "_second"), "_second", "left_semi")
-        .groupBy("term")
-        .agg(*total)
-    )
+    reaches = F.col("tf") >= (bound["tf"] if bound["n"] == size else 1)
+    frequent = single.filter(reaches)
+    pairs = frequent_pairs(docs, frequent, text).groupBy("term").agg(*total).filter(reaches)
     return frequent.unionByName(pairs).orderBy(F.desc("tf"), "term").limit(size)
 
 
@@ -112,8 +125,9 @@ def tfidf_weights(
     n_docs = docs.agg(F.count("*").alias("n")).scalar()
     idf = F.log((F.lit(1) + F.col("_n")) / (F.lit(1) + F.col("df"))) + 1
     idfs = vocabulary(docs, text, size).withColumn("_n", n_docs).select("term", idf.alias("idf"))
+    idfs = materialize(idfs, "vocabulary")
     raw = (
-        document_terms(docs, text, doc, *keep)
+        document_terms(docs, text, doc, *keep, known=WordSet(idfs, "term", size))
         .join(F.broadcast(idfs), "term")
         .select(doc, *keep, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     )

@@ -11,6 +11,7 @@ from ..functions.fixed import CLUSTERS, RANDOM_STATE, REPRESENTATIVES, TOPIC_TER
 from ..operators import clusters as C
 from ..operators import topics as T
 from ..operators.attach import attach_text, wanted_texts
+from ..operators.lloyd import cluster_sets
 from ..operators.positions import positions
 from ..operators.project import project
 from ..session import materialize
@@ -104,18 +105,55 @@ def cluster_reports(
 
 
 def cluster_each_source(
-    vectors: DataFrame, texts: DataFrame | None, text_order: list[str], **options
+    vectors: DataFrame,
+    texts: DataFrame | None,
+    text_order: list[str],
+    position: str = "row_index",
+    k: int = CLUSTERS,
+    reps: int = REPRESENTATIVES,
+    top_n: int = TOPIC_TERMS,
+    random_state: int = RANDOM_STATE,
+    with_projection: bool = True,
 ) -> dict[str, Clustering | Exception]:
     """One clustering per source file; a source that fails is reported, the rest go on.
 
-    Every fit runs on the whole cluster, so the size of a source does not matter; the
-    driver only steps through the names of the files.
+    All sources are clustered in the same passes; what is asked of a source afterwards (topics, texts)
+    is a job of its own. A source without a finite vector fails.
     """
+    members, _, failed = cluster_sources(vectors, position, k, random_state)
     results: dict[str, Clustering | Exception] = {}
     for (source,) in vectors.select("source_file").distinct().orderBy("source_file").toLocalIterator():
-        own = vectors.filter(F.col("source_file") == source)
+        if source in failed:
+            results[source] = ValueError(f"no vectors to cluster in {source}")
+            continue
+        own = members.filter(F.col("source_file").eqNullSafe(F.lit(source)))
         try:
-            results[source] = cluster_reports(own, texts, text_order, **options)
+            result = describe(own, texts, text_order, k, reps, top_n)
+            if with_projection:
+                projected, share = project(own)
+                result.projection = projected.join(F.broadcast(result.labels), "cluster").select("report_key", "x", "y", "cluster", "label")
+                result.explained_variance = share
+            results[source] = result
         except Exception as error:
             results[source] = error
     return results
+
+
+def cluster_sources(
+    vectors: DataFrame,
+    position: str = "row_index",
+    k: int = CLUSTERS,
+    random_state: int = RANDOM_STATE,
+    max_iter: int = 300,
+    tol: float = 1e-4,
+) -> tuple[DataFrame, DataFrame, set[str]]:
+    """``(members, centers, failed)`` of all sources at once: the number of jobs does not grow with the sources.
+
+    Rows are numbered within their source. ``failed`` are the sources that have rows but no finite vector.
+    """
+    finite = finite_vectors(vectors)
+    indexed = materialize(positions(finite, "source_file", position, "idx_global", within_source=True), "vectors")
+    members, centers = cluster_sets(indexed, k, random_state, max_iter, tol)
+    sources = vectors.select("source_file").distinct()
+    failed = sources.join(indexed.select("source_file").distinct(), "source_file", "left_anti")
+    return materialize(members, "members"), centers, {r["source_file"] for r in failed.collect()}

@@ -40,14 +40,19 @@ def client_translator(
     formality: str = "default",
     batch_size: int = TRANSLATE_BATCH,
     callers: int | None = None,
+    ledger: str | None = None,
 ) -> Translator:
-    """A paid service; ``client(source_lang, target_lang, formality)`` runs on the executors."""
+    """A paid service; ``client(source_lang, target_lang, formality)`` runs on the executors.
+
+    ``ledger`` names a shared folder that keeps the answers, so that a job which is started again goes on
+    where it stopped.
+    """
     wanted = None if formality == "default" else formality
 
     def factory():
         return client(source_lang=source_lang, target_lang=target_lang, formality=wanted)
 
-    return lambda chunks: translate_with(chunks, factory, batch_size, callers, paid=True)
+    return lambda chunks: translate_with(chunks, factory, batch_size, callers, paid=True, ledger=ledger)
 
 
 def report_chunks(
