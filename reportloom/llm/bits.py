@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-BITS_A_KEY = 16
+BITS_A_KEY = 32
 LEAST_BITS, MOST_BITS = 20, 29  # powers of two: the table that each executor gets has 64 MB at most
 BUCKET_BITS = 15
 

@@ -23,10 +23,11 @@ from .bits import BitTable, or_bits
 #: Shorter lines are duplicates only when they are equal.
 BY_LENGTH = ((24, 2), (36, 3), (48, 4), (60, 5), (72, 6))
 KEY_CHARS = 32
-STEPS = 64  # characters after which a comparison may end early
+ROUNDS = 2  # in which each line is compared with its most alike earlier line, before all that is left
+STEPS = 16  # characters after which a comparison may end early
 LONGEST_BITS = 30
 INDEX, PROBE = 1, 2
-LETTERS = "etaoinsrhldcumfpgwybvk"  # an edit changes the counts of two of them by one, at most
+LETTERS = "etaoinsrhldcumfpgwybvk "  # counted, and all others together
 
 
 def segments(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
@@ -41,7 +42,7 @@ def segments(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFram
     return rows.select(F.xxhash64("i", "chars", cut("wide", start, size)).alias("key"), "line_key", "chars")
 
 
-def probes(docs: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+def probes(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
     """``key, line_key, chars``: the substrings by which a line can meet the segments of a line that is as long or
     shorter, but for its own segments.
 
@@ -64,20 +65,16 @@ def probes(docs: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
             moves.append(f"WHEN parts = {threshold + 1} AND i = {i} THEN array({places})")
     nothing = F.array().cast("array<struct<i:int,parts:int,least:int,below:int>>")
 
-    def of_class(line: Column) -> Column:
-        return F.concat(*[
-            F.when((line["chars"] >= least) & (line["chars"] - threshold < below), numbers).otherwise(nothing)
-            for least, threshold, below, numbers in kinds
-        ])
+    chars = F.col("chars")
+    of_class = F.concat(*[F.when((chars >= least) & (chars - threshold < below), numbers).otherwise(nothing) for least, threshold, below, numbers in kinds])
 
-    def piece(line: Column, s: Column) -> Column:
-        start, size = place_of(s["i"], line["chars"], s["parts"])
+    def piece(s: Column) -> Column:
+        start, size = place_of(s["i"], chars, s["parts"])
         left = F.greatest(start - 2 * most, F.lit(0))
-        around = F.substring(line["wide"], left * 4 + 1, (F.least(size, F.lit(KEY_CHARS)) + 3 * most) * 4)
-        return F.struct(line["line_key"].alias("line_key"), line["chars"].alias("chars"), *[s[c].alias(c) for c in ("i", "parts", "least", "below")], left.alias("left"), around.alias("around"))
+        around = F.substring(F.col("wide"), left * 4 + 1, (F.least(size, F.lit(KEY_CHARS)) + 3 * most) * 4)
+        return F.struct(*[s[c].alias(c) for c in ("i", "parts", "least", "below")], left.alias("left"), around.alias("around"))
 
-    pieces = F.transform(described(classes[0][0], wide=True), lambda line: F.transform(of_class(line), lambda s: piece(line, s)))
-    rows = docs.select(F.inline(F.flatten(pieces)))
+    rows = lines.select("line_key", "chars", F.inline(F.transform(of_class, piece)))
     rows = rows.select("*", F.explode(F.expr(f"CASE {' '.join(moves)} END")).alias("p"))
     of = F.col("chars") - F.col("p.fewer")
     start, size = place_of(F.col("i"), of, F.col("parts"))
@@ -105,17 +102,30 @@ def threshold_of(length: Column, classes: tuple[tuple[int, int], ...]) -> Column
     return out
 
 
-def letter_counts(line: Column) -> list[Column]:
-    """How often each of ``LETTERS`` occurs, 255 at most, eight counts to a number."""
-    count = lambda x: F.least(F.char_length(line) - F.char_length(F.replace(line, F.lit(x), F.lit(""))), F.lit(255)).cast("long")
-    parts = [LETTERS[i : i + 8] for i in range(0, len(LETTERS), 8)]
-    return [reduce(or_bits, [F.shiftleft(count(x), 8 * k) for k, x in enumerate(part)]) for part in parts]
+def letter_counts(line: Column, chars: Column) -> Column:
+    """How often each of ``LETTERS`` and any other character occurs, 255 at most: the counts, eight to a number, and their sum."""
+    found = F.array(*[F.char_length(line) - F.char_length(F.replace(line, F.lit(x), F.lit(""))) for x in LETTERS])
+
+    def packed(counts: Column) -> Column:
+        capped = F.transform(counts, lambda n: F.least(n, F.lit(255)).cast("long"))
+        return let(capped, lambda all_: F.struct(
+            *[reduce(or_bits, [F.shiftleft(all_[i], 8 * (i % 8)) for i in range(k, k + 8)]).alias(f"n{k // 8}") for k in range(0, len(LETTERS) + 1, 8)],
+            F.aggregate(all_, F.lit(0).cast("long"), lambda total, n: total + n).alias("total"),
+        ))
+
+    others = lambda counts: chars - F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+    return let(let(found, lambda counts: F.concat(counts, F.array(others(counts)))), packed)
 
 
 def counts_apart(a: str, b: str) -> Column:
-    """Sum of the differences of the letters' counts of two rows."""
+    """Twice a lower bound of the edit distance of two rows' lines.
+
+    An edit adds one to the characters of ``b`` that ``a`` lacks, to those of ``a`` that ``b`` lacks, or to
+    both; the larger of the two is half of their sum and of their difference.
+    """
     byte = lambda side, i: F.shiftright(F.col(f"{side}.n{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255).cast("long"))
-    return reduce(add, [F.abs(byte(a, i) - byte(b, i)) for i in range(len(LETTERS))])
+    apart = reduce(add, [F.abs(byte(a, i) - byte(b, i)) for i in range(len(LETTERS) + 1)])
+    return apart + F.abs(F.col(f"{a}.total") - F.col(f"{b}.total"))
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
@@ -198,34 +208,48 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def described(least: int, wide: bool = False) -> Column:
-    """The lines of a text with ``least`` characters or more as ``struct<line,chars,line_key>``, on request with the line as UTF-32.
+    """The lines of a text with ``least`` characters or more as ``struct<line,chars,line_no,line_key>``, on request with the line as UTF-32.
 
     All of it is made in the array of lines: Spark would otherwise make it again for each row that a line gives.
     """
-    lines = F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda x: F.struct(x.alias("line"), F.char_length(x).alias("chars")))
+    lines = F.transform(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n"), lambda x, i: F.struct(x.alias("line"), F.char_length(x).alias("chars"), i.alias("line_no")))
     more = lambda x: [F.encode(x["line"], "UTF-32").alias("wide")] if wide else []
     return F.transform(
         F.filter(lines, lambda x: x["chars"] >= least),
-        lambda x: F.struct(x["line"].alias("line"), x["chars"].alias("chars"), F.unhex(F.md5(x["line"])).alias("line_key"), *more(x)),
+        lambda x: F.struct(x["line"].alias("line"), x["chars"].alias("chars"), x["line_no"].alias("line_no"), F.unhex(F.md5(x["line"])).alias("line_key"), *more(x)),
     )
 
 
-def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
+def first_lines(docs: DataFrame) -> DataFrame:
+    """``line_key, first, n``: per different line where it occurs first (``doc_id, line_no``) and how often."""
+    rows = occurrences(docs).select(F.unhex(F.md5("line")).alias("line_key"), F.struct("doc_id", "line_no").alias("place"))
+    return materialize(rows.groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n")), "first-lines")
+
+
+def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH, firsts: DataFrame | None = None) -> DataFrame:
     """``line_key`` (MD5) of the lines that have an earlier line within the threshold of the shorter one.
 
     ``classes`` are pairs of a length and the threshold that holds from it on, both ascending; shorter
     lines are left out. Lines are ordered by the smallest doc_id they occur in (null first), then
-    by their bytes.
+    by their bytes. ``firsts`` is what ``first_lines`` gives for the same documents.
 
     A line has a few segments and many probes; probes are tested against a table of bits of the
     segments' keys before they are shuffled, and only lines that share a key with another one
     are brought together, first by their keys alone, then with the letters they have.
     """
     least = classes[0][0]
-    own = docs.select(F.col("doc_id").cast("long"), F.inline(described(least)))
-    index = segments(docs.select(F.inline(described(least, wide=True))), classes)
+    firsts = first_lines(docs) if firsts is None else firsts
+    # of equal lines only the first is cut; a bit table of the first places, so that no text is shuffled
+    places = firsts.select(F.xxhash64("line_key", "first.doc_id", "first.line_no").alias("key"))
+    places = BitTable(places, firsts.count())
+    once_each = lambda wide: places.holds(
+        docs.select(F.col("doc_id").cast("long"), F.inline(described(least, wide))), F.xxhash64("line_key", "doc_id", "line_no")
+    )
+    own = once_each(False).drop("line_no")
+    cut_lines = once_each(True).select("line_key", "chars", "wide")
+    index = segments(cut_lines, classes)
     count = own.agg(F.sum(threshold_of(F.col("chars"), classes) + 1)).first()[0] or 1
-    met = materialize(BitTable(index, count).holds(probes(docs, classes)), "probes")
+    met = materialize(BitTable(index, count).holds(probes(cut_lines, classes)), "probes")
     both = index.withColumn("role", F.lit(INDEX)).unionByName(met.withColumn("role", F.lit(PROBE)))
     mark = F.xxhash64("line_key")
     shared = both.groupBy("key").agg(F.min(mark).alias("low"), F.max(mark).alias("high"), F.bit_or("role").alias("roles"))
@@ -235,36 +259,70 @@ def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH
     few = materialize(few, "shared-lines")
     # the texts of these lines only, and how often they have each letter
     wanted = materialize(few.select("line_key").distinct().select(F.xxhash64("line_key").alias("key")), "wanted")
-    lines = BitTable(wanted, wanted.count()).holds(own.drop("chars"), F.xxhash64("line_key"))
-    lines = lines.groupBy("line_key", "line").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("none"))
-    counts = [c.alias(f"n{i}") for i, c in enumerate(letter_counts(F.col("line")))]
-    place = F.struct(F.when(~F.col("none"), F.col("first")).alias("first"), "line")  # a null id is the smallest
-    lines = materialize(lines.select("line_key", place.alias("place"), *counts), "long-lines")
-    few = few.join(lines.drop("place"), "line_key")
+    lines = BitTable(wanted, wanted.count()).holds(own, F.xxhash64("line_key"))
+    lines = lines.groupBy("line_key", "line", "chars").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("none"))
+    first = F.when(~F.col("none"), F.col("first"))  # a null id is the smallest
+    lines = lines.select("line_key", "line", first.alias("first"), letter_counts(F.col("line"), F.col("chars")).alias("counts"))
+    lines = materialize(lines.select("line_key", "line", "first", "counts.*"), "long-lines")
+    few = few.join(lines.drop("line"), "line_key")
     a, b = few.filter(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).alias("a"), few.alias("b")
     # lines of one length meet twice: once is enough
     once = (F.col("a.chars") < F.col("b.chars")) | ((F.col("a.chars") == F.col("b.chars")) & (F.col("a.line_key") < F.col("b.line_key")))
-    near_counts = counts_apart("a", "b") <= 2 * threshold_of(F.col("a.chars"), classes)
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & near_counts)
-    pairs = pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key"), F.col("a.chars").alias("chars"))
-    pairs = materialize(pairs.distinct(), "line-pairs")
+    alike = counts_apart("a", "b") <= 2 * threshold_of(F.col("a.chars"), classes)
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & alike)
+    pairs = pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key"), F.col("a.chars").alias("chars")).distinct()
+    # taken after the join: both in its condition would be too long for one compiled method
+    for side in ("a", "b"):
+        pairs = pairs.join(lines.select(F.col("line_key").alias(f"{side}_key"), F.struct(F.struct("first").alias("at"), "n0", "n1", "n2", "total").alias(side)), f"{side}_key")
+    later = F.when(F.col("a.at") > F.col("b.at"), F.col("a_key")).when(F.col("a.at") < F.col("b.at"), F.col("b_key"))
+    pairs = materialize(pairs.select("a_key", "b_key", "chars", later.alias("later"), counts_apart("a", "b").cast("int").alias("apart")), "line-pairs")
+    texts = lines.select("line_key", F.struct("first", "line").alias("place"))
+    return compared(pairs, texts, classes)
+
+
+def compared(pairs: DataFrame, texts: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``line_key`` of the later lines of the ``pairs`` within their threshold.
+
+    One earlier line is enough. So each line is compared with the one whose letters are most alike first, and
+    then only the lines that are left with all others. ``later`` is null where both lines first occur in one
+    document; such pairs are compared at the end.
+    """
+    found = []
+    for turn in range(ROUNDS):
+        order = F.struct("apart", "a_key", "b_key", "chars")
+        best = pairs.filter("later IS NOT NULL").groupBy("later").agg(F.min(order).alias("best"))
+        best = materialize(best, f"best-pairs-{turn}")
+        near = materialize(near_of(best.select("best.*"), texts, classes), f"near-lines-{turn}")
+        found.append(near)
+        # a pair is left if its line is, and if it comes after the one compared
+        done = best.join(near.select(F.col("line_key").alias("later"), F.lit(True).alias("near")), "later", "left")
+        done = done.select(F.col("later").alias("_later"), "best", F.coalesce("near", F.lit(False)).alias("_near"))
+        pairs = pairs.join(done, F.col("later") == F.col("_later"), "left")
+        pairs = pairs.filter(F.col("later").isNull() | (~F.col("_near") & (order > F.col("best"))))
+        pairs = materialize(pairs.drop("_later", "best", "_near"), f"line-pairs-{turn}")
+    found.append(near_of(pairs, texts, classes))
+    return materialize(reduce(DataFrame.unionByName, found).distinct(), "near-lines")
+
+
+def near_of(pairs: DataFrame, texts: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
+    """``line_key`` of the later line of each of the ``pairs`` (``a_key, b_key, chars``) within its threshold."""
     for side in ("a", "b"):
-        pairs = pairs.join(lines.select(F.col("line_key").alias(f"{side}_key"), F.col("place").alias(f"{side}_place")), f"{side}_key")
+        pairs = pairs.join(texts.select(F.col("line_key").alias(f"{side}_key"), F.col("place").alias(f"{side}_place")), f"{side}_key")
     near = F.lit(False)
     for _, threshold in classes:
         own_class = threshold_of(F.col("chars"), classes) == threshold
         near = F.when(own_class, within(F.col("a_place.line"), F.col("b_place.line"), threshold)).otherwise(near)
     later = F.when(F.col("a_place") > F.col("b_place"), F.col("a_key")).otherwise(F.col("b_key"))
-    return materialize(pairs.filter(near).select(later.alias("line_key")).distinct(), "near-lines")
+    return pairs.filter(near).select(later.alias("line_key")).distinct()
 
 
 def dropped_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
     """``doc_id, doc_hash, dropped``: per document with any, the numbers of the lines that go."""
     rows = occurrences(docs).select("doc_id", "doc_hash", "line_no", F.unhex(F.md5("line")).alias("line_key"))
     place = F.struct("doc_id", "line_no")
-    repeated = rows.groupBy("line_key").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    near = near_lines(docs, classes).withColumn("near", F.lit(True))
-    marks = materialize(repeated.drop("n").join(near, "line_key", "full"), "marks")
+    firsts = first_lines(docs)
+    near = near_lines(docs, classes, firsts).withColumn("near", F.lit(True))
+    marks = materialize(firsts.filter("n > 1").drop("n").join(near, "line_key", "full"), "marks")
     gone = rows.join(marks, "line_key").filter(F.col("near").isNotNull() | (place > F.col("first")))
     return gone.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("dropped"))
 
