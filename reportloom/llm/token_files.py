@@ -36,7 +36,7 @@ END = 2
 SEEK_MAGIC = 0x8F92EAB1
 TABLE_FRAME = 0x184D2A5E
 NAMES_FRAME = 0x184D2A50
-FRAMES_PER_READ = 1024
+FRAMES_PER_READ = 8192
 MOST_READERS = 20_000
 PORTION_CHARS = 1_000_000
 MARKS = ".,;:!?"
