@@ -14,8 +14,9 @@ from ..operators.compare import (
     version_index,
     version_pairs,
 )
+from ..operators.difference import ordered_difference
 from ..plans.compare import compare_versions
-from .inputs import VERSIONS, versions
+from .inputs import REORDERED, VERSIONS, reordered, versions
 
 ORDER = ["source_file", "line_no"]
 
@@ -33,6 +34,30 @@ def compared(spark, d):
     return found.index.join(changes, "report_key", "left")
 
 
+def moved(spark, d):
+    """Lines of each pair by what became of them; pairs without a change have no row."""
+    counts = [F.count_if(F.col("change") == c).alias(f"n_{c}") for c in ("moved", "added", "removed")]
+    return ordered_difference(reordered(spark, d)).groupBy("report_key").agg(*counts)
+
+
+# The lines of a text differ, so the kept ones are a longest rising part of their places. ``tails`` has
+# the least last place of a rising part of each length.
+MOVED = f"""
+  WITH a AS (SELECT report_key, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM (
+         SELECT report_key, string_split(text_a, chr(10)) AS parts FROM ({REORDERED}))),
+  b AS (SELECT report_key, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM (
+         SELECT report_key, string_split(text_b, chr(10)) AS parts FROM ({REORDERED}))),
+  both_sides AS (
+    SELECT report_key, count(*) FILTER (a.place IS NOT NULL) AS n_a, count(*) FILTER (b.place IS NOT NULL) AS n_b,
+      list([a.place] ORDER BY b.place) FILTER (a.place IS NOT NULL AND b.place IS NOT NULL) AS places
+    FROM a FULL JOIN b USING (report_key, line) GROUP BY report_key),
+  counted AS (
+    SELECT report_key, n_a, n_b, coalesce(len(places), 0) AS n_both, len(list_reduce(coalesce(places, []),
+        lambda tails, x: list_filter(tails, lambda y: y < x[1]) || x || list_filter(tails, lambda y: y > x[1])[2:],
+        []::BIGINT[])) AS n_kept FROM both_sides)
+  SELECT report_key, (n_both - n_kept)::BIGINT AS n_moved, (n_b - n_both)::BIGINT AS n_added,
+    (n_a - n_both)::BIGINT AS n_removed FROM counted WHERE n_a > n_kept OR n_b > n_kept"""
+
 INDEX = f"""
   SELECT report_key::VARCHAR AS report_key, count(*) AS n, count(DISTINCT coalesce(text, '')) AS n_unique
   FROM ({VERSIONS}) GROUP BY report_key"""
@@ -92,6 +117,7 @@ QUERIES = {
         lambda s, d: line_difference(version_pairs(versions(s, d), ORDER)),
         DIFFERENCE,
     ),
+    "moved_lines": (moved, MOVED),
     "compare_versions": (
         compared,
         f"""SELECT i.*, c.n_added, c.n_removed FROM ({INDEX}) i LEFT JOIN (

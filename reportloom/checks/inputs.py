@@ -212,6 +212,27 @@ VERSIONS = """
   UNION ALL SELECT doc_id, CASE WHEN lang <> 'es' THEN text END, 'd' FROM documents"""
 
 
+def reordered(spark: SparkSession, d: str) -> DataFrame:
+    """Each text with numbered lines, and again with lines out of order and some of them changed."""
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(i.cast("string"), F.lit(": "), x))
+    changed = lambda x, i: F.when(i % 4 == 3, F.concat(x, F.lit("!"))).otherwise(x)
+    places = F.transform(lines, lambda x, i: F.struct((i * 7 % 5).alias("a"), i.alias("b"), changed(x, i).alias("line")))
+    return table(spark, d, "documents").filter("text IS NOT NULL").select(
+        F.col("doc_id").alias("report_key"),
+        F.array_join(lines, "\n").alias("text_a"),
+        F.array_join(F.transform(F.array_sort(places), lambda p: p["line"]), "\n").alias("text_b"),
+    )
+
+
+REORDERED = """
+  SELECT report_key, string_agg(line, chr(10) ORDER BY i) AS text_a,
+    string_agg(CASE WHEN i % 4 = 3 THEN line || '!' ELSE line END, chr(10) ORDER BY i * 7 % 5, i) AS text_b
+  FROM (SELECT report_key, i, i || ': ' || part AS line FROM (
+    SELECT doc_id AS report_key, unnest(string_split(text, chr(10))) AS part,
+      generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents WHERE text IS NOT NULL))
+  GROUP BY report_key"""
+
+
 # --- vectors ------------------------------------------------------------------------
 def dirty_vectors(spark: SparkSession, d: str) -> DataFrame:
     """Vectors with NaN or infinity in the first component of some."""

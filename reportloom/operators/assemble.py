@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +31,10 @@ def assemble(
     ordered by text. ``scope="file"`` keeps a report of two files as two rows,
     ``scope="global"`` joins them.
 
-    Texts are shuffled once. Only reports whose sequence numbers span several blocks of
-    ``seq_block``, found by a look at keys and numbers, meet block by block first: a report
-    with very many fragments is sorted by many tasks, and its last step sees one short list.
-    Empty fragments add nothing and are not collected, so what a task holds of one report
-    never exceeds the text it has to return.
+    Texts are shuffled once, to their report; blocks of ``seq_block`` sequence numbers and then the
+    blocks of a report are put together there, without another shuffle or another look at the
+    fragments. So no single array holds all fragments of a long report. Empty fragments add nothing
+    and are not collected: what a task holds of one report never exceeds the text it has to return.
     """
     if scope not in ("file", "global"):
         raise ValueError(f"scope is 'file' or 'global', not {scope!r}")
@@ -49,16 +45,10 @@ def assemble(
         return fragments.groupBy(*report).agg(_in_order(piece, "text").alias("text"))
     block = F.floor(F.col(seq) / seq_block)
     # A null sequence is a block of its own, the first.
-    long = fragments.groupBy(*report).agg(
-        (F.min(block).eqNullSafe(F.max(block)) & (F.count(block).isin(0, F.count("*")))).alias("_one_block")
-    ).filter(~F.col("_one_block"))
-    long = long.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(report)])
-    same = reduce(and_, [fragments[c].eqNullSafe(long[f"_{i}"]) for i, c in enumerate(report)])
-    short = fragments.join(long, same, "left_anti").groupBy(*report).agg(_in_order(piece, "text").alias("text"))
-    blocks = fragments.join(long, same, "left_semi").groupBy(*report, block.alias("_block"))
+    placed = fragments.repartition(*report)
+    blocks = placed.groupBy(*report, block.alias("_block")).agg(_in_order(piece, "text").alias("_part"))
     part = F.struct(F.col("_block").alias("block"), F.col("_part").alias("part"))
-    joined = blocks.agg(_in_order(piece, "text").alias("_part")).groupBy(*report)
-    return short.unionByName(joined.agg(_in_order(part, "part").alias("text")))
+    return blocks.groupBy(*report).agg(_in_order(part, "part").alias("text"))
 
 
 def load_stats(

@@ -6,36 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import WORD_CLASS
-from .skew import HOT_ROWS, join_to_unique
+from .membership import WordSet
 
 
-def glossary_translations(
-    chunks: DataFrame, glossary: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def glossary_translations(chunks: DataFrame, glossary: DataFrame) -> DataFrame:
     """``(chunk_id, translated)``: words found in ``glossary(word, target)`` replaced.
 
-    Lookup is in lower case; other words and all characters between words stay.
+    Lookup is in lower case; other words and all characters between words stay. Null chunks give no row.
+
+    Only a chunk's different words that the glossary may hold become rows; their targets come back as
+    one map per chunk, and the replacement is made inside the row. A frequent word is a hot key
+    of the lookup, which Spark's skewed join splits.
     """
     word = WORD_CLASS + "+"
+    pieces = F.regexp_extract_all("chunk", F.lit(word), F.lit(0))
+    known = WordSet(glossary, "word", glossary.count())
+    asked = F.filter(F.array_distinct(F.transform(pieces, F.lower)), known.holds)
+    found = known.beside(chunks).select("chunk_id", F.explode(asked).alias("word")).join(glossary.select("word", "target"), "word")
+    targets = found.groupBy("chunk_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "target"))).alias("_targets")
+    )
     # Each word with the characters before it; a last empty word takes the text's end.
     gaps = F.split("chunk", word, -1)
-    words = F.concat(F.regexp_extract_all("chunk", F.lit(word), F.lit(0)), F.array(F.lit("")))
-    pairs = F.zip_with(gaps, words, lambda g, w: F.struct(g.alias("gap"), w.alias("piece")))
-    exploded = chunks.select("chunk_id", F.posexplode(pairs).alias("pos", "pair")).select(
-        "chunk_id", "pos", "pair.gap", "pair.piece", F.lower("pair.piece").alias("word")
+    words = F.concat(pieces, F.array(F.lit("")))
+    changed = F.zip_with(
+        gaps, words, lambda g, w: F.concat(g, F.coalesce(F.element_at("_targets", F.lower(w)), w))
     )
-    looked_up = join_to_unique(
-        exploded,
-        glossary.select("word", "target"),
-        "word",
-        "left",
-        ["chunk_id", "pos"],
-        hot_rows=hot_rows,
-    )
-    piece = F.struct("pos", F.concat("gap", F.coalesce("target", "piece")).alias("text"))
-    ordered = F.array_sort(F.collect_list(piece))
-    return looked_up.groupBy("chunk_id").agg(
-        F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("translated")
+    return (
+        chunks.filter(F.col("chunk").isNotNull())
+        .join(targets, "chunk_id", "left")
+        .select("chunk_id", F.array_join(changed, "").alias("translated"))
     )
 
 

@@ -14,15 +14,20 @@ from ..operators.compare import (
     version_index,
     version_pairs,
 )
+from ..operators.difference import ordered_difference
 
 
 @dataclass
 class Comparison:
-    """The index of keys, the first two versions of each and how their lines differ."""
+    """The index of keys, the first two versions of each and how their lines differ.
+
+    ``lines`` counts, ``changes`` says where lines were removed, added or moved to.
+    """
 
     index: DataFrame
     pairs: DataFrame
     lines: DataFrame
+    changes: DataFrame
 
 
 def compare_versions(
@@ -40,4 +45,4 @@ def compare_versions(
         index = multi_version(version_index(records, key, text), min_unique)
     listed = records.join(index.select(key), key, "left_semi")
     pairs = version_pairs(listed, order, key, text)
-    return Comparison(top_of_index(index, key), pairs, line_difference(pairs, key))
+    return Comparison(top_of_index(index, key), pairs, line_difference(pairs, key), ordered_difference(pairs, key))
