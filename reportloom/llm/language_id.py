@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -38,6 +39,8 @@ NONE_PRIOR = 0.001
 NO_LETTERS = 50.0  # log odds for none of the languages, of a text without letters
 HOST_WEIGHT = 10.0  # documents of a host that weigh as much as its domain's shares
 MIN_POSTERIOR = 0.5
+ONE = 1 << 20  # the weight of a document among its places, in whole numbers
+LOG_STEPS = 1 << 30  # steps of a logarithm in such sums
 
 
 @dataclass
@@ -159,52 +162,65 @@ def domain_of(host: Column) -> Column:
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """``doc_id, host, declared`` from ``page_id, url, html``.
+    """``doc_id, host, declared, weight`` from ``url, html``: the different places where a document's pages are.
 
-    The path of an address ends in the number of the document it shows; of several pages of a
-    document the one with the smallest page_id counts.
+    The path of an address ends in the number of the document it shows. All pages of a document
+    count, with the same share of one (``ONE``); ``declared`` is the language its markup names, or null.
     """
-    number = F.regexp_extract("url", r"^[a-z]+://[^/]+/(?:[a-z]{2}/)?(\d{1,18})(?:[^0-9]|$)", 1)
+    number = F.regexp_extract("url", r"^[a-zA-Z]+://[^/]+/(?:[a-z]{2}/)?(\d{1,18})(?:[^0-9]|$)", 1)
     rows = pages.select(
-        F.when(number != "", number.cast("long")).alias("doc_id"), "page_id",
+        F.when(number != "", number.cast("long")).alias("doc_id"),
         F.nullif(F.lower(F.regexp_extract("url", r"^[a-zA-Z]+://([^/:?#]+)", 1)), F.lit("")).alias("host"),
         F.nullif(F.lower(F.regexp_extract("html", r"<html[^>]*\slang=[\"']?([A-Za-z]{2,3})", 1)), F.lit("")).alias("declared"),
     ).filter("doc_id IS NOT NULL AND host IS NOT NULL")
-    return rows.groupBy("doc_id").agg(F.min_by(F.struct("host", "declared"), "page_id").alias("page")).select(
-        "doc_id", "page.host", "page.declared"
-    )
+    places = rows.groupBy("doc_id", "host", "declared").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(W.partitionBy("doc_id"))
+    return places.select("doc_id", "host", "declared", F.round(F.col("n") / total * ONE).cast("long").alias("weight"))
+
+
+def with_guess(rows: DataFrame) -> DataFrame:
+    """Add ``guess``, the number of the language that the text alone suggests: null if it has none."""
+    guess = F.array_position("text_log", F.array_max("text_log")) - 1
+    return rows.withColumn("guess", F.when((F.col("words") > 0) & (none_of(rows) <= 0), guess))
+
+
+def none_of(rows: DataFrame) -> Column:
+    return F.coalesce("none_log", F.lit(float("-inf"))) if "none_log" in rows.columns else F.lit(float("-inf"))
+
+
+def parts_of(rows: DataFrame) -> DataFrame:
+    """Add the ``domain`` and ``suffix`` of ``host``."""
+    address = F.col("host").contains(".")  # a source that stands for a host is none
+    suffix = F.substring_index("host", ".", -1)
+    return rows.withColumns({"domain": F.when(address, domain_of(F.col("host"))), "suffix": F.when(address, suffix)})
 
 
 def shares(rows: DataFrame, by: str, size: int) -> DataFrame:
-    """Documents of each value of ``by`` per language the text alone suggests: ``by, counts``."""
-    counts = F.array(*[F.sum(F.when(F.col("guess") == k, 1).otherwise(0)).cast("double") for k in range(size)])
+    """Documents of each value of ``by`` per language the text alone suggests: ``by, counts``.
+
+    ``weight`` is in whole numbers, so that no order of adding changes a sum.
+    """
+    counts = F.array(*[F.sum(F.when(F.col("guess") == k, F.col("weight")).otherwise(0)) / ONE for k in range(size)])
     return rows.filter(F.col(by).isNotNull() & F.col("guess").isNotNull()).groupBy(by).agg(counts.alias(f"{by}_counts"))
 
 
-def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
-    """Posterior of each language from ``text_log, host, declared``; adds ``lang_id, posterior``.
+def place_logs(places: DataFrame, evidence: DataFrame, size: int) -> DataFrame:
+    """Add ``place_log`` to ``host, declared``: what markup, suffix and host say for each language.
 
-    ``none_log``, if there and not null, takes its part of the posterior; rows whose text
-    speaks for none of the languages do not count as evidence for others.
+    ``evidence`` has ``host, declared, guess, weight`` of all documents, summed up or not.
     """
-    size = len(languages)
-    address = F.col("host").contains(".")  # a source that stands for a host is none
-    suffix = F.substring_index("host", ".", -1)
-    rows = rows.withColumns({"domain": F.when(address, domain_of(F.col("host"))), "suffix": F.when(address, suffix)})
-    none = F.coalesce("none_log", F.lit(float("-inf"))) if "none_log" in rows.columns else F.lit(float("-inf"))
-    guess = F.when((F.col("words") > 0) & (none <= 0), F.array_position("text_log", F.array_max("text_log")) - 1)
-    rows = rows.withColumn("guess", guess)
-    whole = shares(rows.withColumn("all", F.lit(1)), "all", size).drop("all").withColumnRenamed("all_counts", "total")
-    total = whole.first()  # one row
-    total = np.array(total["total"] if total else [0.0] * size) + SMOOTHING
+    evidence = parts_of(evidence)
+    whole = shares(evidence.withColumn("all", F.lit(1)), "all", size).first()  # one row
+    total = np.array(whole["all_counts"] if whole else [0.0] * size) + SMOOTHING
     base = total / total.sum()
-    constant = lambda values: F.array(*[F.lit(float(v)) for v in values])
-    zeros = constant([0.0] * size)
+    zeros = F.array(*[F.lit(0.0)] * size)
+    kept = places.columns
+    rows = parts_of(places)
     for by in ("declared", "suffix", "domain", "host"):
-        rows = rows.join(shares(rows, by, size), by, "left")
+        rows = rows.join(shares(evidence, by, size), by, "left")
     at = lambda name, k: F.coalesce(F.col(f"{name}_counts"), zeros)[k]
     everything = lambda name: F.aggregate(F.coalesce(F.col(f"{name}_counts"), zeros), F.lit(0.0), lambda a, x: a + x)
-    scores = []
+    logs = []
     for k in range(size):
         # likelihood ratio of a value: its share of the language against the language's share of all
         def ratio(name: str, k=k) -> Column:
@@ -213,8 +229,17 @@ def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
 
         by_domain = (at("domain", k) + F.lit(HOST_WEIGHT * base[k])) / (everything("domain") + HOST_WEIGHT)
         prior = (at("host", k) + HOST_WEIGHT * by_domain) / (everything("host") + HOST_WEIGHT)
-        scores.append(F.col("text_log")[k] + ratio("declared") + ratio("suffix") + F.log(prior))
-    rows = rows.withColumn("score", F.array(*scores))
+        logs.append(ratio("declared") + ratio("suffix") + F.log(prior))
+    return rows.select(*kept, F.array(*logs).alias("place_log"))
+
+
+def decided(rows: DataFrame, languages: list[str]) -> DataFrame:
+    """Posterior of each language from ``text_log, place_log``; adds ``lang_id, posterior``.
+
+    ``none_log``, if there and not null, takes its part of the posterior.
+    """
+    none = none_of(rows)
+    rows = rows.withColumn("score", F.zip_with("text_log", "place_log", lambda x, y: x + y))
     best = F.array_max("score")
     posterior = 1 / F.aggregate(F.transform("score", lambda x: F.exp(x - best)), F.exp(none - best), lambda a, x: a + x)
     return rows.withColumn("posterior", posterior).withColumn(
@@ -222,10 +247,50 @@ def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
     )
 
 
+def fused(rows: DataFrame, languages: list[str]) -> DataFrame:
+    """Language of rows ``words, text_log, host, declared`` that each have one place; adds ``lang_id, posterior``.
+
+    Rows whose text speaks for none of the languages do not count as evidence for others.
+    """
+    rows = with_guess(rows)
+    evidence = rows.select("host", "declared", "guess", F.lit(ONE).alias("weight"))
+    return decided(place_logs(rows, evidence, len(languages)), languages)
+
+
+def fused_with_pages(rows: DataFrame, places: DataFrame, languages: list[str]) -> DataFrame:
+    """The same for rows ``doc_id, source, words, text_log`` and the ``places`` of their pages.
+
+    Documents without a page have their source for a host. Of several places the weighted mean of
+    their logarithms counts. Rows meet one row per id only: counts per id and guess go to the
+    places, and the places come back as one list of numbers per id, so an id of very many
+    rows and pages does not pair them.
+    """
+    size = len(languages)
+    rows = with_guess(rows)
+    placed = places.select("doc_id").distinct()
+    guesses = rows.filter("guess IS NOT NULL").groupBy("doc_id", "source", "guess").agg(F.count("*").alias("n"))
+    by_id = guesses.groupBy("doc_id", "guess").agg(F.sum("n").alias("n"))
+    from_pages = places.join(by_id, "doc_id").select("host", "declared", "guess", (F.col("weight") * F.col("n")).alias("weight"))
+    named = F.lit(None).cast("string").alias("declared")
+    from_sources = guesses.join(placed, "doc_id", "left_anti").select("source", named, "guess", (F.lit(ONE) * F.col("n")).alias("weight"))
+    evidence = from_pages.unionAll(from_sources.withColumnRenamed("source", "host"))
+    evidence = materialize(evidence.groupBy("host", "declared", "guess").agg(F.sum("weight").alias("weight")), "evidence")
+    sources = rows.select(F.col("source").alias("host")).distinct().select("host", named)
+    asked = places.select("host", "declared").unionAll(sources).distinct()
+    logs = materialize(place_logs(asked, evidence, size), "places")
+    same = logs.host.eqNullSafe(places.host) & logs.declared.eqNullSafe(places.declared)
+    # whole numbers again, so that the mean does not depend on the order of its places
+    share = [F.sum(F.col("weight") * F.round(logs.place_log[k] * LOG_STEPS).cast("long")) for k in range(size)]
+    per_id = places.join(logs, same).groupBy("doc_id").agg(F.array(*[x / F.sum("weight") / LOG_STEPS for x in share]).alias("page_log"))
+    own = logs.filter("declared IS NULL").select(F.col("host").alias("_host"), F.col("place_log").alias("source_log"))
+    rows = rows.join(per_id, "doc_id", "left").join(own, F.col("source").eqNullSafe(F.col("_host")), "left")
+    return decided(rows.withColumn("place_log", F.coalesce("page_log", "source_log")).drop("_host", "page_log", "source_log"), languages)
+
+
 def identify(docs: DataFrame, pages: DataFrame | None = None, rows: int = SAMPLE_ROWS, least: float = MIN_POSTERIOR) -> DataFrame:
     """Language of each row of ``doc_id, text, lang, source``: ``doc_id, doc_hash, lang_id, posterior, accepted``.
 
-    A document's host is that of its page, else its source. ``accepted`` is false for texts
+    A document's hosts are those of its pages, else its source. ``accepted`` is false for texts
     without a word, and where no language reaches ``least`` beside "none of these", as in texts
     of unknown languages, of digits or of random letters. ``lang`` serves as the label of the
     sample only. Without any labelled text every row is undetermined (null) and rejected. A
@@ -238,14 +303,12 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, rows: int = SAMPLE
     model = fit(docs, rows)
     if not model.languages:
         return base.select("doc_id", "doc_hash", F.lit(None).cast("string").alias("lang_id"), F.lit(None).cast("double").alias("posterior"), F.lit(False).alias("accepted"))
-    seen = materialize(text_evidence(base, model), "text-evidence")
-    if pages is not None:
-        seen = seen.join(page_evidence(pages), "doc_id", "left")
-    else:
-        seen = seen.withColumns({"host": F.lit(None).cast("string"), "declared": F.lit(None).cast("string")})
     suffix_free = F.concat(F.lit("source "), F.regexp_replace("source", r"\.", " "))  # is no address
-    seen = materialize(seen.withColumn("host", F.coalesce("host", suffix_free)), "evidence")
-    out = fused(seen, model.languages)
+    seen = materialize(text_evidence(base.withColumn("source", suffix_free), model), "text-evidence")
+    if pages is None:
+        out = fused(seen.withColumns({"host": F.col("source"), "declared": F.lit(None).cast("string")}), model.languages)
+    else:
+        out = fused_with_pages(seen, materialize(page_evidence(pages), "page-evidence"), model.languages)
     return out.select("doc_id", "doc_hash", "lang_id", "posterior", ((F.col("words") > 0) & (F.col("posterior") >= least)).alias("accepted"))
 
 

@@ -177,6 +177,53 @@ def test_evidence_is_fused_as_by_hand(spark):
         assert math.isclose(got[r[0]]["posterior"], odds.max() / odds.sum(), rel_tol=1e-9)
 
 
+def test_all_pages_of_a_document_count(spark):
+    """A page's share of its document is the same for all of them, whatever their order or the case of their scheme."""
+    schema = "page_id long, url string, html string"
+    rows = [(1, "HTTPS://A.b.xx/xx/7?q", '<HTML LANG="XX">'.lower()), (2, "http://c.d.yy/7", None), (2, "http://c.d.yy/7", None),
+            (3, "http://c.d.yy/7", None), (None, "http://x.org/8", "<html>"), (4, "http://x.org/none", None), (5, None, None)]
+    got = sorted((r.doc_id, r.host, r.declared, r.weight) for r in language_id.page_evidence(spark.createDataFrame(rows, schema)).collect())
+    one = language_id.ONE
+    assert got == [(7, "a.b.xx", "xx", one // 4), (7, "c.d.yy", None, one * 3 // 4), (8, "x.org", None, one)]
+
+
+def test_pages_are_fused_as_by_hand(spark):
+    """Rows of one id share their places; a row without a page has its source."""
+    texts = [(1, "s", 3, [0.0, -1.0]), (1, "t", 2, [-2.0, 0.0]), (2, "s", 5, [-0.2, 0.0]), (None, None, 1, [0.0, -3.0]), (3, "s", 0, [0.0, 0.0])]
+    places = [(1, "a.b.org", "en", 3), (1, "c.org", None, 1), (2, "a.b.org", None, 4)]
+    one = language_id.ONE
+    docs = spark.createDataFrame(texts, "doc_id long, source string, words int, text_log array<double>")
+    pages_ = spark.createDataFrame([(*p[:3], p[3] * one // 4) for p in places], "doc_id long, host string, declared string, weight long")
+    got = language_id.fused_with_pages(docs, pages_, ["p", "q"]).collect()
+    assert len(got) == len(texts)
+    where = lambda i, s: [p[1:] for p in places if p[0] == i] or [(s, None, 4)]
+    parts = lambda host: (host, host and "." in host and ".".join(host.split(".")[-2:]) or None, host and "." in host and host.split(".")[-1] or None)
+    seen = [(*parts(h), d, int(np.argmax(t)), w / 4) for i, s, n, t in texts if n for h, d, w in where(i, s)]
+    total = np.array([sum(x[5] for x in seen if x[4] == k) for k in (0, 1)]) + language_id.SMOOTHING
+    base, w0 = total / total.sum(), language_id.HOST_WEIGHT
+    counts = lambda at, value: np.array([sum(x[5] for x in seen if value and x[at] == value and x[4] == k) for k in (0, 1)])
+
+    def said(host, declared):
+        h, domain, suffix = parts(host)
+        out = sum(np.log((c + w0 * base) / (c.sum() + w0) / base) for c in (counts(3, declared), counts(2, suffix)))
+        by_domain = (counts(1, domain) + w0 * base) / (counts(1, domain).sum() + w0)
+        return out + np.log((counts(0, h) + w0 * by_domain) / (counts(0, h).sum() + w0))
+
+    wanted = []
+    for i, s, _, text_log in texts:
+        score = np.array(text_log) + sum(w / 4 * said(h, d) for h, d, w in where(i, s))
+        odds = np.exp(score - score.max())
+        wanted.append((str(i), str(s), "pq"[int(score.argmax())], round(odds.max() / odds.sum(), 6)))
+    assert sorted((str(r.doc_id), str(r.source), r.lang_id, round(r.posterior, 6)) for r in got) == sorted(wanted)
+
+
+def test_many_rows_and_pages_of_one_id_are_not_paired(spark):
+    docs = spark.range(3_000).selectExpr("7L AS doc_id", "'s' AS source", "3 AS words", "array(0D, -1D) AS text_log")
+    pages_ = spark.range(3_000).selectExpr("7L AS doc_id", "concat('h', id, '.org') AS host", "CAST(NULL AS STRING) AS declared", "300L AS weight")
+    got = language_id.fused_with_pages(docs, pages_, ["p", "q"])
+    assert got.count() == 3_000 and got.select("lang_id", "posterior").distinct().count() == 1
+
+
 def test_languages_of_no_rows_or_labels(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert language_id.identify(empty).count() == 0
