@@ -108,3 +108,23 @@ def discover_source(
         .orderBy("match", source)
         .limit(1)
     )
+
+
+def discover_sources(
+    lines: DataFrame, ids: DataFrame, base: str = "base", key: str = "report_key", source: str = "source_file"
+) -> DataFrame:
+    """``(base, match, source_file, n_hits, n_needed)``: ``discover_source`` for all id sets ``(base, key)`` at once.
+
+    Lines are counted by file and key before they meet the ids, so that a key of very many
+    lines is one row per file. Sets without a file have no row.
+    """
+    wanted = ids.select(base, F.col(key).cast("string").alias(key)).distinct()
+    needed = wanted.groupBy(base).agg(discovery_threshold(F.count(key)).alias("n_needed"))
+    counted = lines.groupBy(source, F.col(key).cast("string").alias(key)).agg(F.count("*").alias("_lines"))
+    hits = counted.join(wanted, key).groupBy(base, source).agg(F.sum("_lines").alias("n_hits"))
+    names = F.array(*[F.struct(F.lit(i).alias("match"), F.concat(base, F.lit(end)).alias(source)) for i, end in enumerate((".jsonl", ".emb.jsonl"))])
+    named = needed.select(base, F.inline(names)).join(lines.select(source).distinct(), source)
+    found = hits.join(needed, base).join(named.select(base, source, "match"), [base, source], "full")
+    rank = F.struct(F.coalesce("match", F.lit(2)).alias("match"), F.col(source), F.coalesce("n_hits", F.lit(0)).alias("n_hits"))
+    best = found.filter("match IS NOT NULL OR n_hits >= n_needed").groupBy(base).agg(F.min(rank).alias("_best"))
+    return best.select(base, "_best.*").join(needed, base)

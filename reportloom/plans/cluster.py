@@ -114,9 +114,11 @@ def cluster_each_source(
     top_n: int = TOPIC_TERMS,
     random_state: int = RANDOM_STATE,
     with_projection: bool = True,
+    text_files: dict[str, str] | None = None,
 ) -> dict[str, Clustering | Exception]:
     """One clustering per source file; a source that fails is reported, the rest go on.
 
+    With ``text_files`` a source takes its texts from the file named there, or has none.
     All sources are clustered in the same passes; what is asked of a source afterwards (topics, texts)
     is a job of its own. A source without a finite vector fails.
     """
@@ -127,8 +129,12 @@ def cluster_each_source(
             results[source] = ValueError(f"no vectors to cluster in {source}")
             continue
         own = members.filter(F.col("source_file").eqNullSafe(F.lit(source)))
+        own_texts = texts
+        if texts is not None and text_files is not None:
+            file = text_files.get(source)
+            own_texts = texts.filter(F.col("source_file") == file) if file else None
         try:
-            result = describe(own, texts, text_order, k, reps, top_n)
+            result = describe(own, own_texts, text_order, k, reps, top_n)
             if with_projection:
                 projected, share = project(own)
                 result.projection = projected.join(F.broadcast(result.labels), "cluster").select("report_key", "x", "y", "cluster", "label")

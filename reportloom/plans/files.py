@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.fixed import CLUSTERS, REPRESENTATIVES, TOPIC_TERMS
 from ..functions.text import strip
+from ..operators.attach import discover_sources
 from ..operators.infer import Factory, embed
 from ..operators.records import rewrite_lines
-from ..sinks.exports import export_lines, export_vectors
+from ..operators.positions import positions
+from ..operators.topics import topic_lists
+from ..session import materialize
+from ..sinks.exports import export_clusters, export_lines, export_vectors
 from ..sources.records import apply_policy, decode_lines, parse_line, parse_records, read_lines
+from ..sources.vectors import read_vectors
 from .anonymize import Tagger, anonymize
+from .cluster import Clustering, cluster_each_source, cluster_reports
 from .compare import Comparison, compare_versions
 from .translate import Translator, translate
 
@@ -97,3 +104,62 @@ def compare_folders(
     """Compare the versions of each report over all files below ``path``, in the order of paths and lines."""
     records = read_records(spark, path, key, text, "drop", glob).dropna(subset=["report_key", "text"])
     return compare_versions(records.drop("record", "value"), LINE_ORDER, min_unique=min_unique, query=query)
+
+
+def name_of_file(path: str = "file_path") -> Column:
+    """The name of a file, or of the folder if Spark wrote the table as part files."""
+    parts = F.split(path, "/")
+    name = F.element_at(parts, -1)
+    return F.when(F.startswith(name, F.lit("part-")), F.element_at(parts, -2)).otherwise(name)
+
+
+def base_of(name: Column) -> Column:
+    """A vector file's name without its endings."""
+    return F.regexp_replace(name, r"(\.emb)?\.(jsonl|parquet)$", "")
+
+
+def cluster_files(
+    spark: SparkSession,
+    vectors: str,
+    path: str,
+    out: str,
+    merge: bool = False,
+    key: str = "report_key",
+    text: str = "text",
+    k: int = CLUSTERS,
+    reps: int = REPRESENTATIVES,
+    top_n: int = TOPIC_TERMS,
+    with_projection: bool = True,
+    glob: str = "*.jsonl",
+) -> dict[str, Clustering | Exception]:
+    """Cluster the vector files below ``vectors``, each alone or ``merge``d, and write results below ``out``.
+
+    Texts are those of the JSON lines below ``path``. A vector file alone takes them from the one
+    file that its keys come from, found for all of them at once; merged vectors from the first
+    line of their key. Each result has a folder of its own: ``clusters`` (representatives with texts),
+    ``topics``, and ``projection``. A vector file that fails is reported, the rest go on.
+    """
+    # Part files of one table have rows of equal number; each row gets a number over all files.
+    read = positions(read_vectors(spark, vectors, key=key, finite=False), "file_path", "row_index", "place")
+    rows = materialize(read, "vectors")
+    records = read_records(spark, path, key, text, "drop", glob).dropna(subset=["report_key"])
+    texts = materialize(records.select("report_key", "text", name_of_file().alias("source_file"), *LINE_ORDER), "texts")
+    if merge:
+        results: dict[str, Clustering | Exception] = {
+            "merged": cluster_reports(rows, texts, LINE_ORDER, "place", k, reps, top_n, with_projection=with_projection)
+        }
+    else:
+        sets = rows.select("source_file", base_of(F.col("source_file")).alias("base"), "report_key")
+        found = discover_sources(texts, sets.dropna().select("base", "report_key"))
+        named = found.withColumnRenamed("source_file", "text_file").join(sets.select("source_file", "base").distinct(), "base")
+        files = {r.source_file: r.text_file for r in named.collect()}  # one row per vector file
+        results = cluster_each_source(
+            rows, texts, LINE_ORDER, "place", k, reps, top_n, with_projection=with_projection, text_files=files
+        )
+    for name, result in results.items():
+        if isinstance(result, Clustering):
+            folder = f"{out.rstrip('/')}/{name}"
+            export_clusters(result.representatives, topic_lists(result.members, result.topics), folder)
+            if result.projection is not None:
+                result.projection.write.parquet(f"{folder}/projection")
+    return results

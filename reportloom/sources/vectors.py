@@ -19,8 +19,9 @@ def read_vectors(
     key: str = "report_key",
     embedding: str = "embedding",
     extra: tuple[str, ...] = (),
+    finite: bool = True,
 ) -> DataFrame:
-    """``(report_key, embedding, source_file, file_path, row_index)`` of all finite vectors.
+    """``(report_key, embedding, source_file, file_path, row_index)`` of all finite vectors, or of all.
 
     Several paths form one merged set that remembers the file and row of each vector. A
     ``source_file`` that the set itself carries is kept; ``file_path`` tells files of one
@@ -30,7 +31,7 @@ def read_vectors(
     missing = {key, embedding} - set(raw.columns)
     if missing:
         raise ValueError(f"vector files lack {sorted(missing)}")
-    return finite_vectors(
+    rows = (
         raw.select(
             F.col(key).cast("string").alias("report_key"),
             F.col(embedding).cast("array<float>").alias("embedding"),
@@ -40,3 +41,4 @@ def read_vectors(
             *extra,
         )
     )
+    return finite_vectors(rows) if finite else rows
