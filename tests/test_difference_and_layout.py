@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reportloom.operators.assemble import assemble
 from reportloom.operators.difference import changes, kept, ordered_difference
 from reportloom.operators.translate import glossary_translations
+from reportloom.plans.files import cluster_files
 
 
 def longest_common(a, b):
@@ -108,3 +109,23 @@ def test_glossary_in_the_row(spark, no_broadcast):
     assert plan_of(spark, done).count("Generate explode") == 1
     assert sorted(map(tuple, done.collect())) == [(1, "the dog, the dog!"), (2, ""), (3, "ohne Treffer"), (5, " the\nKater ")]
     assert glossary_translations(chunks, glossary.limit(0)).filter(F.col("chunk_id") == 1).first().translated == "Der Hund, der HUND!"
+
+
+def test_cluster_job_finds_texts_by_name_or_hits(spark, tmp_path):
+    rows = [(f"k{i}", [float(i % 2) * 9 + i * 0.01, 1.0], f"{'ab'[i // 10]}.emb.parquet") for i in range(20)]
+    rows.append(("bad", [float("nan"), 1.0], "c.emb.parquet"))
+    vectors, lines = str(tmp_path / "v"), tmp_path / "lines"
+    spark.createDataFrame(rows, "report_key string, embedding array<float>, source_file string").repartition(3).write.parquet(vectors)
+    lines.mkdir()
+    line = '{{"report_key": "k{0}", "text": "{1} k{0}"}}\n'
+    (lines / "a.jsonl").write_text("".join(line.format(i, "own") for i in range(10)) + "broken\n" + line.format(0, "again"))
+    (lines / "other.jsonl").write_text("".join(line.format(i, "other") for i in range(5, 20)))
+    found = cluster_files(spark, vectors, str(lines), str(tmp_path / "out"), k=2, reps=3)
+    assert sorted(found) == ["a.emb.parquet", "b.emb.parquet", "c.emb.parquet"] and isinstance(found["c.emb.parquet"], ValueError)
+    for name, word in (("a", "own"), ("b", "other")):
+        got = spark.read.json(str(tmp_path / "out" / f"{name}.emb.parquet" / "clusters")).collect()
+        assert len(got) == 6 and all(r.text == f"{word} {r.report_key}" for r in got)
+        assert spark.read.parquet(str(tmp_path / "out" / f"{name}.emb.parquet" / "projection")).count() == 10
+    merged = cluster_files(spark, vectors, str(lines), str(tmp_path / "all"), merge=True, k=2, reps=20, with_projection=False)["merged"]
+    got = {r.report_key: r.text for r in spark.read.json(str(tmp_path / "all" / "merged" / "clusters")).collect()}
+    assert got == {f"k{i}": f"{'own' if i < 10 else 'other'} k{i}" for i in range(20)} and merged.members.count() == 20
