@@ -15,7 +15,9 @@ from ..operators.compare import (
     version_pairs,
 )
 from ..operators.difference import ordered_difference
+from ..operators.text_index import search_indexed, write_text_index
 from ..plans.compare import compare_versions
+from ..session import scratch_path
 from .inputs import REORDERED, VERSIONS, reordered, versions
 
 ORDER = ["source_file", "line_no"]
@@ -34,6 +36,12 @@ def compared(spark, d):
     return found.index.join(changes, "report_key", "left")
 
 
+def indexed_search(spark, d):
+    path = scratch_path(spark, "text-index")
+    write_text_index(versions(spark, d), path)
+    return search_indexed(spark, path, "NACHTRAG 1", min_unique=2)
+
+
 def moved(spark, d):
     """Lines of each pair by what became of them; pairs without a change have no row."""
     counts = [F.count_if(F.col("change") == c).alias(f"n_{c}") for c in ("moved", "added", "removed")]
@@ -106,6 +114,11 @@ QUERIES = {
         f"""SELECT * FROM ({INDEX}) WHERE n_unique >= 2 AND report_key IN (
               SELECT report_key::VARCHAR FROM ({VERSIONS}) WHERE contains(lower(text), 'nachtrag 1'))""",
     ),
+    "search_indexed": (
+        indexed_search,
+        f"""SELECT * FROM ({INDEX}) WHERE n_unique >= 2 AND report_key IN (
+              SELECT report_key::VARCHAR FROM ({VERSIONS}) WHERE contains(lower(text), 'nachtrag 1'))""",
+    ),
     "distinct_versions": (
         lambda s, d: distinct_versions(versions(s, d), ORDER).select(
             "report_key", "text", F.col("first_seen.source_file").alias("first_file")
