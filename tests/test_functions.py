@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from reportloom.functions.fixed import BIRTH_LABELS, BIRTH_REACH, MONTH_NAMES, S
 from reportloom.functions.redact import is_person_label, redact_dates, redact_spans
 from reportloom.functions.text import ngrams, strip
 from reportloom.functions.vector import distance, is_finite, unit
+from reportloom.checks.models import hashing_model
 from reportloom.operators.hashing import hashing_vectors
 from reportloom.operators.spans import resolve_spans, token_spans
 from reportloom.operators.topics import count_terms
@@ -230,3 +232,16 @@ def test_hashing_vectors_without_terms(spark):
     got = {r.k: r.embedding for r in hashing_vectors(df, "k", "t", 8).collect()}
     assert got[2] == got[3] == [0.0] * 8
     assert abs(sum(v * v for v in got[1]) - 1) < 1e-6
+
+
+def test_hashing_vectors_are_counted_once_and_equal_the_model(spark):
+    texts = ["Straße straße STRASSE a ß", "one two one two three", "", None, "x", "a1 _b É 数字 ok ok ok", "z" * 3000 + " ab" * 4000]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    vectors = hashing_vectors(df, "k", "t", 64)
+    rows = vectors.select("k", F.posexplode("embedding").alias("dim", "value"))
+    assert str(rows._jdf.queryExecution().executedPlan()).count("ArrowEvalPython") == 1  # not once more in a filter
+    found = {}
+    for r in rows.orderBy("k", "dim").collect():
+        found.setdefault(r.k, []).append(r.value)
+    for k, wanted in enumerate(hashing_model()([t or "" for t in texts])):
+        assert found[k] == pytest.approx(wanted, abs=1e-6)
