@@ -72,7 +72,7 @@ def chunks(spark, d):
 
 
 def glossary_translated(spark, d):
-    table_of_chunks = chunks(spark, d)
+    table_of_chunks = materialize(chunks(spark, d), "chunks")
     answers = glossary_translations(distinct_chunks(table_of_chunks), glossary(spark, d))
     return attach_translations(table_of_chunks, answers, "doc_id")
 

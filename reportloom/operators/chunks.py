@@ -9,8 +9,11 @@ from ..functions.chunk import join_chunks
 
 
 def chunk_table(df: DataFrame, chunks: Column, *ids: str) -> DataFrame:
-    """``(ids…, chunk_no, chunk)`` of an array column, without a shuffle."""
-    return df.select(*ids, F.posexplode(chunks).alias("chunk_no", "chunk"))
+    """``(ids…, chunk_no, chunk)`` of an array column, without a shuffle.
+
+    The plain form of ``posexplode`` lets the optimizer make the array once more in a filter.
+    """
+    return df.select(*ids, F.posexplode_outer(chunks).alias("chunk_no", "chunk")).filter("chunk_no IS NOT NULL")
 
 
 def rejoin_chunks(

@@ -99,8 +99,8 @@ def with_chunk_id(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
 
 
 def distinct_chunks(chunks: DataFrame) -> DataFrame:
-    """``(chunk_id, chunk)`` once per different chunk."""
-    return chunks.select("chunk_id", "chunk").distinct()
+    """``(chunk_id, chunk)`` once per different chunk, split by its id as later joins want it."""
+    return chunks.select("chunk_id", "chunk").dropDuplicates(["chunk_id"])
 
 
 def translate_with(

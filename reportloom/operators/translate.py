@@ -22,7 +22,9 @@ def glossary_translations(chunks: DataFrame, glossary: DataFrame) -> DataFrame:
     pieces = F.regexp_extract_all("chunk", F.lit(word), F.lit(0))
     known = WordSet(glossary, "word", glossary.count())
     asked = F.filter(F.array_distinct(F.transform(pieces, F.lower)), known.holds)
-    found = known.beside(chunks).select("chunk_id", F.explode(asked).alias("word")).join(glossary.select("word", "target"), "word")
+    # The plain form of ``explode`` lets the optimizer make the words once more in a filter.
+    words = known.beside(chunks).select("chunk_id", F.explode_outer(asked).alias("word")).filter("word IS NOT NULL")
+    found = words.join(glossary.select("word", "target"), "word")
     targets = found.groupBy("chunk_id").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "target"))).alias("_targets")
     )

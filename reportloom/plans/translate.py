@@ -19,6 +19,7 @@ from ..operators.infer import (
 )
 from ..operators.records import RECORD, put_result, route, with_record_id
 from ..operators.translate import glossary_translations
+from ..session import materialize
 
 Translator = Callable[[DataFrame], DataFrame]
 
@@ -94,7 +95,8 @@ def translate(
     limit = max_chunk_chars or (HOSTED_CHUNK_CHARS if hosted else LOCAL_CHUNK_CHARS)
     if whole:
         limit = None
-    chunks = report_chunks(df, (RECORD,), text, limit, hosted)
+    # Written once: the different chunks, their places and the list of hot chunks all start from here.
+    chunks = materialize(report_chunks(df, (RECORD,), text, limit, hosted), "chunks")
     answers = attach_translations(chunks, translator(distinct_chunks(chunks)), RECORD)
     joined = df.join(rejoin_chunks(answers, RECORD, chunk="translated", out="_translated"), RECORD, "left")
     passes = route(F.col(text), empty_passes=hosted) == "pass"

@@ -14,6 +14,7 @@ from reportloom.functions.redact import is_person_label, redact_dates, redact_sp
 from reportloom.functions.text import ngrams, strip
 from reportloom.functions.vector import distance, is_finite, unit
 from reportloom.checks.models import hashing_model
+from reportloom.operators.chunks import chunk_table
 from reportloom.operators.hashing import hashing_vectors
 from reportloom.operators.spans import resolve_spans, token_spans
 from reportloom.operators.topics import count_terms
@@ -245,3 +246,13 @@ def test_hashing_vectors_are_counted_once_and_equal_the_model(spark):
         found.setdefault(r.k, []).append(r.value)
     for k, wanted in enumerate(hashing_model()([t or "" for t in texts])):
         assert found[k] == pytest.approx(wanted, abs=1e-6)
+
+
+def test_chunks_are_made_once(spark):
+    df = spark.createDataFrame([(1, "a. b. c."), (2, ""), (3, None)], "k int, t string")
+    chunks = chunk_table(df, chunk(F.col("t"), 4, always=True), "k")
+    plan = str(chunks._jdf.queryExecution().optimizedPlan())
+    assert not [line for line in plan.splitlines() if "Filter" in line and "split(" in line]
+    assert sorted(map(tuple, chunks.collect())) == [(1, 0, "a."), (1, 1, "b."), (1, 2, "c."), (2, 0, ""), (3, 0, "")]
+    none = F.when(F.col("k") == 1, F.array(F.lit("x"), F.lit(None)))  # an absent array has no rows, a null chunk has one
+    assert sorted(map(tuple, chunk_table(df, none, "k").collect())) == [(1, 0, "x"), (1, 1, None)]
