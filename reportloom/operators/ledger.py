@@ -1,9 +1,10 @@
 """A ledger of paid calls: answers are committed batch by batch, and what is committed is never asked again.
 
-The ledger is a folder of small Parquet files, one per batch, named by the hash of the batch's
-chunks. A task writes a batch's answers under another name and then renames the file, so a file
-that can be seen is whole. A task that is run again forms the same batches and finds the files of
-those that were paid for; a job that is started again leaves out all chunks of the ledger.
+The ledger is a folder of Parquet files, one per batch, named by the hash of the batch's chunks. When all
+batches of a group are there, one file takes their place, so a ledger of n batches has about n / GROUP
+files. A task writes a file under another name and then renames it, so a file that can be seen is
+whole. A task that is run again forms the same groups and batches and finds the files of those that
+were paid for; a job that is started again leaves out all chunks of the ledger.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 ANSWER = "chunk_id binary, translated string"
+GROUP = 256  # batches that end up in one file
 ANSWER_FIELDS = pa.schema([("chunk_id", pa.binary()), ("translated", pa.string())])
 
 
@@ -56,12 +58,21 @@ def batches_of(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
         yield pa.concat_tables(held).combine_chunks()
 
 
-def commit(system: fs.FileSystem, base: str, name: str, table: pa.Table) -> None:
-    """Write a batch under a name that readers leave out, then give it its own."""
-    draft = f"{base}/_{name}-{uuid.uuid4().hex}"
+def exists(system: fs.FileSystem, path: str) -> bool:
+    return system.get_file_info(path).type == fs.FileType.File
+
+
+def commit(system: fs.FileSystem, path: str, table: pa.Table) -> None:
+    """Write a file under a name that readers leave out, then give it its own."""
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/_{name}-{uuid.uuid4().hex}"
     with system.open_output_stream(draft, compression=None) as out:
-        pq.write_table(table, out)
-    system.move(draft, f"{base}/{name}.parquet")
+        pq.write_table(table, out, use_dictionary=False, write_statistics=False)
+    system.move(draft, path)
+
+
+def name_of(ids: list[bytes]) -> str:
+    return hashlib.sha256(b"".join(ids)).hexdigest()
 
 
 def call_missing(
@@ -87,15 +98,28 @@ def call_missing(
         model = None
         system, base = place(path)
         asked = 0
-        for table in batches_of(rows, batch_size):
-            ids = table["chunk_id"].to_pylist()
-            name = hashlib.sha256(b"".join(ids)).hexdigest()
-            if system.get_file_info(f"{base}/{name}.parquet").type == fs.FileType.File:
+        for group in batches_of(rows, batch_size * GROUP):
+            all_ids = group["chunk_id"].to_pylist()
+            whole = f"{base}/group-{name_of(all_ids)}.parquet"
+            if exists(system, whole):
                 continue  # paid for by an earlier attempt of this task
-            model = model or factory()
-            found = model(table["chunk"].to_pylist())
-            commit(system, base, name, pa.table([pa.array(ids, pa.binary()), pa.array(found, pa.string())], schema=ANSWER_FIELDS))
-            asked += 1
+            texts, found, files = group["chunk"].to_pylist(), [], []
+            for at in range(0, len(all_ids), batch_size):
+                ids = all_ids[at : at + batch_size]
+                file = f"{base}/{name_of(ids)}.parquet"
+                if exists(system, file):  # paid for by an earlier attempt of this task
+                    found.append(pq.read_table(file, filesystem=system, schema=ANSWER_FIELDS, partitioning=None))
+                else:
+                    model = model or factory()
+                    got = model(texts[at : at + batch_size])
+                    found.append(pa.table([pa.array(ids, pa.binary()), pa.array(got, pa.string())], schema=ANSWER_FIELDS))
+                    commit(system, file, found[-1])
+                    asked += 1
+                files.append(file)
+            if len(files) == GROUP:
+                commit(system, whole, pa.concat_tables(found))
+                for file in files:
+                    system.delete_file(file)
         yield pa.RecordBatch.from_arrays([pa.array([asked], pa.int64())], ["asked"])
 
     shared = missing.repartition(tasks, "chunk_id").sortWithinPartitions("chunk_id")

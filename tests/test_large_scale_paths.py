@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from reportloom.operators import topics as T
 from reportloom.operators.infer import with_chunk_id
-from reportloom.operators.ledger import answers, batches_of, call_missing
+from reportloom.checks.inputs import table
+from reportloom.operators.ledger import GROUP, answers, batches_of, call_missing
 from reportloom.operators.lloyd import assigned, cluster_sets, lloyd, starts
 from reportloom.operators.membership import WordSet
 from reportloom.operators.spans import gazetteer_spans
@@ -93,6 +94,32 @@ def test_a_task_that_runs_again_does_not_pay_again(spark, tmp_path):
     assert 4 <= len(files) <= 6 and not list((tmp_path / "ledger").glob("_*"))
 
 
+def test_a_ledger_of_many_batches_has_few_files(spark, tmp_path):
+    ledger, chunks = str(tmp_path / "ledger"), chunks_of(spark, 4 * GROUP + 100)
+
+    def failing():
+        left = [2 * GROUP - 10]
+
+        def client(texts):
+            left[0] -= 1
+            if left[0] < 0:
+                raise RuntimeError("away")
+            return [t.upper() for t in texts]
+
+        return client
+
+    with pytest.raises(PythonException):
+        call_missing(chunks, failing, ledger, 2, callers=1)
+    assert len(list((tmp_path / "ledger").glob("*.parquet"))) == 1 + GROUP - 10
+    assert answers(spark, ledger).count() == 2 * (2 * GROUP - 10)
+    call_missing(chunks, lambda: lambda texts: [t.upper() for t in texts], ledger, 2, callers=1)
+    got = [r.translated for r in answers(spark, ledger).collect()]
+    assert sorted(got) == sorted(f"TEXT {i}" for i in range(4 * GROUP + 100))
+    # Of the second run's batches some make no whole group; those of the first one that stopped stay.
+    assert len(list((tmp_path / "ledger").glob("*.parquet"))) == 1 + (GROUP - 10) + 60
+    assert not list((tmp_path / "ledger").glob("_*"))
+
+
 def test_batches_do_not_depend_on_the_parts_they_come_in():
     import pyarrow as pa
 
