@@ -17,6 +17,7 @@ from reportloom.operators.lloyd import assigned, cluster_sets, lloyd, starts
 from reportloom.operators.membership import WordSet
 from reportloom.operators.spans import gazetteer_spans
 from reportloom.plans.cluster import cluster_each_source
+from reportloom.sources.records import decode_lines, read_lines
 
 
 def test_word_set_holds_its_words(spark):
@@ -169,3 +170,26 @@ def test_a_source_without_vectors_is_reported(spark):
     results = cluster_each_source(vectors, None, [], k=2, with_projection=False)
     assert isinstance(results["bad"], ValueError)
     assert sorted(r.n for r in results["good"].members.groupBy("cluster").agg(F.count("*").alias("n")).collect()) == [4, 4]
+
+
+def test_only_tables_in_few_pieces_are_dealt_out(spark, tmp_path):
+    rows = spark.range(4000)
+    rows.coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    rows.repartition(4 * spark.sparkContext.defaultParallelism).write.parquet(str(tmp_path / "many.parquet"))
+    spark.range(0).write.parquet(str(tmp_path / "none.parquet"))
+    plans = {name: str(table(spark, str(tmp_path), name)._jdf.queryExecution().executedPlan()) for name in ("one", "many")}
+    assert "RoundRobin" in plans["one"] and "Exchange" not in plans["many"]
+    for name, count in (("one", 4000), ("many", 4000), ("none", 0)):
+        assert table(spark, str(tmp_path), name).agg(F.count("*"), F.countDistinct("id")).first() == (count, count)
+
+
+def test_lines_of_files_are_decoded_without_a_shuffle(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes("ä\nb\n".encode())
+    lines = decode_lines(read_lines(spark, str(tmp_path)))
+    assert sorted(r.value for r in lines.collect()) == ["b", "ä"]
+    (tmp_path / "b.jsonl").write_bytes("c\nö\n".encode("latin-1"))
+    lines = decode_lines(read_lines(spark, str(tmp_path)))
+    assert sorted((r.source_file, r.value) for r in lines.collect()) == [
+        ("a.jsonl", "b"), ("a.jsonl", "ä"), ("b.jsonl", "c"), ("b.jsonl", "ö"),
+    ]
+    assert "Exchange hashpartitioning" not in str(lines._jdf.queryExecution().executedPlan())
