@@ -16,7 +16,7 @@ from reportloom.operators.ledger import GROUP, answers, batches_of, call_missing
 from reportloom.operators.lloyd import assigned, cluster_sets, lloyd, starts
 from reportloom.operators.membership import WordSet
 from reportloom.operators.spans import gazetteer_spans
-from reportloom.plans.cluster import cluster_each_source
+from reportloom.plans.cluster import cluster_each_source, describe
 from reportloom.sources.records import decode_lines, read_lines
 
 
@@ -193,3 +193,23 @@ def test_lines_of_files_are_decoded_without_a_shuffle(spark, tmp_path):
         ("a.jsonl", "b"), ("a.jsonl", "ä"), ("b.jsonl", "c"), ("b.jsonl", "ö"),
     ]
     assert "Exchange hashpartitioning" not in str(lines._jdf.queryExecution().executedPlan())
+
+
+def test_corpus_is_cut_into_words_once_and_gives_the_texts(spark, tmp_path):
+    """The texts are read for the corpus only: representatives take theirs from it, topics its words."""
+    members = spark.createDataFrame(
+        [(i, f"k{i % 5}" if i % 7 else None, "s", i % 2, float(i)) for i in range(30)],
+        "idx_global long, report_key string, source_file string, cluster int, distance double",
+    )
+    rows = [("k1", "b", 0, "Zweite Wahl"), ("k1", "a", 1, "rote rote Beete"), ("k2", "a", 2, None), ("k3", "a", 3, ""), ("k0", "a", 4, "blaue Beete")]
+    spark.createDataFrame(rows, "report_key string, source_file string, line_no long, text string").write.parquet(str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    found = describe(members, texts, ["source_file", "line_no"], k=2, reps=6)
+    wanted = {"k1": "rote rote Beete", "k2": None, "k3": "", "k0": "blaue Beete", "k4": None, None: None}
+    got = found.representatives.collect()
+    assert len(got) == 12 and all(r.text == wanted[r.report_key] for r in got)
+    assert not any(str(tmp_path) in file for file in found.representatives.inputFiles())
+    docs = members.select("idx_global", "cluster", "report_key").collect()
+    docs = spark.createDataFrame([(r.idx_global, r.cluster, wanted[r.report_key] or "") for r in docs], "idx_global long, cluster int, text string")
+    whole = T.cluster_topics(T.cluster_term_scores(docs, "idx_global")).select("cluster", "rank", "term")
+    assert sorted(found.topics.select("cluster", "rank", "term").collect()) == sorted(whole.collect())
