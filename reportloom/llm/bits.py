@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-BITS_A_KEY = 32
-LEAST_BITS, MOST_BITS = 20, 29  # powers of two: the table that each executor gets has 64 MB at most
+PLANES = 3  # bits of a key, each in a plane of its own
+BITS_A_KEY = 4  # at least, in each plane
+LEAST_BITS, MOST_BITS = 17, 27  # of a plane, powers of two: the table that each executor gets has 48 MB at most
 BUCKET_BITS = 15
+WORDS = (1 << BUCKET_BITS) // 64
 
 
 def or_bits(a: Column, b: Column) -> Column:
@@ -23,26 +25,38 @@ def low_bits(value: Column, bits: int) -> Column:
 class BitTable:
     """Bits set for the ``key`` (a hash, long) of the rows of ``keys``; about ``count`` different ones are expected.
 
-    The table follows their number up to ``MOST_BITS`` and is broadcast. With more keys than
-    that, more rows pass by chance: what uses it has to join what passes. Nulls are never held.
+    A key has a bucket and in it one bit in each plane, from different bits of the hash; it is held if all are set, which
+    with as many keys as expected one in 90 others is at most. The table follows their number up to ``MOST_BITS`` and is
+    broadcast. With more keys than that, more rows pass by chance: what uses it has to join what passes. Nulls are never held.
     """
 
     def __init__(self, keys: DataFrame, count: int):
         self.bits = min(max(int(count * BITS_A_KEY).bit_length(), LEAST_BITS), MOST_BITS)
-        place = low_bits(F.col("key"), self.bits)
-        rows = keys.filter("key IS NOT NULL").select(F.shiftright(place, BUCKET_BITS).alias("_bucket"), low_bits(place, BUCKET_BITS).alias("bit"))
-        tables = rows.groupBy("_bucket").agg(F.call_function("bitmap_construct_agg", F.col("bit")).alias("bitmap"))
+        key = F.col("key")
+        rows = keys.filter("key IS NOT NULL").select(self._bucket(key).alias("_bucket"), *[self._bit(key, p).alias(f"bit{p}") for p in range(PLANES)])
+        planes = [F.call_function("bitmap_construct_agg", F.col(f"bit{p}")).alias(f"plane{p}") for p in range(PLANES)]
+        tables = rows.groupBy("_bucket").agg(*planes).select("_bucket", F.concat(*[f"plane{p}" for p in range(PLANES)]).alias("bitmap"))
         half = lambda at: F.conv(F.hex(F.substring("bitmap", at, F.lit(4))), 16, 10).cast("long")
         word = lambda w: F.shiftleft(half(w * 8 + 1), 32).bitwiseOR(half(w * 8 + 5))
-        words = F.transform(F.sequence(F.lit(0), F.lit((1 << BUCKET_BITS) // 64 - 1)), word)
+        words = F.transform(F.sequence(F.lit(0), F.lit(PLANES * WORDS - 1)), word)
         self.table = materialize(tables.select("_bucket", words.alias("_words")), "bit-table")
 
+    def _bucket(self, key: Column) -> Column:
+        return low_bits(key, self.bits - BUCKET_BITS)
+
+    def _bit(self, key: Column, plane: int) -> Column:
+        """Its place in a plane of the bucket: bits of the hash that neither the bucket nor another plane has."""
+        return low_bits(F.shiftright(key, MOST_BITS - BUCKET_BITS + plane * BUCKET_BITS), BUCKET_BITS)
+
     def held(self, key: Column) -> Column:
         """The condition of a join of rows with a hash and the table."""
-        place = low_bits(key, self.bits)
-        word = F.get("_words", F.shiftright(low_bits(place, BUCKET_BITS), 6).cast("int"))
-        shift = ((7 - low_bits(F.shiftright(place, 3), 3)) * 8 + low_bits(place, 3)).cast("int")
-        return (F.shiftright(place, BUCKET_BITS) == F.col("_bucket")) & (low_bits(F.call_function("shiftright", word, shift), 1) == 1)
+        found = self._bucket(key) == F.col("_bucket")
+        for plane in range(PLANES):
+            bit = self._bit(key, plane)
+            word = F.get("_words", (F.shiftright(bit, 6) + plane * WORDS).cast("int"))
+            shift = ((7 - low_bits(F.shiftright(bit, 3), 3)) * 8 + low_bits(bit, 3)).cast("int")
+            found &= low_bits(F.call_function("shiftright", word, shift), 1) == 1
+        return found
 
     def holds(self, rows: DataFrame, key: Column | None = None) -> DataFrame:
         """The rows whose key is in the table, and a few others; nothing is shuffled."""
