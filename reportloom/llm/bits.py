@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scan import let
 from ..session import materialize
 
 PLANES = 3  # bits of a key, each in a plane of its own
@@ -36,9 +39,10 @@ class BitTable:
         rows = keys.filter("key IS NOT NULL").select(self._bucket(key).alias("_bucket"), *[self._bit(key, p).alias(f"bit{p}") for p in range(PLANES)])
         planes = [F.call_function("bitmap_construct_agg", F.col(f"bit{p}")).alias(f"plane{p}") for p in range(PLANES)]
         tables = rows.groupBy("_bucket").agg(*planes).select("_bucket", F.concat(*[f"plane{p}" for p in range(PLANES)]).alias("bitmap"))
-        half = lambda at: F.conv(F.hex(F.substring("bitmap", at, F.lit(4))), 16, 10).cast("long")
-        word = lambda w: F.shiftleft(half(w * 8 + 1), 32).bitwiseOR(half(w * 8 + 5))
-        words = F.transform(F.sequence(F.lit(0), F.lit(PLANES * WORDS - 1)), word)
+        byte = lambda chars, at: F.ascii(F.get(chars, at)).cast("long")
+        word = lambda chars, w: reduce(or_bits, [F.shiftleft(byte(chars, w * 8 + k), 56 - 8 * k) for k in range(8)])
+        # as Latin-1, each byte is a character with its number
+        words = let(F.split(F.decode("bitmap", "ISO-8859-1"), ""), lambda chars: F.transform(F.sequence(F.lit(0), F.lit(PLANES * WORDS - 1)), lambda w: word(chars, w)))
         self.table = materialize(tables.select("_bucket", words.alias("_words")), "bit-table")
 
     def _bucket(self, key: Column) -> Column:

@@ -30,57 +30,70 @@ INDEX, PROBE = 1, 2
 LETTERS = "etaoinsrhldcumfpgwybvk "  # counted, and all others together
 
 
+def band_of(chars: Column, classes: tuple[tuple[int, int], ...]) -> Column:
+    """The least length of a line's band: the three highest binary digits of its length, or the least of its class."""
+    digits = F.greatest(F.length(F.bin(chars)) - 3, F.lit(0))
+    first = F.lit(classes[0][0])
+    for least, _ in classes[1:]:
+        first = F.when(chars >= least, least).otherwise(first)
+    return F.greatest(F.call_function("shiftleft", F.call_function("shiftright", chars, digits), digits), first)
+
+
 def segments(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
-    """``key, line_key, chars``: a row for each segment of a line, by which it is indexed.
+    """Add ``keys`` to ``chars, wide``: the segments of a line, by which it is indexed; null for lines left out.
 
-    A line of a class with threshold ``t`` has ``t + 1`` segments. A key holds the segment's number, the
-    line's length and the segment, of a long one its first ``KEY_CHARS`` characters: equal segments have equal keys.
+    A line of a class with threshold ``t`` has ``t + 1`` segments, at the same places in all lines of a band: they
+    cover as many characters as its shortest line has. A key holds the segment's number, the band and the segment,
+    of a long one its first ``KEY_CHARS`` characters: equal segments have equal keys.
     """
-    parts = threshold_of(F.col("chars"), classes) + 1
-    rows = lines.select("wide", "line_key", "chars", F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"))
-    start, size = place_of(F.col("i"), F.col("chars"), parts)
-    return rows.select(F.xxhash64("i", "chars", cut("wide", start, size)).alias("key"), "line_key", "chars")
+    lines = lines.withColumn("_band", band_of(F.col("chars"), classes))
+    lines = lines.withColumn("_parts", threshold_of(F.col("_band"), classes) + 1)
+
+    def key(i: Column) -> Column:
+        start, size = place_of(i, F.col("_band"), F.col("_parts"))
+        return F.xxhash64(i, "_band", cut("wide", start, size))
+
+    keys = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), key)
+    return lines.withColumn("keys", F.when(F.col("chars") >= classes[0][0], keys)).drop("_band", "_parts")
 
 
 def probes(lines: DataFrame, classes: tuple[tuple[int, int], ...]) -> DataFrame:
     """``key, line_key, chars``: the substrings by which a line can meet the segments of a line that is as long or
     shorter, but for its own segments.
 
-    A pair's threshold is that of its shorter line, so a line probes the classes of all lengths it may meet.
-    Length difference and number of the segment bound the places. Each segment's surroundings are cut
-    out first, so that its places, of which there are many, copy little.
+    A pair's threshold is that of its shorter line, so a line probes the bands of all lengths it may meet. Of a pair
+    within ``t`` edits take the first segment ``i`` up to whose end the shorter line has ``i`` edits at most: it has
+    ``i`` before and none in it, so it is found in the longer line, moved by ``i`` at most. To the left it is moved by
+    deletions, which as many later insertions have to make good: by ``t - i`` at most.
+
+    Each segment's surroundings are cut out first, so that its places, of which there are many, copy little.
     """
-    most = classes[-1][1]
-    kinds, moves = [], []
-    for (least, threshold), below in zip(classes, [*[c[0] for c in classes[1:]], (1 << 31) - 1], strict=True):
-        numbers = [f"named_struct('i', {i}, 'parts', {threshold + 1}, 'least', {least}, 'below', {below})" for i in range(threshold + 1)]
-        kinds.append((least, threshold, below, F.expr(f"array({', '.join(numbers)})")))
+    most, chars = classes[-1][1], F.col("chars")
+    moves = []
+    for _, threshold in classes:
         for i in range(threshold + 1):
-            places = ", ".join(
-                f"named_struct('fewer', {fewer}, 'shift', {shift})"
-                for fewer in range(threshold + 1)
-                for shift in range(max(-i, fewer - (threshold - i)), min(i, fewer + threshold - i) + 1)
-                if fewer or shift
-            )
+            places = ", ".join(str(shift) for shift in range(-min(i, threshold - i), i + 1))
             moves.append(f"WHEN parts = {threshold + 1} AND i = {i} THEN array({places})")
-    nothing = F.array().cast("array<struct<i:int,parts:int,least:int,below:int>>")
-
-    chars = F.col("chars")
-    of_class = F.concat(*[F.when((chars >= least) & (chars - threshold < below), numbers).otherwise(nothing) for least, threshold, below, numbers in kinds])
-
-    def piece(s: Column) -> Column:
-        start, size = place_of(s["i"], chars, s["parts"])
-        left = F.greatest(start - 2 * most, F.lit(0))
-        around = F.substring(F.col("wide"), left * 4 + 1, (F.least(size, F.lit(KEY_CHARS)) + 3 * most) * 4)
-        return F.struct(*[s[c].alias(c) for c in ("i", "parts", "least", "below")], left.alias("left"), around.alias("around"))
-
-    rows = lines.select("line_key", "chars", F.inline(F.transform(of_class, piece)))
-    rows = rows.select("*", F.explode(F.expr(f"CASE {' '.join(moves)} END")).alias("p"))
-    of = F.col("chars") - F.col("p.fewer")
-    start, size = place_of(F.col("i"), of, F.col("parts"))
-    at = start + F.col("p.shift")
-    rows = rows.filter((of >= F.col("least")) & (of < F.col("below")) & (at >= 0) & (at + size <= F.col("chars")))
-    return rows.select(F.xxhash64("i", of, cut("around", at - F.col("left"), size)).alias("key"), "line_key", "chars")
+    # a band of long lines is wider than any threshold: they probe their own and the one before at most
+    lengths = F.filter(F.sequence(F.greatest(chars - most, F.lit(classes[0][0])), chars), lambda other: chars - other <= threshold_of(other, classes))
+    bands = F.when(chars >= max(2 * classes[-1][0], 16 * most), F.array(band_of(chars, classes), band_of(chars - most, classes)))
+    bands = F.array_distinct(bands.otherwise(F.transform(lengths, lambda other: band_of(other, classes))))
+    of_band = lambda band: F.struct(band.alias("band"), (threshold_of(band, classes) + 1).alias("parts"))
+
+    def piece(of: Column, i: Column) -> Column:
+        start, size = place_of(i, of["band"], of["parts"])
+        left = F.greatest(start - most, F.lit(0))
+        around = F.substring(F.col("wide"), left * 4 + 1, (F.least(size, F.lit(KEY_CHARS)) + 2 * most) * 4)
+        return F.struct(i.alias("i"), of["band"].alias("band"), of["parts"].alias("parts"), left.alias("left"), around.alias("around"))
+
+    pieces = lambda of: F.transform(F.sequence(F.lit(0), of["parts"] - 1), lambda i: piece(of, i))
+    rows = lines.select("line_key", "chars", "wide", band_of(chars, classes).alias("own"), F.transform(bands, of_band).alias("bands"))
+    rows = rows.select("line_key", "chars", "own", F.inline(F.flatten(F.transform("bands", pieces))))
+    rows = rows.select("*", F.explode(F.expr(f"CASE {' '.join(moves)} END")).alias("shift"))
+    start, size = place_of(F.col("i"), F.col("band"), F.col("parts"))
+    at = start + F.col("shift")
+    rows = rows.filter(((F.col("shift") != 0) | (F.col("band") != F.col("own"))) & (at >= 0) & (at + size <= chars))
+    return rows.select(F.xxhash64("i", "band", cut("around", at - F.col("left"), size)).alias("key"), "line_key", "chars")
 
 
 def place_of(i: Column, length: Column, parts: Column) -> tuple[Column, Column]:
@@ -104,7 +117,7 @@ def threshold_of(length: Column, classes: tuple[tuple[int, int], ...]) -> Column
 
 def letter_counts(line: Column, chars: Column) -> Column:
     """How often each of ``LETTERS`` and any other character occurs, 255 at most: the counts, eight to a number, and their sum."""
-    found = F.array(*[F.char_length(line) - F.char_length(F.replace(line, F.lit(x), F.lit(""))) for x in LETTERS])
+    found = F.array(*[F.octet_length(line) - F.octet_length(F.replace(line, F.lit(x), F.lit(""))) for x in LETTERS])  # of one byte each
 
     def packed(counts: Column) -> Column:
         capped = F.transform(counts, lambda n: F.least(n, F.lit(255)).cast("long"))
@@ -199,12 +212,18 @@ def without_common_ends(a: Column, b: Column) -> Column:
     return let(let(let(F.struct(a.alias("a"), b.alias("b")), cut), reverse), cut)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, doc_hash, line_no, line`` of all lines but empty ones; a null text has none."""
+def occurrences(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
+    """``doc_id, doc_hash, line_no, chars, line_key`` (MD5) and ``keys`` of all lines but empty ones; a null text has none."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("doc_hash"), F.split(text, "\n").alias("lines"))
-    rows = rows.select("doc_id", "doc_hash", F.posexplode("lines").alias("line_no", "line"))
-    return rows.filter(F.col("line") != "")
+    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("line"), i.alias("line_no"), F.char_length(x).alias("chars")))
+    wide = lambda x: F.when(x["chars"] >= classes[0][0], F.encode(x["line"], "UTF-32"))
+    lines = F.transform(
+        F.filter(lines, lambda x: x["chars"] > 0),
+        lambda x: F.struct(x["line_no"].alias("line_no"), x["chars"].alias("chars"), F.unhex(F.md5(x["line"])).alias("line_key"), wide(x).alias("wide")),
+    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("doc_hash"), lines.alias("lines"))
+    rows = rows.select("doc_id", "doc_hash", F.inline("lines"))
+    return materialize(segments(rows, classes).drop("wide"), "lines")
 
 
 def described(least: int, wide: bool = False) -> Column:
@@ -220,37 +239,42 @@ def described(least: int, wide: bool = False) -> Column:
     )
 
 
-def first_lines(docs: DataFrame) -> DataFrame:
-    """``line_key, first, n``: per different line where it occurs first (``doc_id, line_no``) and how often."""
-    rows = occurrences(docs).select(F.unhex(F.md5("line")).alias("line_key"), F.struct("doc_id", "line_no").alias("place"))
-    return materialize(rows.groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n")), "first-lines")
+def first_lines(rows: DataFrame) -> DataFrame:
+    """``line_key, first, n, chars``: per different line of ``occurrences`` where it occurs first (``doc_id, line_no``), how often, its length."""
+    first = F.min(F.struct("doc_id", "line_no")).alias("first")
+    return materialize(rows.groupBy("line_key").agg(first, F.count("*").alias("n"), F.max("chars").alias("chars")), "first-lines")
 
 
-def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH, firsts: DataFrame | None = None) -> DataFrame:
+def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH, rows: DataFrame | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """``line_key`` (MD5) of the lines that have an earlier line within the threshold of the shorter one.
 
     ``classes`` are pairs of a length and the threshold that holds from it on, both ascending; shorter
     lines are left out. Lines are ordered by the smallest doc_id they occur in (null first), then
-    by their bytes. ``firsts`` is what ``first_lines`` gives for the same documents.
+    by their bytes. ``rows`` and ``firsts`` are what ``occurrences`` and ``first_lines`` give for the same documents.
 
     A line has a few segments and many probes; probes are tested against a table of bits of the
-    segments' keys before they are shuffled, and only lines that share a key with another one
-    are brought together, first by their keys alone, then with the letters they have.
+    segments' keys before they are shuffled. Of the segments only keys are counted; those that are
+    there twice or probed, and only lines that share a key with another one, are brought together,
+    first by their keys alone, then with the letters they have.
     """
     least = classes[0][0]
-    firsts = first_lines(docs) if firsts is None else firsts
+    rows = occurrences(docs, classes) if rows is None else rows
+    firsts = (first_lines(rows) if firsts is None else firsts).filter(F.col("chars") >= least)
     # of equal lines only the first is cut; a bit table of the first places, so that no text is shuffled
     places = firsts.select(F.xxhash64("line_key", "first.doc_id", "first.line_no").alias("key"))
-    places = BitTable(places, firsts.count())
-    once_each = lambda wide: places.holds(
-        docs.select(F.col("doc_id").cast("long"), F.inline(described(least, wide))), F.xxhash64("line_key", "doc_id", "line_no")
-    )
+    size = firsts.agg(F.count("*").alias("lines"), F.sum(threshold_of(F.col("chars"), classes) + 1).alias("keys")).first()
+    places = BitTable(places, size["lines"])
+    place = F.xxhash64("line_key", "doc_id", "line_no")
+    once_each = lambda wide: places.holds(docs.select(F.col("doc_id").cast("long"), F.inline(described(least, wide))), place)
     own = once_each(False).drop("line_no")
     cut_lines = once_each(True).select("line_key", "chars", "wide")
-    index = segments(cut_lines, classes)
-    count = own.agg(F.sum(threshold_of(F.col("chars"), classes) + 1)).first()[0] or 1
-    met = materialize(BitTable(index, count).holds(probes(cut_lines, classes)), "probes")
-    both = index.withColumn("role", F.lit(INDEX)).unionByName(met.withColumn("role", F.lit(PROBE)))
+    index = places.holds(rows.filter("keys IS NOT NULL"), place).select("line_key", "chars", F.explode("keys").alias("key"))
+    met = materialize(BitTable(index.select("key"), size["keys"] or 1).holds(probes(cut_lines, classes)), "probes")
+    # most segments are of one line and meet no probe
+    twice = index.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    asked = materialize(twice.unionByName(met.select("key").distinct()), "asked-keys")
+    index = BitTable(asked, asked.count()).holds(index)
+    both = materialize(index.withColumn("role", F.lit(INDEX)).unionByName(met.withColumn("role", F.lit(PROBE))), "met-lines")
     mark = F.xxhash64("line_key")
     shared = both.groupBy("key").agg(F.min(mark).alias("low"), F.max(mark).alias("high"), F.bit_or("role").alias("roles"))
     shared = shared.filter((F.col("low") < F.col("high")) & (F.col("roles").bitwiseAND(F.lit(INDEX)) > 0)).select("key")
@@ -268,7 +292,8 @@ def near_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH
     a, b = few.filter(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).alias("a"), few.alias("b")
     # lines of one length meet twice: once is enough
     once = (F.col("a.chars") < F.col("b.chars")) | ((F.col("a.chars") == F.col("b.chars")) & (F.col("a.line_key") < F.col("b.line_key")))
-    alike = counts_apart("a", "b") <= 2 * threshold_of(F.col("a.chars"), classes)
+    threshold = threshold_of(F.col("a.chars"), classes)
+    alike = (F.col("b.chars") - F.col("a.chars") <= threshold) & (counts_apart("a", "b") <= 2 * threshold)
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & once & alike)
     pairs = pairs.select(F.col("a.line_key").alias("a_key"), F.col("b.line_key").alias("b_key"), F.col("a.chars").alias("chars")).distinct()
     # taken after the join: both in its condition would be too long for one compiled method
@@ -318,12 +343,12 @@ def near_of(pairs: DataFrame, texts: DataFrame, classes: tuple[tuple[int, int],
 
 def dropped_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGTH) -> DataFrame:
     """``doc_id, doc_hash, dropped``: per document with any, the numbers of the lines that go."""
-    rows = occurrences(docs).select("doc_id", "doc_hash", "line_no", F.unhex(F.md5("line")).alias("line_key"))
+    rows = occurrences(docs, classes)
     place = F.struct("doc_id", "line_no")
-    firsts = first_lines(docs)
-    near = near_lines(docs, classes, firsts).withColumn("near", F.lit(True))
-    marks = materialize(firsts.filter("n > 1").drop("n").join(near, "line_key", "full"), "marks")
-    gone = rows.join(marks, "line_key").filter(F.col("near").isNotNull() | (place > F.col("first")))
+    firsts = first_lines(rows)
+    near = near_lines(docs, classes, rows, firsts).withColumn("near", F.lit(True))
+    marks = materialize(firsts.filter("n > 1").select("line_key", "first").join(near, "line_key", "full"), "marks")
+    gone = rows.drop("keys").join(marks, "line_key").filter(F.col("near").isNotNull() | (place > F.col("first")))
     return gone.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("dropped"))
 
 
@@ -346,8 +371,11 @@ def dedup_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = BY_LENGT
     joined = some.holds(rows, row_key).join(gone, same, "left").drop("_id", "_of")
     joined = joined.unionByName(some.lacks(rows, row_key).withColumn("_dropped", F.lit(None).cast("array<int>")))
     lines = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
-    kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    def left(all_: Column) -> Column:
+        return F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col("_dropped")), lambda i: F.get(all_, i))
+
+    kept = F.array_join(let(lines, left), "\n")  # bound once, not split again for each line
     return joined.withColumns({
         "line_count": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
         "dropped_count": F.coalesce(F.size("_dropped"), F.lit(0)),

@@ -294,6 +294,36 @@ def test_lines_by_length_against_brute_force(spark):
     assert near and got == {hashlib.md5(line.encode()).digest() for line in near}
 
 
+def test_long_lines_across_bands_against_brute_force(spark):
+    """Lines that are close and on both sides of a band's bound; a line has few probes, whatever its length."""
+    rng = random.Random(7)
+    classes = ((12, 1), (18, 2))
+    pool = ["".join(rng.choices("abcdé ", k=size)) for size in (36, 39, 40, 47, 48, 56, 63, 64, 65, 79, 80, 81, 96)]
+    for line in list(pool):
+        for _ in range(4):
+            other = list(line)
+            for _ in range(rng.randint(1, 3)):
+                other[rng.randrange(len(other))] = rng.choice(["", "x", "yz"])
+            pool.append("".join(other))
+    rows = list(enumerate(pool))
+    got = line_dedup.dedup_lines(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, dropped string"), classes)
+    near = {n for n, a in rows for m, b in rows if m < n and distance(a, b) <= 2}
+    assert near and {r["doc_id"] for r in got.filter("dropped_count > 0").collect()} == near
+
+    lines = frame(spark, [prose(1, 1, 80)[0]]).select(F.unhex(F.md5("text")).alias("line_key"), F.char_length("text").alias("chars"), F.encode("text", "UTF-32").alias("wide"))
+    assert line_dedup.probes(lines, line_dedup.BY_LENGTH).count() <= 30 + 37  # were 121: 30 of its own band, 37 if another one is in reach
+
+
+def test_language_model_gets_texts_in_small_batches(spark):
+    from reportloom.session import BATCH_CONF, arrow_batches
+
+    before = spark.conf.get(BATCH_CONF)
+    sizes = lambda batches: ([batch.slice(0, 0)] if batch.num_rows <= 1_000 else [batch] for batch in batches)
+    with arrow_batches(spark, 1_000):
+        assert spark.range(0, 3_000, 1, 1).mapInArrow(lambda bs: (b for one in sizes(bs) for b in one), "id long").count() == 0
+    assert spark.conf.get(BATCH_CONF) == before
+
+
 def test_pipeline_drops_a_line_with_one_word_replaced(spark):
     import corpus_pipeline
 
