@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import arrow_batches, materialize
 from .grams import WordValues, word_grams, words_of
 
+BATCH_ROWS = 1_000  # texts that a Python worker gets at once
 SAMPLE_ROWS = 4_000  # labelled texts that the n-gram counts come from, at most
 SAMPLE_CHARS = 20_000  # longer texts are not counted; all are classified whole
 GRAMS = (2, 3)
@@ -132,7 +133,7 @@ def text_evidence(rows: DataFrame, model: GramModel) -> DataFrame:
         known = WordValues(model.of_words, len(model.languages) + 1)
         for batch in batches:
             counts, logs, nones = [], [], []
-            for text in batch.column("text").to_pylist():
+            for text in (value.as_py() for value in batch.column("text")):  # one text at a time, not all of the batch
                 words = words_of(text)
                 counts.append(len(words))
                 places = known.places(words) if words else []
@@ -304,7 +305,8 @@ def identify(docs: DataFrame, pages: DataFrame | None = None, rows: int = SAMPLE
     if not model.languages:
         return base.select("doc_id", "doc_hash", F.lit(None).cast("string").alias("lang_id"), F.lit(None).cast("double").alias("posterior"), F.lit(False).alias("accepted"))
     suffix_free = F.concat(F.lit("source "), F.regexp_replace("source", r"\.", " "))  # is no address
-    seen = materialize(text_evidence(base.withColumn("source", suffix_free), model), "text-evidence")
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        seen = materialize(text_evidence(base.withColumn("source", suffix_free), model), "text-evidence")
     if pages is None:
         out = fused(seen.withColumns({"host": F.col("source"), "declared": F.lit(None).cast("string")}), model.languages)
     else:
