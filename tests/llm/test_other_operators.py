@@ -3,10 +3,13 @@
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportloom.llm import language_id, mixing, neighbours, toxicity, warc
@@ -105,6 +108,21 @@ def test_toxicity_learns_no_held_out_label(spark):
     assert np.array_equal(one, other)
 
 
+def test_toxicity_sample_of_repeated_rows_keeps_its_bound(spark):
+    """Copies of rows neither fill the sample nor displace other ids; they count while all of them fit."""
+    rows = [r for r in remarks(4, 80) if zlib.crc32(str(r[0]).encode()) % 4 != 2][:40]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    many, more = (reduce(DataFrame.unionAll, [df] * 4) for df in (docs, labels))
+    got = toxicity.sample(many, more, rows=40).collect()
+    assert sorted((r["doc_id"], r["text"], r["toxic"], r["n"]) for r in got) == sorted((*r, 16) for r in rows)
+    assert np.array_equal(toxicity.fit(many, more, rows=40).embeddings, toxicity.fit(docs, labels, rows=40).embeddings)
+    other = docs.withColumn("text", F.concat("text", F.lit(" end")))
+    assert toxicity.sample(docs.unionAll(other), more, rows=40).count() == 40
+    twice = [r for r in sorted(rows) for _ in range(4)]
+    assert np.array_equal(toxicity.fit(docs, more).embeddings, toxicity.train([t for _, t, _ in twice], [y for *_, y in twice]).embeddings)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
