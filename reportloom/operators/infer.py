@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.fixed import EMBED_BATCH, TAG_BATCH, TRANSLATE_BATCH
 from ..session import scratch_path
 from .ledger import answers, call_missing
-from .skew import HOT_ROWS, join_to_unique
+from .skew import HOT_ROWS, join_to_unique, may_be_hot
 
 Model = Callable[[list[str]], list]
 Factory = Callable[[], Model]
@@ -93,9 +93,14 @@ def tag(chunks: DataFrame, factory: Factory, *ids: str, batch_size: int = TAG_BA
     ).filter(F.col("start") >= 0)
 
 
+def chunk_id(chunk: Column) -> Column:
+    """A SHA-256 of the chunk that stands for it in joins."""
+    return F.unhex(F.sha2(chunk, 256))
+
+
 def with_chunk_id(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
-    """Adds ``chunk_id``, a SHA-256 of the chunk that stands for it in joins."""
-    return chunks.withColumn("chunk_id", F.unhex(F.sha2(F.col(chunk), 256)))
+    """Adds ``chunk_id``."""
+    return chunks.withColumn("chunk_id", chunk_id(F.col(chunk)))
 
 
 def distinct_chunks(chunks: DataFrame) -> DataFrame:
@@ -140,12 +145,17 @@ def translate_with(
 def attach_translations(
     chunks: DataFrame, translations: DataFrame, *ids: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """``(ids…, chunk_no, translated)``: the answer to each chunk, wherever it occurs."""
+    """``(ids…, chunk_no, translated)``: the answer to each chunk, wherever it occurs.
+
+    Answers split by ``chunk_id`` stay where they are unless a chunk is hot, which is counted first.
+    """
+    places = chunks.select(*ids, "chunk_no", "chunk_id")
     return join_to_unique(
-        chunks.select(*ids, "chunk_no", "chunk_id"),
+        places,
         translations,
         "chunk_id",
         "left",
         [*ids, "chunk_no"],
         hot_rows=hot_rows,
+        salt=None if may_be_hot(places, "chunk_id", hot_rows) else False,
     ).drop("chunk_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chunk import chunk
@@ -13,15 +13,16 @@ from ..operators.chunks import chunk_table, rejoin_chunks
 from ..operators.infer import (
     Factory,
     attach_translations,
+    chunk_id,
     distinct_chunks,
     translate_with,
     with_chunk_id,
 )
 from ..operators.records import RECORD, put_result, route, with_record_id
 from ..operators.translate import glossary_translations
-from ..session import materialize
 
 Translator = Callable[[DataFrame], DataFrame]
+PASSES, CHUNKS, CHUNK_IDS = "_passes", "_chunks", "_chunk_ids"
 
 
 def glossary_translator(glossary: DataFrame) -> Translator:
@@ -56,6 +57,11 @@ def client_translator(
     return lambda chunks: translate_with(chunks, factory, batch_size, callers, paid=True, ledger=ledger)
 
 
+def text_chunks(text: Column, max_chunk_chars: int | None) -> Column:
+    """Chunks of a text to translate: one if it fits, or if there is no limit."""
+    return F.array(text) if max_chunk_chars is None else chunk(text, max_chunk_chars, always=False)
+
+
 def report_chunks(
     df: DataFrame,
     ids: tuple[str, ...] = ("report_key",),
@@ -69,11 +75,7 @@ def report_chunks(
     sends every text as one chunk.
     """
     todo = df.filter(route(F.col(text), empty_passes=hosted) == "process")
-    if max_chunk_chars is None:
-        chunks = F.array(F.col(text))
-    else:
-        chunks = chunk(F.col(text), max_chunk_chars, always=False)
-    return with_chunk_id(chunk_table(todo, chunks, *ids))
+    return with_chunk_id(chunk_table(todo, text_chunks(F.col(text), max_chunk_chars), *ids))
 
 
 def translate(
@@ -91,18 +93,25 @@ def translate(
     Each row is a record of its own; keys may repeat or be null. ``whole`` sends each text as
     it is, without chunks.
     """
-    df = with_record_id(df)
     limit = max_chunk_chars or (HOSTED_CHUNK_CHARS if hosted else LOCAL_CHUNK_CHARS)
     if whole:
         limit = None
-    # Written once: the different chunks, their places and the list of hot chunks all start from here.
-    chunks = materialize(report_chunks(df, (RECORD,), text, limit, hosted), "chunks")
-    answers = attach_translations(chunks, translator(distinct_chunks(chunks)), RECORD)
-    joined = df.join(rejoin_chunks(answers, RECORD, chunk="translated", out="_translated"), RECORD, "left")
     passes = route(F.col(text), empty_passes=hosted) == "pass"
+    renamed = bool(output and output != text)
+    df = df.withColumns({PASSES: passes, CHUNKS: F.when(~passes, text_chunks(F.col(text), limit))})
+    df = df.withColumn(CHUNK_IDS, F.transform(CHUNKS, chunk_id))
+    if not (renamed or preserve_original):  # a text to translate is then wanted as chunks only
+        df = df.withColumn(text, F.when(F.col(PASSES), F.col(text)))
+    # Written once, each text with its chunks: the different chunks, their places and the hot ones all start from here.
+    df = with_record_id(df)
+    chunks = df.select(F.inline_outer(F.arrays_zip(CHUNK_IDS, CHUNKS)).alias("chunk_id", "chunk")).filter("chunk_id IS NOT NULL")
+    places = chunk_table(df, F.col(CHUNK_IDS), RECORD).withColumnRenamed("chunk", "chunk_id")
+    answers = attach_translations(places, translator(distinct_chunks(chunks)), RECORD)
+    rejoined = rejoin_chunks(answers, RECORD, chunk="translated", out="_translated")
+    joined = df.drop(CHUNKS, CHUNK_IDS).join(rejoined, RECORD, "left")
     suffix = "_original" if preserve_original else None
-    if output and output != text:
-        result = F.when(~passes, F.col("_translated"))
+    if renamed:
+        result = F.when(~F.col(PASSES), F.col("_translated"))
     else:
-        result = F.when(passes, F.col(text)).otherwise(F.col("_translated"))
-    return put_result(joined, result, text, output, suffix).drop("_translated", RECORD)
+        result = F.when(F.col(PASSES), F.col(text)).otherwise(F.col("_translated"))
+    return put_result(joined, result, text, output, suffix).drop("_translated", PASSES, RECORD)

@@ -1,18 +1,21 @@
 """Keys that repeat or are null, long names, lenient JSON, equal file names, null texts, whole file jobs."""
 
 import json
+import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from reportloom.functions.decode import strip_rtf
-from reportloom.operators.infer import embed, tag
-from reportloom.operators.records import field
-from reportloom.operators.skew import join_to_unique
+from reportloom.operators.infer import attach_translations, distinct_chunks, embed, tag, with_chunk_id
+from reportloom.operators.records import field, rewrite_lines
+from reportloom.operators.skew import join_to_unique, may_be_hot
 from reportloom.plans.anonymize import anonymize, gazetteer_tagger
 from reportloom.plans.files import anonymize_jsonl, compare_folders, embed_jsonl, translate_jsonl
 from reportloom.plans.translate import model_translator, translate
+from reportloom.session import scratch_root
 from reportloom.sources.records import decode_lines, parse_records, read_lines
 from reportloom.sources.vectors import read_vectors
 
@@ -123,3 +126,47 @@ def test_jobs_from_files_to_files(spark, names, tmp_path):
     compared = compare_folders(spark, path)
     assert [tuple(r) for r in compared.index.select("report_key", "n_unique").collect()] == [("1", 2)]
     assert [(r.text_a, r.text_b) for r in compared.pairs.collect()] == [("Anna am 1.2.2020", "Anna da")]
+
+
+ODD_LINES = [
+    '{"text": "ein Wort", "n": 1.50, "big": 123456789012345678901234567890123456789012345678, "e": 1E5, "tiny": 1e-300, "neg": -0.0}',
+    '{"text": "zwei", "q": "a \\"b\\" \\\\ \\u00e4\\n\\u2028", "o": {"b": null, "a": [1, [], {}]}, "": "x", "text_original": "alt", "en": 1}',
+    '{"text": "drei", "nan": NaN, "inf": [-Infinity], "s": "NaN"}', '{"text": ""}', '{"text": "nur"}', '{"text": 12, "b": true}',
+    '{"text": null, "z": 1,  "a": 2}', ' {"z": 1,  "a": 2} ', "[1]", "broken {", "   ", '{"text": " \\n ", "a": 0.10}',
+]
+
+
+@pytest.mark.parametrize(
+    ("output_key", "preserve", "hosted"), [(None, False, False), (None, False, True), ("text", False, False), ("en", False, True), ("en", True, False)]
+)
+def test_translated_lines_are_the_rewritten_records(spark, tmp_path, output_key, preserve, hosted):
+    """Lines that go on without their text come out as if their whole record had been kept."""
+    (tmp_path / "x.jsonl").write_text("\n".join(ODD_LINES), encoding="utf-8")
+    upper = model_translator(lambda: lambda ts: [t.upper() for t in ts])
+    translate_jsonl(spark, str(tmp_path / "x.jsonl"), str(tmp_path / "out"), upper, output_key=output_key, preserve_original=preserve, hosted=hosted)
+    records = parse_records(read_lines(spark, str(tmp_path / "x.jsonl")))
+    wanted = rewrite_lines(records, F.trim(F.upper(F.translate("text", "\n", ""))), "text", output_key, "_original" if preserve else None, hosted)
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == sorted(r.value for r in wanted.collect())
+
+
+def test_translation_of_lines_stores_a_text_once(spark, tmp_path):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=380)) for _ in range(2000)]
+    (tmp_path / "x.jsonl").write_text("\n".join(json.dumps({"report_key": i, "text": t}) for i, t in enumerate(texts)), encoding="utf-8")
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    stored = lambda: sum(f.stat().st_size for f in root.rglob("*.parquet"))
+    before = stored()
+    translate_jsonl(spark, str(tmp_path), str(tmp_path / "out"), model_translator(lambda: lambda ts: [t[::-1] for t in ts]))
+    assert stored() - before < 1.5 * sum(map(len, texts))
+    assert sorted(json.loads(r.value)["text"] for r in spark.read.text(str(tmp_path / "out")).collect()) == sorted(t[::-1] for t in texts)
+
+
+def test_answers_are_moved_for_hot_chunks_only(spark):
+    rows = [(i, 0, f"chunk {i % 40 or 'x'}") for i in range(400)]
+    chunks = with_chunk_id(spark.createDataFrame(rows, "id int, chunk_no int, chunk string"))
+    answers = distinct_chunks(chunks).select("chunk_id", F.upper("chunk").alias("translated"))
+    assert not may_be_hot(chunks, "chunk_id", 10) and may_be_hot(chunks, "chunk_id", 9)
+    for hot_rows in (5, 10):
+        got = attach_translations(chunks, answers, "id", hot_rows=hot_rows)
+        moved = "_part" in got._jdf.queryExecution().optimizedPlan().toString()
+        assert moved == (hot_rows == 5) and sorted(map(tuple, got.select("id", "translated").collect())) == [(i, c.upper()) for i, _, c in rows]
